@@ -92,7 +92,7 @@ def win_global_stats(t):
 
 
 @query(f"""
-SELECT p_type, p_partkey, {rounded("p_retailprice / CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) OVER (PARTITION BY p_type) AS DOUBLE)", 8)} AS share FROM part
+SELECT p_type, p_partkey, {rounded("p_retailprice / CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) OVER (PARTITION BY p_type) AS DOUBLE)", 8, 15)} AS share FROM part
 """)
 def win_share_of_total(t):
     rows = ordered.with_totals(t.part.select("p_type", "p_partkey", "p_retailprice"), ["p_type"], {"total": exact_sum("p_retailprice")})

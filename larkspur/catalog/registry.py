@@ -41,6 +41,10 @@ def query(sql: str | None = None):
     return add
 
 
-def rounded(expression: str, digits: int) -> str:
-    """SQL text that rounds a double half away from zero on its decimal form, as Spark does."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+def rounded(expression: str, digits: int, scale: int = 10) -> str:
+    """SQL text that rounds a double half away from zero on its decimal form, as Spark does.
+
+    ``scale`` is the number of decimals kept before rounding; large values leave
+    room for fewer in a double.
+    """
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,{scale})), {digits}) AS DOUBLE)"

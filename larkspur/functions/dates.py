@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import column
 
-# unit -> (part for date_trunc, how many of it)
 _UNITS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
 _EPOCH_UNITS = {
     "seconds": F.timestamp_seconds,
@@ -119,7 +118,7 @@ def round_to_day(value) -> Column:
 
 def from_epoch(value, unit: str = "seconds") -> Column:
     if unit == "nanoseconds":
-        return F.timestamp_micros(F.floor(column(value) / 1000))
+        return F.timestamp_micros(F.floor(column(value).cast("decimal(20,0)") / 1000).cast("long"))
     if unit not in _EPOCH_UNITS:
         raise ValueError(f"unknown epoch unit {unit!r}")
     return _EPOCH_UNITS[unit](column(value))
