@@ -32,8 +32,17 @@ def safe_divide(numerator, denominator) -> Column:
     return F.try_divide(column(numerator).cast("double"), column(denominator).cast("double"))
 
 
+def half_up(value, digits: int) -> Column:
+    """Round half away from zero on ten decimals.
+
+    A quotient that should be 0.675 may be stored as 0.6749999999999999; rounding
+    the double itself would go down.
+    """
+    return F.round(column(value).cast("decimal(38,10)"), digits).cast("double")
+
+
 def percent(numerator, denominator, digits: int = 2) -> Column:
-    return F.round(safe_divide(numerator, denominator) * 100, digits)
+    return half_up(safe_divide(numerator, denominator) * 100, digits)
 
 
 def _or_zero(names) -> list:

@@ -17,8 +17,25 @@ def lower_trim(value) -> Column:
     return F.lower(F.trim(column(value)))
 
 
+# The characters after which a new word starts, besides blanks.
+WORD_BREAKS = r"""[](){}/|\<>!?@"^#$&~_,.:;*%+-"""
+
+
+def title(value) -> Column:
+    """First letter of each word upper case, the rest lower.
+
+    Unlike ``initcap`` a word also starts after punctuation: ``york-CITY``
+    becomes ``York-City``.
+    """
+    breaks = "".join("\\" + c for c in WORD_BREAKS)
+    words = F.split(F.lower(column(value)), f"(?<=[\\s{breaks}])")
+    return F.array_join(
+        F.transform(words, lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2)))), ""
+    )
+
+
 def title_trim(value) -> Column:
-    return F.initcap(F.trim(column(value)))
+    return title(F.trim(column(value)))
 
 
 def after(value, marker: str) -> Column:
@@ -29,7 +46,7 @@ def after(value, marker: str) -> Column:
 
 def display_name(value) -> Column:
     """``home_decor`` becomes ``Home Decor``."""
-    return F.initcap(F.replace(F.trim(column(value)), F.lit("_"), F.lit(" ")))
+    return title(F.replace(F.trim(column(value)), F.lit("_"), F.lit(" ")))
 
 
 def flagged(pattern: str, flags: str = "") -> str:
