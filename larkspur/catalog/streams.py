@@ -35,9 +35,9 @@ def admissions(t):
 
 
 RAW = f"""
-WITH m AS (SELECT *, {SEVERITY} AS severity, CASE WHEN value >= 0.5 THEN 'H' || user_id END AS hospital_id, date_trunc('second', ts) AS at FROM events),
+WITH m AS (SELECT *, {SEVERITY} AS severity, CASE WHEN value >= 0.5 THEN 'H' || user_id END AS hospital_id, date_trunc('second', ts) AS at_time FROM events),
 p AS (SELECT *, CASE WHEN value > 150 THEN 'parse_error' WHEN hospital_id IS NULL THEN 'missing_hospital_id' WHEN severity IS NULL THEN 'missing_severity' END AS error FROM m),
-v AS (SELECT event_id, hospital_id, severity, at, CASE severity WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HIGH' THEN 3 ELSE 4 END AS score FROM p WHERE error IS NULL)
+v AS (SELECT event_id, hospital_id, severity, at_time, CASE severity WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HIGH' THEN 3 ELSE 4 END AS score FROM p WHERE error IS NULL)
 """
 STATS = f"""
 SELECT hospital_id, window_start, window_start + INTERVAL {{length}} MINUTE AS window_end, count(*) AS total_admissions, count(*) FILTER (severity = 'CRITICAL') AS critical_count,
@@ -76,13 +76,13 @@ def stream_enrich(t):
     return t.spark.read.parquet(f"{folder}/rows")
 
 
-@query(RAW + ", w AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, at) AS window_start FROM v)" + STATS.format(length=5, surge=1))
+@query(RAW + ", w AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, at_time) AS window_start FROM v)" + STATS.format(length=5, surge=1))
 def stream_tumbling_stats(t):
     stats = events.window_stats(admissions(t), "hospital_id", "at", late="2 minutes", surge_above=1)
     return run_updates(t, stats, ["hospital_id", "window_start"], "tumbling")
 
 
-@query(RAW + ", w AS (SELECT *, time_bucket(INTERVAL 1 MINUTE, at) - to_minutes(CAST(i AS BIGINT)) AS window_start FROM v, range(3) r(i))" + STATS.format(length=3, surge=1))
+@query(RAW + ", w AS (SELECT *, time_bucket(INTERVAL 1 MINUTE, at_time) - to_minutes(CAST(i AS BIGINT)) AS window_start FROM v, range(3) r(i))" + STATS.format(length=3, surge=1))
 def stream_sliding_stats(t):
     stats = events.window_stats(admissions(t), "hospital_id", "at", "3 minutes", "1 minute", late="2 minutes", surge_above=1)
     return run_updates(t, stats, ["hospital_id", "window_start"], "sliding")

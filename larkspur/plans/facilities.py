@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import masked_id
 from larkspur.operators import routing
 from larkspur.operators.rows import map_values
+from larkspur.sources import readers
 
 FIELDS = (
     "facility_id", "facility_name", "city", "state", "zip_code", "county", "hospital_type", "ownership",
@@ -25,13 +26,8 @@ ALERT_SEVERITY = "HIGH"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """CSV by header name, every field trimmed; lines that do not parse are dropped."""
-    schema = ", ".join(f"{f} string" for f in FIELDS)
-    raw = spark.read.csv(
-        path, schema=f"{schema}, _bad string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad",
-        enforceSchema=True,
-    )
-    return tidy(raw.filter(F.col("_bad").isNull()).drop("_bad"))
+    """Facility lines by header name; address columns that some files add are ignored."""
+    return readers.delimited(spark, path, FIELDS)
 
 
 def tidy(raw: DataFrame) -> DataFrame:

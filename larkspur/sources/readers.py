@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from larkspur.operators.aggregates import slug
 
 
 def csv(spark: SparkSession, path, schema) -> DataFrame:
@@ -18,12 +19,22 @@ def csv_inferred(spark: SparkSession, path) -> DataFrame:
 
 
 def delimited(spark: SparkSession, path, fields, separator: str = ",") -> DataFrame:
-    """Text fields by header name, trimmed; lines that do not parse are left out."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_bad"]])
-    raw = spark.read.csv(
-        path, schema=schema, header=True, sep=separator, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad"
-    )
-    return raw.filter(F.col("_bad").isNull()).select(*[F.trim(f).alias(f) for f in fields])
+    """Text fields by header name, trimmed; lines with too few fields are left out.
+
+    Files with more columns, or in another order, give the same result. A line is
+    a record, so quoted line breaks are not supported.
+    """
+    header = spark.read.csv(path, header=True, sep=separator).columns
+    names = [slug(c) for c in header]
+    absent = [f for f in fields if f not in names]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in {path}")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    # keep empty fields apart from absent ones
+    options = {"sep": separator, "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": ""}
+    records = spark.read.text(path).select(F.from_csv("value", schema, options).alias("r")).select("r.*")
+    complete = F.col(names[-1]).isNotNull() & (F.col(names[0]) != header[0])
+    return records.filter(complete).select(*[F.trim(f).alias(f) for f in fields])
 
 
 def ndjson(spark: SparkSession, path, schema) -> DataFrame:
