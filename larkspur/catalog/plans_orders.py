@@ -249,12 +249,17 @@ def pipe_hospital_batch(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n, max(value) - min(value) AS spread FROM events GROUP BY 1")
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY 1")
 def group_apply(t):
-    """The hook with a small user function; each user's events are few."""
+    """The hook with a small user function, here on chunks of at most 1,500 rows."""
 
-    def spread(rows: pd.DataFrame) -> pd.DataFrame:
+    def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         values = rows["value"]
-        return pd.DataFrame({"user_id": [rows["user_id"].iloc[0]], "n": [len(rows)], "spread": [values.max() - values.min()]})
+        return pd.DataFrame({"event_type": rows["event_type"].iloc[:1], "n": len(rows), "low": values.min(), "high": values.max()})
 
-    return routing.group_apply(t.events.select("user_id", "value"), ["user_id"], spread, "user_id long, n long, spread double")
+    def combine(parts: pd.DataFrame) -> pd.DataFrame:
+        low, high = parts["low"].min(), parts["high"].max()
+        return pd.DataFrame({"event_type": parts["event_type"].iloc[:1], "n": parts["n"].sum(), "low": low, "high": high})
+
+    rows = t.events.select("event_id", "event_type", "value")
+    return routing.group_apply(rows, ["event_type"], summarise, "event_type string, n long, low double, high double", combine, 1_500)

@@ -10,6 +10,7 @@ from larkspur.catalog.layout import scratch
 from larkspur.catalog.registry import query
 from larkspur.functions.nested import json_scalar
 from larkspur.functions.numbers import exact_sum
+from larkspur.session import cut
 from larkspur.sources import readers, writers
 from larkspur.streaming import events, sinks
 
@@ -122,8 +123,6 @@ def scratch_table(name):
 
 def read_and_drop(t, name):
     """The rows of a scratch table as a frame that outlives it."""
-    from larkspur.session import cut
-
     rows = cut(t.spark.table(name))
     t.spark.sql(f"DROP TABLE {name}")
     return rows
@@ -133,26 +132,27 @@ def read_and_drop(t, name):
 def ensure_table(t):
     name = scratch_table("ensured")
     rows = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("amount"))
-    writers.ensure_table(t.spark, name, "order_id BIGINT, amount DOUBLE")
+    schema, path = "order_id BIGINT, amount DOUBLE", scratch(t, name)
+    writers.ensure_table(t.spark, name, schema, path=path)
     writers.insert_into(rows, name)
-    writers.ensure_table(t.spark, name, "order_id BIGINT, amount DOUBLE")  # does not empty it
+    writers.ensure_table(t.spark, name, schema, path=path)  # does not empty it
     return read_and_drop(t, name)
 
 
 @query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def ctas_replace(t):
     name = scratch_table("replaced")
-    writers.replace_table(t.orders.select("o_orderkey"), name)
-    writers.replace_table(t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), name)
+    path = scratch(t, name)
+    writers.replace_table(t.orders.select("o_orderkey"), name, path)
+    writers.replace_table(t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), name, path)
     return read_and_drop(t, name)
 
 
 @query("SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date, json_extract_string(props, '$.k') AS k FROM events")
 def insert_select(t):
     name = scratch_table("curated")
-    writers.ensure_table(t.spark, name, "event_id BIGINT, user_id BIGINT, event_type STRING, k STRING, event_date DATE", "event_date")
-    t.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    t.spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, k STRING, event_date DATE"
+    writers.ensure_table(t.spark, name, schema, "event_date", scratch(t, name))
     curated = t.events.select(
         "event_id", "user_id", "event_type", F.to_date("ts").alias("event_date"), json_scalar("props", "$.k").alias("k")
     )
@@ -164,7 +164,7 @@ def insert_select(t):
 def partition_cluster_layout(t):
     folder = scratch(t, "clustered")
     rows = t.events.select("event_id", "user_id", "event_type", F.to_date("ts").alias("event_date"))
-    writers.write_clustered(rows, folder, "event_date", "user_id", "event_type", files=2)
+    writers.write_clustered(rows, folder, "event_date", "user_id", "event_type")
     return t.spark.read.parquet(folder)
 
 

@@ -54,7 +54,7 @@ def _same(left: DataFrame, right: DataFrame, names) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
-def _attach(df: DataFrame, small: DataFrame, names) -> DataFrame:
+def attach(df: DataFrame, small: DataFrame, names) -> DataFrame:
     """Left join on null-safe equality, keeping the columns of ``df`` once."""
     renamed = small.select([F.col(c).alias(f"_r_{c}") if c in names else F.col(c) for c in small.columns])
     condition = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r_{n}")) for n in names])
@@ -123,7 +123,7 @@ def segments(df: DataFrame, keys, order, max_rows: int | None = None):
     # fixed data from here on, so every use of the bounds sees the same cuts
     bounds = spark.createDataFrame(grouped.collect(), grouped.schema)
     if keys:
-        joined = _attach(df, F.broadcast(bounds), keys)
+        joined = attach(df, F.broadcast(bounds), keys)
     else:
         joined = df.withColumn("_bounds", bounds.select("_bounds").scalar())
     place = F.size(F.filter("_bounds", lambda b: _precedes(b, order)))
@@ -155,7 +155,7 @@ def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = N
     window = plain_window(by_segment, order).rowsBetween(*frame)
     local = cut_rows.select("*", *[F.sum(c).over(window).alias(f"_l_{a}") for a, c in sums.items()])
     # at most MAX_HOT_KEYS keys and as many segments: a few thousand rows
-    joined = _attach(local, F.broadcast(before), by_segment)
+    joined = attach(local, F.broadcast(before), by_segment)
     return joined.select(
         *df.columns,
         *[(F.col(f"_l_{a}") + F.coalesce(f"_o_{a}", F.lit(0))).alias(a) for a in sums],
@@ -178,7 +178,7 @@ def _by_value(df: DataFrame, keys, order, extra, sums, finish, max_rows) -> Data
     by = list(dict.fromkeys([*keys, *_names(order)]))
     values = df.groupBy(*by).agg(*extra)
     numbered = finish(prefix_sums(values, keys, order, sums, max_rows))
-    return _attach(df, numbered, by)
+    return attach(df, numbered, by)
 
 
 def rank(df: DataFrame, keys, order, alias="rank", max_rows=None) -> DataFrame:
@@ -221,7 +221,7 @@ def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, m
         return df.withColumn(alias, F.lag(value, offset).over(plain_window(keys, order)))
     numbered = cut(row_number(df, keys, order, "_at", max_rows))
     other = numbered.select(*keys, (F.col("_at") + offset).alias("_at"), F.col(value).alias(alias))
-    return _attach(numbered, other, [*keys, "_at"]).drop("_at")
+    return attach(numbered, other, [*keys, "_at"]).drop("_at")
 
 
 def ntile(df: DataFrame, n: int, order, alias="ntile", max_rows=None) -> DataFrame:
@@ -253,7 +253,7 @@ def percentile(df: DataFrame, keys, value: str, q: float, alias="percentile", ma
     counts = clean.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     running = prefix_sums(counts, keys, ["_v"], {"_upto": F.col("_n")}, max_rows)
     if keys:
-        placed = _attach(running, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
+        placed = attach(running, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
     else:
         placed = running.withColumn("_total", counts.agg(F.sum("_n")).scalar())
     at = F.lit(q) * (F.col("_total") - 1)
@@ -283,7 +283,7 @@ def with_totals(df: DataFrame, keys, totals: dict) -> DataFrame:
     if not keys:
         whole = df.agg(F.struct(*sums).alias("_t")).scalar()
         return df.withColumn("_t", whole).select("*", *[F.col(f"_t.{a}").alias(a) for a in totals]).drop("_t")
-    return _attach(df, df.groupBy(*keys).agg(*sums), keys)
+    return attach(df, df.groupBy(*keys).agg(*sums), keys)
 
 
 def top_per_group(df: DataFrame, keys, order, n: int, alias="rank") -> DataFrame:

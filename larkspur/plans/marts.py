@@ -150,16 +150,23 @@ def product_performance(products: DataFrame, orders: DataFrame) -> DataFrame:
 
 def funnel(clicks: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per day: step counts, step-to-step rates, sessions, devices, abandonment."""
-    step = lambda name: F.col("event_type") == name
+    # one row per session first: the distinct counts below then expand sessions, not events
+    kind, device = F.col("event_type"), F.col("device_type")
+    sessions = clicks.groupBy("event_date", "session_id", "user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(kind == s).alias(s) for s in STEPS],
+        *[F.count_if(device == d).alias(d) for d in DEVICES],
+    )
+    reached = lambda step: F.when(F.col(step) > 0, F.col("session_id"))
     names = {"page_view": "page_views", "product_view": "product_views", "purchase": "purchases"}
-    daily = clicks.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("total_events"),
+    daily = sessions.groupBy("event_date").agg(
+        F.sum("n").alias("total_events"),
         F.count_distinct("session_id").alias("total_sessions"),
         F.count_distinct("user_id").alias("unique_visitors"),
-        *[F.count_if(step(s)).alias(names.get(s, s)) for s in STEPS],
-        F.count_distinct(F.when(step("purchase"), F.col("session_id"))).alias("sessions_with_purchase"),
-        F.count_distinct(F.when(step("add_to_cart"), F.col("session_id"))).alias("sessions_with_cart"),
-        *[F.count_if(F.col("device_type") == d).alias(f"{d}_events") for d in DEVICES],
+        *[F.sum(s).alias(names.get(s, s)) for s in STEPS],
+        F.count_distinct(reached("purchase")).alias("sessions_with_purchase"),
+        F.count_distinct(reached("add_to_cart")).alias("sessions_with_cart"),
+        *[F.sum(d).alias(f"{d}_events") for d in DEVICES],
     )
     confirmed = orders.filter(_sold()).groupBy(F.col("order_date").alias("event_date")).agg(
         F.count_distinct("order_id").alias("confirmed_orders"), exact_sum("total_amount").alias("order_revenue")

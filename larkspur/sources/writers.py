@@ -26,20 +26,17 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "over
     df.write.parquet(path, mode=mode, partitionBy=list(columns))
 
 
-def clustered(df: DataFrame, partition: str, *cluster: str, files: int = 1) -> DataFrame:
-    """Rows arranged for a partitioned write: a few sorted files per partition value.
+def clustered(df: DataFrame, partition: str, *cluster: str) -> DataFrame:
+    """Rows arranged for a partitioned write: sorted files, few per partition value.
 
-    ``files`` spreads one value over several tasks by a hash of the cluster
-    columns; raise it when a single day is too large for one task.
+    The rebalance lets adaptive execution join small values into one task and
+    split a value that is too large for one.
     """
-    spread = [F.col(partition)]
-    if files > 1:
-        spread.append(F.pmod(F.xxhash64(*(cluster or df.columns)), F.lit(files)))
-    return df.repartition(*spread).sortWithinPartitions(partition, *cluster)
+    return df.hint("rebalance", partition).sortWithinPartitions(partition, *cluster)
 
 
-def write_clustered(df: DataFrame, path: str, partition: str, *cluster: str, files: int = 1, mode="overwrite") -> None:
-    write_partitioned(clustered(df, partition, *cluster, files=files), path, partition, mode=mode)
+def write_clustered(df: DataFrame, path: str, partition: str, *cluster: str, mode="overwrite") -> None:
+    write_partitioned(clustered(df, partition, *cluster), path, partition, mode=mode)
 
 
 def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -52,9 +49,9 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.parquet(path, mode="overwrite")
 
 
-def append(df: DataFrame, path: str, partition: str = "_ingested_date", *cluster: str, files: int = 1) -> None:
+def append(df: DataFrame, path: str, partition: str = "_ingested_date", *cluster: str) -> None:
     """Append, creating the table when it is missing."""
-    write_clustered(df, path, partition, *cluster, files=files, mode="append")
+    write_clustered(df, path, partition, *cluster, mode="append")
 
 
 def with_audit(df: DataFrame, source: str, batch_id: str, at: str) -> DataFrame:
@@ -68,14 +65,16 @@ def with_audit(df: DataFrame, source: str, batch_id: str, at: str) -> DataFrame:
     )
 
 
-def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = None) -> None:
+def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = None, path: str | None = None) -> None:
     """Create a typed table when it is absent; leave an existing one alone."""
     layout = f" PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{layout}")
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{layout}{place}")
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    df.write.saveAsTable(name, mode="overwrite", format="parquet")
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    place = {"path": path} if path else {}
+    df.write.saveAsTable(name, mode="overwrite", format="parquet", **place)
 
 
 def insert_into(df: DataFrame, name: str) -> None:
