@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from larkspur.operators.aggregates import slug
 
 
+END = "\u0001"
+
+
 def csv(spark: SparkSession, path, schema) -> DataFrame:
     """CSV with a header and a declared schema: one pass, no inference."""
     return spark.read.csv(path, schema=schema, header=True)
@@ -29,12 +32,13 @@ def delimited(spark: SparkSession, path, fields, separator: str = ",") -> DataFr
     absent = [f for f in fields if f not in names]
     if absent:
         raise ValueError(f"no column {', '.join(absent)} in {path}")
-    schema = ", ".join(f"`{n}` string" for n in names)
-    # keep empty fields apart from absent ones
-    options = {"sep": separator, "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": ""}
-    records = spark.read.text(path).select(F.from_csv("value", schema, options).alias("r")).select("r.*")
-    complete = F.col(names[-1]).isNotNull() & (F.col(names[0]) != header[0])
-    return records.filter(complete).select(*[F.trim(f).alias(f) for f in fields])
+    schema = ", ".join(f"`{n}` string" for n in [*names, "_end"])
+    # every line gets one more field; on a line that is too short it lands among the others
+    lines = spark.read.text(path).select(F.concat("value", F.lit(separator + END)).alias("line"))
+    records = lines.select(F.from_csv("line", schema, {"sep": separator, "mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    short = F.contains(F.concat_ws("", *names), F.lit(END))
+    kept = records.filter(~short & (F.coalesce(names[0], F.lit("")) != header[0]))
+    return kept.select(*[F.coalesce(F.trim(f), F.lit("")).alias(f) for f in fields])
 
 
 def ndjson(spark: SparkSession, path, schema) -> DataFrame:
