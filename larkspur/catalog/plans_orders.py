@@ -251,7 +251,7 @@ def pipe_hospital_batch(t):
 
 @query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY 1")
 def group_apply(t):
-    """The hook with a small user function, here on chunks of at most 1,500 rows."""
+    """The hook with a small user function; a type too large for one task is worked on in chunks."""
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         values = rows["value"]
@@ -262,4 +262,4 @@ def group_apply(t):
         return pd.DataFrame({"event_type": parts["event_type"].iloc[:1], "n": parts["n"].sum(), "low": low, "high": high})
 
     rows = t.events.select("event_id", "event_type", "value")
-    return routing.group_apply(rows, ["event_type"], summarise, "event_type string, n long, low double, high double", combine, 1_500)
+    return routing.group_apply(rows, ["event_type"], summarise, "event_type string, n long, low double, high double", combine)

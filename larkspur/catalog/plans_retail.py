@@ -75,8 +75,15 @@ def raw_orders(t):
     return mapped(lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")), RAW_ORDERS)
 
 
+MART_COLUMNS = [
+    "order_id", "customer_id", "product_id", "product_category", "unit_price", "quantity", "total_amount", "order_status",
+    "payment_method", "order_date",
+]
+
+
 def staged_orders(t):
-    return staging.orders(raw_orders(t), ORDER_TIE)
+    """The staged columns the marts use, stored because each mart reads them several times."""
+    return cut(staging.orders(raw_orders(t), ORDER_TIE).select(*MART_COLUMNS))
 
 
 def staged_products(t):
@@ -135,7 +142,7 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC)
 
 @query(STG_ORDERS)
 def stg_orders(t):
-    return staged_orders(t)
+    return staging.orders(raw_orders(t), ORDER_TIE)
 
 
 @query(STG_CUSTOMERS)
@@ -299,16 +306,16 @@ funnel AS (SELECT dc.*, coalesce(confirmed_orders, 0) AS confirmed_orders, coale
 """
 
 
-def sales(t):
-    return marts.sales_daily(staged_orders(t), staged_products(t))
+def sales(t, orders=None):
+    return marts.sales_daily(orders or staged_orders(t), staged_products(t))
 
 
 def ltv(t):
     return marts.customer_ltv(staged_customers(t), staged_orders(t), AS_OF, LTV_SEGMENTS)
 
 
-def performance(t):
-    return marts.product_performance(staged_products(t), staged_orders(t))
+def performance(t, orders=None):
+    return marts.product_performance(staged_products(t), orders or staged_orders(t))
 
 
 def daily_funnel(t):
@@ -403,7 +410,8 @@ WITH_FEATURES = f"{STAGED}, {DAILY}, {PERFORMANCE}, {FEATURES}"
 
 
 def features(t):
-    return forecast.training_features(staged_orders(t), performance(t), sales(t))
+    orders = staged_orders(t)
+    return forecast.training_features(orders, performance(t, orders), sales(t, orders))
 
 
 @query(f"{WITH_FEATURES} SELECT * FROM features")

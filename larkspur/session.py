@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,13 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+    """Write ``df`` to the shared folder and continue from the files.
 
     Used where a result feeds several branches that must see the same rows, and
     where an expensive prefix would otherwise be computed more than once. The
-    files survive the loss of an executor.
+    files outlive an executor, are columnar (each branch reads only the columns
+    it uses) and have a known size, which helps the planner choose joins.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/cuts/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
