@@ -135,9 +135,9 @@ def sort_order_by(t):
     return t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "o_custkey")
 
 
-@query("SELECT * FROM nation ORDER BY n_nationkey LIMIT 10")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
 def sort_limit(t):
-    return t.nation.orderBy("n_nationkey").limit(10)
+    return t.orders.select(*ORDER_COLUMNS).orderBy("o_orderkey").limit(10)
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 10000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")

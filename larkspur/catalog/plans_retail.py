@@ -458,7 +458,7 @@ def ml_regression_metrics(t):
 
 @query(f"""
 {WITH_FEATURES}, latest AS (SELECT * FROM features WHERE week_start = (SELECT max(week_start) FROM features))
-SELECT product_id, product_name, category, list_price, stock_quantity, current_week_units_sold, round(current_week_units_sold * 1.1) AS predicted_units,
+SELECT product_id, product_name, category, list_price, stock_quantity, current_week_units_sold, CAST(round(current_week_units_sold * 1.1) AS DOUBLE) AS predicted_units,
   TIMESTAMP '{AS_OF}' AS forecast_generated_at, DATE '{AS_OF}' + 7 AS forecast_for_week_starting FROM latest
 """)
 def ml_forecast_table(t):

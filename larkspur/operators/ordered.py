@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from larkspur.session import cut
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
 SAMPLES_PER_SEGMENT = 64
+TRACKED_KEYS = 20_000
 
 
 def _parse(order):
@@ -75,16 +76,27 @@ def _precedes(bound: Column, order) -> Column:
 
 
 def hot_groups(df: DataFrame, keys, max_rows: int):
-    """Keys with more than ``max_rows`` rows and at least 1/1000 of the table.
+    """Keys with more than ``max_rows`` rows and at least 1/1000 of the table, with their counts.
 
     The second condition bounds the list: there can be at most 1,000 such keys.
-    The count is combined before its shuffle, so a hot key costs one row a task.
+    A sketch of frequent keys finds the candidates in one scan without a shuffle
+    of the keys; it tracks enough of them to miss no key above a thousandth, and
+    its counts are never too low. Only candidates are then counted exactly.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    ranked = counts.withColumn("_total", total)
-    limit = F.greatest(F.lit(max_rows), F.floor(F.col("_total") / MAX_HOT_KEYS))
-    return ranked.filter(F.col("_n") > limit).collect()
+    if not keys:
+        total = df.count()
+        return [Row(_n=total, _total=total)] if total > max_rows else []
+    hashed = F.xxhash64(*keys)
+    frequent = F.expr(f"approx_top_k(_h, {2 * MAX_HOT_KEYS}, {TRACKED_KEYS})")
+    total, found = (
+        df.select(hashed.alias("_h")).agg(F.count(F.lit(1)).alias("total"), frequent.alias("found")).first()
+    )
+    limit = max(max_rows, total // MAX_HOT_KEYS)
+    candidates = [item["item"] for item in found or [] if item["count"] > limit]
+    if not candidates:
+        return []
+    counts = df.filter(hashed.isin(*candidates)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > limit).withColumn("_total", F.lit(total)).collect()
 
 
 def segments(df: DataFrame, keys, order, max_rows: int | None = None):
@@ -242,21 +254,74 @@ def tile_number(position: Column, rows: Column, n: int) -> Column:
     return F.when(position <= extra * (small + 1), in_large).otherwise(in_small).cast("int")
 
 
+def _position(q: float, total: Column) -> Column:
+    return F.lit(q) * (total - 1)
+
+
+def _brackets(df: DataFrame, keys, hot, q: float) -> DataFrame:
+    """Per hot key, two values around the quantile and the number of rows below the lower one.
+
+    The values come from a mergeable sketch a thousandth to either side; should
+    the wanted rows lie outside all the same, that key gets open bounds.
+    """
+    spark = df.sparkSession
+    ends = [max(q - 0.001, 0.0), min(q + 0.001, 1.0)]
+    fields = [df.schema[k] for k in keys]
+    if keys:
+        names = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], T.StructType(fields)))
+        rows = df.join(names, _same(df, names, keys), "left_semi")
+    else:
+        rows = df
+    sketch = F.percentile_approx("_v", ends, 10_000)
+    # at most 1,000 keys from here on
+    near = rows.groupBy(*keys).agg(sketch.alias("_e")).select(*keys, F.col("_e")[0].alias("_from"), F.col("_e")[1].alias("_to"))
+    kinds = [T.StructField(n, T.DoubleType()) for n in ("_from", "_to")]
+    fixed = spark.createDataFrame(near.collect(), T.StructType(fields + kinds))
+    sides = _bounded(rows, fixed, keys).groupBy(*keys, "_from", "_to").agg(
+        F.count(F.lit(1)).alias("_all"), F.count_if(F.col("_v") < F.col("_from")).alias("_below"),
+        F.count_if(F.col("_v").between(F.col("_from"), F.col("_to"))).alias("_inside"),
+    )
+    at = _position(q, F.col("_all"))
+    good = (F.floor(at) >= F.col("_below")) & (F.ceil(at) < F.col("_below") + F.col("_inside"))
+    low, high = F.lit(float("-inf")), F.lit(float("nan"))  # NaN sorts last
+    checked = sides.select(
+        *keys, F.when(good, F.col("_from")).otherwise(low).alias("_from"), F.when(good, F.col("_to")).otherwise(high).alias("_to"),
+        F.when(good, F.col("_below")).otherwise(F.lit(0)).cast("long").alias("_below"),
+    )
+    return spark.createDataFrame(checked.collect(), checked.schema)
+
+
+def _bounded(df: DataFrame, bounds: DataFrame, keys) -> DataFrame:
+    if keys:
+        return attach(df, F.broadcast(bounds), keys)
+    one = bounds.select(F.struct("*").alias("_b")).scalar()
+    return df.withColumn("_b", one).select("*", "_b.*").drop("_b")
+
+
 def percentile(df: DataFrame, keys, value: str, q: float, alias="percentile", max_rows=None) -> DataFrame:
-    """Exact interpolated quantile per key, from counts of distinct values.
+    """Exact interpolated quantile per key.
 
     Distinct values are counted with map-side combining and numbered by running
-    count; only the one or two values around the wanted position are kept.
+    count; the one or two around the wanted position are kept. Of a hot key only
+    the rows in a narrow bracket around the quantile take part, the rows below
+    are merely counted.
     """
     keys = list(keys)
-    clean = df.filter(F.col(value).isNotNull())
-    counts = clean.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    running = prefix_sums(counts, keys, ["_v"], {"_upto": F.col("_n")}, max_rows)
-    if keys:
-        placed = attach(running, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
+    clean = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    sizes = F.count(F.lit(1))
+    totals = clean.groupBy(*keys).agg(sizes.alias("_total")) if keys else clean.agg(sizes)
+    hot = hot_groups(clean, keys, rows_per_task(df, max_rows))
+    if hot:
+        bounds = _brackets(clean, keys, hot, q)
+        inside = F.col("_from").isNull() | ((F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to")))
+        band = _bounded(clean, bounds, keys).filter(inside).drop("_from", "_to")
     else:
-        placed = running.withColumn("_total", counts.agg(F.sum("_n")).scalar())
-    at = F.lit(q) * (F.col("_total") - 1)
+        band = clean.withColumn("_below", F.lit(0))
+    counts = band.groupBy(*keys, "_v").agg(sizes.alias("_n"), F.coalesce(F.max("_below"), F.lit(0)).alias("_below"))
+    running = prefix_sums(counts, keys, ["_v"], {"_upto": F.col("_n")}, max_rows)
+    running = running.withColumn("_upto", F.col("_upto") + F.col("_below"))
+    placed = attach(running, totals, keys) if keys else running.withColumn("_total", totals.scalar())
+    at = _position(q, F.col("_total"))
     near = placed.withColumn("_lo", F.floor(at)).withColumn("_hi", F.ceil(at)).withColumn("_part", at - F.floor(at))
 
     def holds(position):

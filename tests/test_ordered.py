@@ -69,6 +69,26 @@ def test_percentile(rows, keys, q):
     same(found, expected)
 
 
+def test_percentile_of_spread_values(spark):
+    """Enough distinct values for the bracket to leave most rows out, and a key of many equal ones."""
+    base = ordered.cut(
+        spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, "even").when(F.col("id") % 3 == 1, "flat").otherwise((F.col("id") % 97).cast("string")).alias("k"),
+            F.when(F.col("id") % 3 == 1, 5.0).otherwise(F.rand(3) * 1000).alias("v"),
+        )
+    )
+    for keys in KEYS:
+        for q in (0.0, 0.123, 0.5, 0.999, 1.0):
+            found = ordered.percentile(base, keys, "v", q, "p", 2_000).withColumn("p", F.round("p", 9))
+            expected = base.groupBy(*keys).agg(F.round(F.percentile("v", q), 9).alias("p"))
+            same(found, expected)
+    hot = ordered.hot_groups(base, ["k"], 2_000)
+    inside = ordered._brackets(base.withColumnRenamed("v", "_v"), ["k"], hot, 0.5)
+    assert sorted(r.k for r in inside.collect()) == ["even", "flat"]
+    wide = inside.filter("k = 'even'").first()
+    assert base.filter("k = 'even'").filter(F.col("v").between(wide._from, wide._to)).count() < 200
+
+
 def test_hot_groups_are_few_and_segments_small(rows):
     hot = ordered.hot_groups(rows, ["k"], LIMIT)
     assert sorted((r["k"] or "") for r in hot) == ["", "hot"]
