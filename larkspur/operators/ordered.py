@@ -220,10 +220,13 @@ def running_sum(df: DataFrame, keys, order, value: str, alias="running_sum", max
     keys = list(keys)
     if not hot_groups(df, keys, rows_per_task(df, max_rows)):
         return df.withColumn(alias, F.sum(value).over(plain_window(keys, order)))
-    return _by_value(
-        df, keys, order, [F.coalesce(F.sum(value), F.lit(0)).alias("_v")], {alias: F.col("_v")},
-        lambda v: v.drop("_v"), max_rows,
-    )
+    extra = [F.coalesce(F.sum(value), F.lit(0)).alias("_v"), F.count(value).alias("_c")]
+
+    def finish(values):
+        # a sum of nothing but nulls is null
+        return values.withColumn(alias, F.when(F.col("_seen") > 0, F.col(alias))).drop("_v", "_c", "_seen")
+
+    return _by_value(df, keys, order, extra, {alias: F.col("_v"), "_seen": F.col("_c")}, finish, max_rows)
 
 
 def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, max_rows=None) -> DataFrame:

@@ -19,6 +19,12 @@ def tables_like(spark: SparkSession, pattern: str, exclude: str = "", database:
     )
 
 
+def frames_like(spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None) -> dict[str, DataFrame]:
+    """The matching tables by name, ready for ``union_relations``."""
+    prefix = f"{database}." if database else ""
+    return {name: spark.table(f"{prefix}{name}") for name in tables_like(spark, pattern, exclude, database)}
+
+
 def union_relations(
     frames: dict[str, DataFrame],
     column_override: dict[str, str] | None = None,

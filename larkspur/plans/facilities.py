@@ -23,6 +23,7 @@ ABOVE = "Above the national average"
 SCORES = {ABOVE: 2, "Same as the national average": 1, "Below the national average": 0, "Not Available": 1}
 ALERT_REASON = "High readmission AND high mortality vs national average"
 ALERT_SEVERITY = "HIGH"
+VERSION = "v1.0"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -66,13 +67,12 @@ def score(records: DataFrame, salt: str) -> DataFrame:
 
 def routes(records: DataFrame, salt: str, at) -> dict[str, DataFrame]:
     """The three outputs: curated records, alerts, dead letters."""
-    valid, invalid = routing.split(validate(records))
-    scored = score(valid, salt)
+    now = F.lit(at).cast("timestamp")
+    stamped = records.withColumns({"ingested_at": now, "pipeline_version": F.lit(VERSION)})
+    valid, invalid = routing.split(validate(stamped))
+    scored = score(valid, salt).withColumn("enriched_at", now)
     alerts = scored.filter("is_high_risk").withColumns(
-        {
-            "alert_reason": F.lit(ALERT_REASON), "alert_severity": F.lit(ALERT_SEVERITY),
-            "alert_created_at": F.lit(at).cast("timestamp"),
-        }
+        {"alert_reason": F.lit(ALERT_REASON), "alert_severity": F.lit(ALERT_SEVERITY), "alert_created_at": now}
     )
     return {"curated": scored.filter("NOT is_high_risk"), "alerts": alerts, "dead_letter": invalid}
 

@@ -59,13 +59,14 @@ def dead_letters(parsed: DataFrame, raw: str = "raw") -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).select(raw, "error")
 
 
-def enrich(events: DataFrame, salt: str, version: str) -> DataFrame:
-    """Severity score, masked patient id, critical flag, version."""
+def enrich(events: DataFrame, salt: str, version: str, processed_at=None) -> DataFrame:
+    """Severity score, masked patient id, critical flag, processing time, version."""
     return events.withColumns(
         {
             "severity_score": map_values("severity", SEVERITY_SCORES, 1),
             "patient_id_masked": masked_id(F.coalesce("patient_id", F.lit("")), salt, 10),
             "is_critical": F.coalesce(F.col("severity") == "CRITICAL", F.lit(False)),
+            "processed_at": F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp"),
             "pipeline_version": F.lit(version),
         }
     )
@@ -112,3 +113,15 @@ def valid_prices(quotes: DataFrame, source: str, version: str) -> DataFrame:
         half_up(change, 4).alias("change_24h_pct"), "ingested_at", F.lit(source).alias("source"),
         F.lit(version).alias("pipeline_version"),
     )
+
+
+def as_report(stats: DataFrame, computed_at=None) -> DataFrame:
+    """Window statistics with their bounds as text in UTC and the time of computation."""
+    form = "yyyy-MM-dd HH:mm:ss 'UTC'"
+    now = F.current_timestamp() if computed_at is None else F.lit(computed_at).cast("timestamp")
+    return stats.withColumns(
+        {
+            "window_start": F.date_format("window_start", form), "window_end": F.date_format("window_end", form),
+            "computed_at": F.date_format(now, form),
+        }
+    )

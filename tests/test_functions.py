@@ -158,6 +158,14 @@ def test_union_relations(spark):
         sets.union_relations({"one": one}, include=["id"], exclude=["name"])
 
 
+def test_tables_by_pattern(spark):
+    for i in (1, 2, 3):
+        spark.range(i).createOrReplaceTempView(f"daily_2018010{i}")
+    found = sets.frames_like(spark, "daily_*", exclude="*03")
+    assert sorted(found) == ["daily_20180101", "daily_20180102"]
+    assert sets.union_relations(found).groupBy("source_relation").count().count() == 2
+
+
 def test_deduplicate_and_clean(spark):
     df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
     kept = ordered.first_per_group(df, ["user_id"], ["-version"])

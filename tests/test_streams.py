@@ -50,9 +50,15 @@ def test_sliding_windows_overlap(spark):
     assert sorted(r.window_start.minute for r in stats.collect()) == [1, 2, 3]
 
 
+def test_report_texts(spark):
+    rows = spark.createDataFrame([admission("A", "LOW", 3, 30)], SCHEMA)
+    report = events.as_report(events.window_stats(rows, "hospital_id", "at"), "2024-01-01 11:00:00").first()
+    assert (report.window_start, report.computed_at) == ("2024-01-01 10:00:00 UTC", "2024-01-01 11:00:00 UTC")
+
+
 def test_sample_comes_from_the_first_event(spark):
     rows = spark.createDataFrame([admission("A", "LOW", 2), admission("A", "HIGH", 1)], SCHEMA)
-    stats = events.window_stats(rows.withColumnRenamed("severity_score", "severity_score"), "hospital_id", "at", sample=["severity"])
+    stats = events.window_stats(rows, "hospital_id", "at", sample=["severity"])
     assert stats.first().severity == "HIGH"
 
 
