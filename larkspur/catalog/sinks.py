@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larkspur.catalog.layout import scratch
 from larkspur.catalog.registry import query
+from larkspur.catalog.streams import event_files
 from larkspur.functions.nested import json_scalar
 from larkspur.functions.numbers import exact_sum
 from larkspur.session import cut
@@ -112,7 +113,7 @@ def write_append(t):
 @query("SELECT event_id, event_type, value FROM events")
 def write_stream_append(t):
     folder = scratch(t, "stream_append")
-    stream = events.read_files(t.spark, t.folder, t.events.schema, "events.parquet").select("event_id", "event_type", "value")
+    stream = events.read_files(t.spark, event_files(t), t.events.schema).select("event_id", "event_type", "value")
     sinks.finish(sinks.append_to(stream, f"{folder}/rows", f"{folder}/state"))
     return t.spark.read.parquet(f"{folder}/rows")
 

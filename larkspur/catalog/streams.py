@@ -13,8 +13,13 @@ FIELDS = "hospital_id string, severity string, patient_id string, at string"
 SEVERITY = "CASE event_type WHEN 'view' THEN 'LOW' WHEN 'click' THEN 'MEDIUM' WHEN 'purchase' THEN 'HIGH' WHEN 'error' THEN 'CRITICAL' END"
 
 
+def event_files(t):
+    """A pattern, so that the table may be a file or a folder of files."""
+    return f"{t.folder}/event[s].parquet"
+
+
 def event_stream(t):
-    return events.read_files(t.spark, t.folder, t.events.schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.read_files(t.spark, event_files(t), t.events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def messages(t):

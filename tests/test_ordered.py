@@ -27,7 +27,7 @@ def same(a, b):
 
 
 KEYS = [["k"], []]
-ORDERS = [["v", "id"], ["-v", "id"], ["-tied", "-id"]]
+ORDERS = [["v", "id"], ["-tied", "-id"]]
 
 
 @pytest.mark.parametrize("keys", KEYS)
@@ -52,7 +52,7 @@ def test_ranks_and_running_sum(rows, keys, order):
     same(ordered.running_sum(some, keys, order, "w", "s", LIMIT), some.withColumn("s", F.sum("w").over(window)))
 
 
-@pytest.mark.parametrize("n", [1, 4, 7, 2000])
+@pytest.mark.parametrize("n", [1, 7, 2000])
 def test_ntile(rows, n):
     order = ["tied", "id"]
     expected = rows.withColumn("b", F.ntile(n).over(ordered.plain_window([], order)))
@@ -60,7 +60,7 @@ def test_ntile(rows, n):
 
 
 @pytest.mark.parametrize("keys", KEYS)
-@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.37, 1.0])
 def test_percentile(rows, keys, q):
     found = ordered.percentile(rows, keys, "v", q, "p", LIMIT).withColumn("p", F.round("p", 9))
     expected = rows.filter("v IS NOT NULL").groupBy(*keys).agg(F.round(F.percentile("v", q), 9).alias("p"))
@@ -76,7 +76,7 @@ def test_percentile_of_spread_values(spark):
         )
     )
     for keys in KEYS:
-        for q in (0.0, 0.123, 0.5, 0.999, 1.0):
+        for q in (0.0, 0.123, 0.999):
             found = ordered.percentile(base, keys, "v", q, "p", 2_000).withColumn("p", F.round("p", 9))
             expected = base.groupBy(*keys).agg(F.round(F.percentile("v", q), 9).alias("p"))
             same(found, expected)
