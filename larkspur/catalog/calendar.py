@@ -203,16 +203,15 @@ FROM (SELECT date_day, CAST(date_day - INTERVAL 1 YEAR AS DATE) AS py, date_day
   (SELECT CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS date_day FROM {SPAN}))
 """
 
+# A year ends on the Saturday closest to 31 January: the one on or after it, or the one before.
 FISCAL = f"""
-WITH dim AS ({DIMENSION}),
-weeks AS (SELECT year_number, month_of_year, date_day AS ws, date_day + 6 AS we FROM dim WHERE day_of_week = 1),
-ends AS (SELECT m.fy, w.we, rank() OVER (PARTITION BY m.fy ORDER BY abs(date_diff('day', w.we, m.month_end_date))) AS r
-  FROM (SELECT DISTINCT year_number - 1 AS fy, month_end_date FROM dim WHERE month_of_year = 1) m
-  JOIN (SELECT DISTINCT year_number - 1 AS fy, we FROM weeks WHERE month_of_year = 1) w ON m.fy = w.fy),
-spans AS (SELECT fy, lag(we) OVER (ORDER BY we) + 1 AS fs, we AS fe FROM ends WHERE r = 1),
-fiscal AS (SELECT date_day, CAST(fy AS INTEGER) AS fiscal_year_number, fs AS fiscal_year_start_date, fe AS fiscal_year_end_date, ws AS week_start_date, we AS week_end_date,
-  CAST(dense_rank() OVER (PARTITION BY fy ORDER BY ws) AS INTEGER) AS fiscal_week_of_year
-  FROM dim JOIN spans ON date_day BETWEEN fs AND fe JOIN weeks ON date_day BETWEEN ws AND we)
+WITH dim AS (SELECT CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS date_day FROM {SPAN}),
+jan AS (SELECT DISTINCT year(date_day) AS y, make_date(year(date_day), 1, 31) AS e FROM dim WHERE month(date_day) = 1),
+ends AS (SELECT y, CASE WHEN dayofweek(e) >= 3 THEN e + 6 - CAST(dayofweek(e) AS INTEGER) ELSE e - 1 - CAST(dayofweek(e) AS INTEGER) END AS fe FROM jan),
+fiscal AS (SELECT date_day, CAST(b.y - 1 AS INTEGER) AS fiscal_year_number, a.fe + 1 AS fiscal_year_start_date, b.fe AS fiscal_year_end_date,
+  date_day - CAST(dayofweek(date_day) AS INTEGER) AS week_start_date, date_day - CAST(dayofweek(date_day) AS INTEGER) + 6 AS week_end_date,
+  CAST((date_day - a.fe - 1) // 7 + 1 AS INTEGER) AS fiscal_week_of_year
+  FROM ends a JOIN ends b ON b.y = a.y + 1 JOIN dim ON date_day > a.fe AND date_day <= b.fe)
 """
 
 
@@ -232,10 +231,9 @@ def date_fiscal_year(t):
     return calendar.fiscal_year_dates(date_dimension(t), year_end_month=1)
 
 
-@query(FISCAL + """, q AS (SELECT *, (fiscal_week_of_year - 1) % 13 AS w13, CAST(least(floor((fiscal_week_of_year - 1) / 13.0), 3) AS INTEGER) AS qn FROM fiscal),
-p AS (SELECT *, CASE WHEN fiscal_week_of_year = 53 THEN 3 WHEN w13 BETWEEN 0 AND 3 THEN 1 WHEN w13 BETWEEN 4 AND 8 THEN 2 ELSE 3 END AS pq FROM q)
-SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-  CAST(dense_rank() OVER (PARTITION BY qn * 3 + pq ORDER BY fiscal_week_of_year) AS INTEGER) AS fiscal_week_of_period,
+@query(FISCAL + """, q AS (SELECT *, least((fiscal_week_of_year - 1) // 13, 3) AS qn FROM fiscal),
+p AS (SELECT *, fiscal_week_of_year - qn * 13 AS w, CASE WHEN fiscal_week_of_year - qn * 13 < 5 THEN 1 WHEN fiscal_week_of_year - qn * 13 < 10 THEN 2 ELSE 3 END AS pq FROM q)
+SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year, CAST(w - [0, 4, 9][pq] AS INTEGER) AS fiscal_week_of_period,
   CAST(qn * 3 + pq AS INTEGER) AS fiscal_period_number, CAST(qn + 1 AS INTEGER) AS fiscal_quarter_number, CAST(pq AS INTEGER) AS fiscal_period_of_quarter FROM p
 """)
 def date_fiscal_periods(t):

@@ -65,13 +65,17 @@ def unpivot(df: DataFrame, keep=(), drop=(), cast_to: str = "string", name="fiel
     return df.select(*ids, *casts).unpivot(ids, [f.name for f in melted], name, value)
 
 
-def top_value(df: DataFrame, keys, value: str, alias: str) -> DataFrame:
+def top_value(df: DataFrame, keys, value: str, alias: str, weight=None) -> DataFrame:
     """Most frequent value per key; ties go to the smallest value.
 
+    ``weight`` is an aggregate that replaces the row count, for rows that are
+    counts already.
+
     Counts are combined before the shuffle and each key keeps one candidate per
     task, so a hot key or a hot value stays cheap.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.count(F.lit(1)) if weight is None else weight
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(size.alias("_n"))
     window = Window.partitionBy(*keys).orderBy(F.desc("_n"), F.asc(value))
     return (
         counts.withColumn("_i", F.row_number().over(window))

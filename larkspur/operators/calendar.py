@@ -1,7 +1,8 @@
 """Calendar and 4-5-4 retail calendar tables.
 
 These frames have one row per day, so a century is some 36,500 rows; they can
-be broadcast to facts of any size.
+be broadcast to facts of any size. Their column names are fixed values: calendars
+already in use have them.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ from larkspur.operators import routing
 from larkspur.operators.rows import map_values
 from larkspur.sources import readers
 
+# Column names of the facility files.
 FIELDS = (
     "facility_id", "facility_name", "city", "state", "zip_code", "county", "hospital_type", "ownership",
     "emergency_services", "overall_rating", "readmission_comparison", "patient_experience_comparison",

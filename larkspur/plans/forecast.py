@@ -14,7 +14,7 @@ from larkspur.operators.sets import replicate
 
 TARGET = "next_week_units_sold"
 
-# product attribute -> feature name
+# Product and week attributes with the names the features go by.
 PRODUCT_FEATURES = {
     "category": "category", "list_price": "list_price", "cost_price": "cost_price", "margin_pct": "margin_pct",
     "stock_quantity": "stock_quantity", "rating": "rating", "review_count": "review_count",

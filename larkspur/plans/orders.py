@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.numbers import exact, exact_avg, exact_sum, half_up
 from larkspur.operators.rows import flag
 
+# Columns of the order files.
 ORDER_SCHEMA = (
     "order_id int, customer_id string, city string, product_category string, quantity int, unit_price double, "
     "order_date string, status string"

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The check names suites are written with.
@@ -24,9 +24,9 @@ class QualityGateError(RuntimeError):
     """Raised when a suite failed and the next stage must not run."""
 
 
-def load_suite(path: str) -> dict:
-    with open(path, encoding="utf-8") as handle:
-        return json.load(handle)
+def load_suite(spark: SparkSession, path: str) -> dict:
+    """A suite from a JSON file on any file system Spark can read."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def _bad_rows(kind: str, name: str, args: dict) -> Column | None:

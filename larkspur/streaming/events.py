@@ -13,6 +13,7 @@ from larkspur.functions.numbers import half_up
 from larkspur.functions.text import masked_id
 from larkspur.operators.rows import map_values
 
+# Fields of an admission message.
 ADMISSION_SCHEMA = (
     "event_type string, patient_id string, hospital_id string, hospital_name string, state string, hospital_type string, "
     "condition string, severity string, is_emergency boolean, timestamp string, event_id string"

@@ -172,6 +172,16 @@ def test_shape(spark):
     assert ex.type_in_list(df, "id", ["int"]).count() == 0 and ex.type_in_list(df, "id", ["string"]).count() == 1
 
 
+def test_suite_file(spark, tmp_path):
+    path = tmp_path / "suite.json"
+    path.write_text('{"expectation_suite_name": "ids",\n "expectations": [{"type": "%s", "kwargs": {"column": "id"}}]}' % suite.NOT_NULL)
+    loaded = suite.load_suite(spark, str(path))
+    log = str(tmp_path / "log")
+    suite.log_results([suite.validate(spark.range(3), loaded, "t")], log, "r1", "2024-01-01")
+    row = spark.read.parquet(log).first()
+    assert (row.suite_name, row.success, row.success_percent, row.failure_details, row.run_id) == ("ids", True, 100.0, None, "r1")
+
+
 def test_suite_and_gate(spark):
     df = frame(spark, [(1, 5, "a1"), (1, None, "b"), (None, 50, None)], "id int, n int, code string")
     checks_list = [
