@@ -32,19 +32,11 @@ def _sold():
 def sales_daily(orders: DataFrame, products: DataFrame, payment_methods=PAYMENT_METHODS) -> DataFrame:
     """One row per day: revenue, orders, customers, cancellations, payment mix, best category.
 
-    Ties for the best category go to the first name.
+    The category is that of the catalogue, or else the one on the order. Ties for
+    the best category go to the first name.
     """
-    categories = products.select("product_id", "category")
-    lines = (
-        orders.select(
-            "order_date", "order_id", "customer_id", "product_id", "total_amount", "quantity", "order_status",
-            "payment_method", "product_category",
-        )
-        .join(categories, "product_id", "left")
-        .withColumn("category", F.coalesce("category", "product_category"))
-    )
     revenue = exact_sum(F.when(_sold(), F.col("total_amount")).otherwise(0.0))
-    daily = lines.groupBy("order_date").agg(
+    daily = orders.groupBy("order_date").agg(
         revenue.alias("total_revenue"),
         F.count("order_id").alias("order_count"),
         F.coalesce(half_up(safe_divide(revenue, F.count_if(_sold())), 2), F.lit(0.0)).alias("avg_order_value"),
@@ -54,7 +46,15 @@ def sales_daily(orders: DataFrame, products: DataFrame, payment_methods=PAYMENT_
         percent(F.count_if(~_sold()), F.count("order_id")).alias("cancellation_rate"),
         *[F.count_if(F.col("payment_method") == m).alias(f"{m}_orders") for m in payment_methods],
     )
-    by_category = lines.filter(_sold()).groupBy("order_date", "category").agg(F.sum(exact("total_amount")).alias("_r"))
+    # summed per product before the catalogue is joined: the join sees days x products, not orders
+    per_product = orders.filter(_sold()).groupBy("order_date", "product_id", "product_category").agg(
+        F.sum(exact("total_amount")).alias("_r")
+    )
+    by_category = (
+        per_product.join(products.select("product_id", "category"), "product_id", "left")
+        .groupBy("order_date", F.coalesce("category", "product_category").alias("category"))
+        .agg(F.sum("_r").alias("_r"))
+    )
     best = ordered.first_per_group(by_category, ["order_date"], ["-_r", "category"])
     return daily.join(best.select("order_date", F.col("category").alias("top_category")), "order_date", "left")
 
