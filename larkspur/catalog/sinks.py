@@ -110,14 +110,6 @@ def write_append(t):
     return t.spark.read.parquet(folder).select("c_custkey", "c_mktsegment", "_batch_id", "_ingested_date")
 
 
-@query("SELECT event_id, event_type, value FROM events")
-def write_stream_append(t):
-    folder = scratch(t, "stream_append")
-    stream = events.read_files(t.spark, event_files(t), t.events.schema).select("event_id", "event_type", "value")
-    sinks.finish(sinks.append_to(stream, f"{folder}/rows", f"{folder}/state"))
-    return t.spark.read.parquet(f"{folder}/rows")
-
-
 def scratch_table(name):
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
@@ -129,6 +121,17 @@ def read_and_drop(t, name):
     return rows
 
 
+@query("SELECT event_id, event_type, value FROM events")
+def write_stream_append(t):
+    """Into a table that exists; the stream never creates one."""
+    name, folder = scratch_table("streamed"), scratch(t, "stream_append")
+    writers.ensure_table(t.spark, name, "event_id BIGINT, event_type STRING, value DOUBLE", path=f"{folder}/rows")
+    stream = events.read_files(t.spark, event_files(t), t.events.schema).select("event_id", "event_type", "value")
+    sinks.finish(sinks.insert_to(stream, name, f"{folder}/state"))
+    t.spark.catalog.refreshTable(name)
+    return read_and_drop(t, name)
+
+
 @query("SELECT o_orderkey AS order_id, o_totalprice AS amount FROM orders")
 def ensure_table(t):
     name = scratch_table("ensured")

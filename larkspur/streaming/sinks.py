@@ -23,6 +23,15 @@ def append_to(stream: DataFrame, folder: str, state: str, trigger: dict = AVAILA
     )
 
 
+def insert_to(stream: DataFrame, table: str, state: str, trigger: dict = AVAILABLE):
+    """Append rows of a stream to a table that must exist already."""
+    if not stream.sparkSession.catalog.tableExists(table):
+        raise ValueError(f"no table {table}")
+    return (
+        stream.writeStream.option("checkpointLocation", state).outputMode("append").trigger(**trigger).toTable(table)
+    )
+
+
 def updates_to(stream: DataFrame, folder: str, state: str, trigger: dict = AVAILABLE):
     """Write each batch's new and corrected rows of an aggregated stream."""
     return (

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from larkspur.sources import writers
 from larkspur.streaming import events, sinks
 
 SCHEMA = "hospital_id string, severity string, severity_score int, is_critical boolean, at timestamp"
@@ -112,3 +114,17 @@ def test_routes_are_written_once(spark, tmp_path):
         sinks.finish(sinks.route_to(stream, routes, f"{folder}/state"))
     assert sinks.stored_rows(spark, f"{folder}/even").count() == 5
     assert sinks.stored_rows(spark, f"{folder}/odd").count() == 5
+
+
+def test_insert_needs_a_table(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.range(5).write.parquet(f"{folder}/in")
+    stream = events.read_files(spark, f"{folder}/in", "id long")
+    with pytest.raises(ValueError):
+        sinks.insert_to(stream, "not_there", f"{folder}/state")
+    writers.ensure_table(spark, "there", "id BIGINT", path=f"{folder}/rows")
+    for _ in range(2):
+        sinks.finish(sinks.insert_to(stream, "there", f"{folder}/state"))
+    spark.catalog.refreshTable("there")
+    assert spark.table("there").count() == 5
+    spark.sql("DROP TABLE there")
