@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from larkspur.catalog.registry import query
 from larkspur.functions.numbers import exact
-from larkspur.functions.text import url_parameter
 from larkspur.operators import ordered, rows, sets
 
 
