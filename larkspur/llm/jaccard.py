@@ -4,8 +4,8 @@ A document of n shingles that asks for k matches takes the first
 ``n - least(n) + k`` of them, rarest first; two linked documents share at least
 min(k, k') of the tokens that both prefixes hold at that depth. Longer prefixes
 cost more postings but let fewer pairs through. Each document picks its k by
-estimated cost: the postings its prefix would meet, plus one verification for
-every k of them.
+estimated cost: the postings its prefix would meet, and the verifications of
+the sets that share k of its tokens.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ from larkspur.session import cut
 
 #: Match counts a document may choose from.
 DEPTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
-#: Postings read for the price of comparing one shingle in verification.
-POSTING_COST = 1 / 8
+#: What a met posting costs, which is joined, moved and counted; in shingles compared.
+POSTING_COST = 4
+
+
+POSTING = {"t": "long", "v": "long", "n": "long", "level": "int", "depth": "int", "place": "long", "centre": "double"}
 
 
 def _measure(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -38,7 +41,11 @@ def _measure(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
 
 
 def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Postings (t, v, n, level, depth): level is the smallest k whose prefix holds the token."""
+    """Postings (t, v, n, level, depth, place, centre).
+
+    Level is the smallest k whose prefix holds the token. Centre is the mean log of the set's token counts: of a group of near copies, the
+    text that the others were made from has no tokens of its own and comes first.
+    """
     for batch in batches:
         v, n, rare = (batch.column(i) for i in range(3))
         bounds = rare.offsets.to_numpy()
@@ -51,14 +58,24 @@ def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
             level = np.maximum(1, place - (size - rule.least(size)) + 1)
             met = np.append(0, np.cumsum(own - 1))
             reach = [int(np.searchsorted(level, k, "right")) for k in DEPTHS]
-            cost = [met[r] * POSTING_COST + met[r] / k * size for k, r in zip(DEPTHS, reach)]
+            cost = [met[r] * POSTING_COST + size * _candidates(own[:r] - 1, k) for k, r in zip(DEPTHS, reach)]
             ks = [j for j, k in enumerate(DEPTHS) if k <= rule.least(size)]
             best = min(ks, key=lambda j: (cost[j], j))
             r = reach[best]
-            out.append((tokens[:r], level[:r], np.full(r, v[i].as_py()), np.full(r, size), np.full(r, DEPTHS[best])))
+            out.append((tokens[:r], level[:r], np.full(r, v[i].as_py()), np.full(r, size), np.full(r, DEPTHS[best]), place[:r], np.full(r, np.log2(own).sum() / size)))
         if out:
-            t_, level, v_, n_, depth = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(t_), pa.array(v_), pa.array(n_), pa.array(level.astype(np.int32)), pa.array(depth.astype(np.int32))], ["t", "v", "n", "level", "depth"])
+            t_, level, v_, n_, depth, place, centre = (np.concatenate(x) for x in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(t_), pa.array(v_), pa.array(n_), pa.array(level.astype(np.int32)), pa.array(depth.astype(np.int32)), pa.array(place), pa.array(centre)], list(POSTING))
+
+
+def _candidates(others: np.ndarray, k: int) -> float:
+    """Estimated number of sets that share k tokens or more, from the tokens' counts.
+
+    At most the k-th largest count if the lists hold the same sets, and never more than all counts over k.
+    """
+    if len(others) < k:
+        return 0.0
+    return min(float(np.partition(others, len(others) - k)[len(others) - k]), float(others.sum()) / k)
 
 
 def _enough(pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -69,25 +86,29 @@ def _enough(pairs: DataFrame, rule: Rule) -> DataFrame:
     return counted.where("hits >= k")
 
 
-def _fits(rule: Rule):
-    return (F.col("n") * 100 >= F.col("w_n") * rule.percent) & (F.col("w_n") * 100 >= F.col("n") * rule.percent)
+def _may_link(rule: Rule):
+    """Length filter, and positional filter for the first k common tokens: those before, and what is left from here on."""
+    k = F.least("depth", "w_depth")
+    rest = F.least(F.col("n") - F.col("place"), F.col("w_n") - F.col("w_place"))
+    need = F.ceil((F.col("n") + F.col("w_n")) * rule.percent / (100 + rule.percent))
+    return (F.col("n") * 100 >= F.col("w_n") * rule.percent) & (F.col("w_n") * 100 >= F.col("n") * rule.percent) & (rest + k - 1 >= need)
 
 
 def _renamed(postings: DataFrame, *more: str) -> DataFrame:
-    return postings.select("t", *(F.col(c).alias(c if c == "v" else f"w_{c}") for c in ("n", "level", "depth", *more)), F.col("v").alias("w"))
+    return postings.select("t", *(F.col(c).alias(c if c == "v" else f"w_{c}") for c in ("n", "level", "depth", "place", *more)), F.col("v").alias("w"))
 
 
 def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
     """Enough links (v, w) among ``sets`` to connect all that are connected.
 
     In the first rounds every set is compared with one candidate only: of the
-    pivots of its tokens' posting lists, the one with most matches. Then all
+    pivots of its tokens' posting lists (first the most central members, then others), the one with most matches. Then all
     candidate pairs across what is not yet connected are compared. So a large
     group of near copies costs a comparison a member, not one a pair, and no
     link between two groups is lost.
     """
     postings = cut(
-        setjoin.rarity(sets).mapInArrow(partial(_prefixes, rule=rule), "t long, v long, n long, level int, depth int")
+        setjoin.rarity(sets).mapInArrow(partial(_prefixes, rule=rule), ", ".join(f"{c} {k}" for c, k in POSTING.items()))
     )
     links, root = None, None
     for number in range(rounds + 1):
@@ -95,10 +116,11 @@ def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
         if root is not None:
             labelled = postings.join(root, F.col("v") == F.col("node"), "left").select(*postings.columns, F.coalesce("root", "v").alias("root"))
         if number < rounds:
-            member = F.struct("v", "n", "level", "depth", "root")
-            pivot = labelled.groupBy("t").agg(F.min_by(member, F.xxhash64("root", F.lit(number))).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-            pivot = pivot.where("lo <> hi").select("t", *(F.col(f"p.{c}").alias("w" if c == "v" else f"w_{c}") for c in ("v", "n", "level", "depth", "root")))
-            met = labelled.join(pivot, "t").where((F.col("root") != F.col("w_root")) & _fits(rule))
+            member = F.struct("v", "n", "level", "depth", "place", "root")
+            first = F.struct("centre", "v") if number == 0 else F.struct(F.xxhash64("root", F.lit(number)), "centre", "v")
+            pivot = labelled.groupBy("t").agg(F.max_by(member, first).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+            pivot = pivot.where("lo <> hi").select("t", *(F.col(f"p.{c}").alias("w" if c == "v" else f"w_{c}") for c in ("v", "n", "level", "depth", "place", "root")))
+            met = labelled.join(pivot, "t").where((F.col("root") != F.col("w_root")) & _may_link(rule))
             pairs = _enough(met, rule).groupBy("v").agg(F.max_by("w", F.struct("hits", "w")).alias("w"))
         else:
             counts = labelled.groupBy("t", "root").agg(F.count("*").alias("c"))
@@ -106,7 +128,7 @@ def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
             listed = cut(labelled.join(most, "t"))
             other = _renamed(listed, "root", "most")
             met = listed.where("root <> most").join(other, "t").where(
-                (F.col("root") != F.col("w_root")) & ((F.col("w_root") == F.col("w_most")) | (F.col("v") < F.col("w"))) & _fits(rule)
+                (F.col("root") != F.col("w_root")) & ((F.col("w_root") == F.col("w_most")) | (F.col("v") < F.col("w"))) & _may_link(rule)
             )
             pairs = _enough(met, rule)
         found = setjoin.linked(pairs, sets, rule)

@@ -23,7 +23,7 @@ from larkspur.llm import arrays
 from larkspur.session import cut
 
 #: Posted tokens that one screening task should hold.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 6_000_000
 
 
 @dataclass(frozen=True)
@@ -203,9 +203,14 @@ def rarity(sets: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (v, w) whose whole sets are similar enough."""
+    """The pairs (v, w) whose whole sets are similar enough.
+
+    The pairs are written first, so that their size is known and only the sets they name are moved.
+    """
+    pairs = cut(pairs.select("v", "w"))
     left = sets.select("v", F.col("n").alias("n_v"), F.col("tokens").alias("t_v"))
     right = sets.select(F.col("v").alias("w"), F.col("n").alias("n_w"), F.col("tokens").alias("t_w"))
-    common = pairs.select("v", "w").join(left, "v").join(right, "w")
+    right = right.join(pairs.select("w").distinct(), "w", "left_semi")
+    common = pairs.join(left, "v").join(right, "w")
     common = common.select("v", "w", "n_v", "n_w", F.size(F.array_intersect("t_v", "t_w")).alias("c"))
     return common.where(F.col("c") * 100 >= rule.percent * (F.col("n_v") + F.col("n_w") - F.col("c"))).select("v", "w")
