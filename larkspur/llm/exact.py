@@ -140,7 +140,8 @@ def _local(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
     rows, size = [], 0
     for content, members in groups(hashed(records()), limit):
         digest = hashlib.sha256(content).hexdigest()
-        top, uid = max(members), members[0][2]
+        (has, *last), uid = max(members), members[0][2]
+        top = (bool(has), *last)
         for i, (has, id, row) in enumerate(members):
             own = (content.decode(), *top, len(members)) if i == 0 else (None,) * 5
             rows.append((id if has else None, row, uid, digest, *own))

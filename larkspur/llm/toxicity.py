@@ -30,8 +30,8 @@ CHAIN = 256
 HEADS = (4, 5, 6, 7)
 
 _STOP = bytes(b in b".!?\n" for b in range(256))
-#: Log-likelihood ratio from which a feature marks toxic documents; e^20 is far above the number of features tried.
-SURPRISE = 20
+#: Log-likelihood ratio from which a feature marks toxic documents; e^16 is far above the number of features tried.
+SURPRISE = 16
 SPANS = "array<struct<start:int,end:int,score:double>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
@@ -252,10 +252,11 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     labels = token_labels(numbers, len(known), of.words.bounds, toxic)
     model = fit_chain(known, numbers, labels, of.bounds)
     x = summary(marginals(model.emission(of.words), of.bounds, model), of.words.bounds)
-    weight = np.zeros(3)
+    prior = np.array([0.0, 0.0, -2.0])  # without labels no text is toxic
+    weight = prior
     for _ in range(30):  # Newton's method with a small penalty
         chance = 1 / (1 + np.exp(-np.clip(x @ weight, -30, 30)))
-        slope = x.T @ (chance - toxic) + 0.1 * weight
+        slope = x.T @ (chance - toxic) + 0.1 * (weight - prior)
         curve = (x * (chance * (1 - chance))[:, None]).T @ x + 0.1 * np.eye(3)
         weight = weight - np.linalg.solve(curve, slope)
     model.score = weight
@@ -287,7 +288,8 @@ def train(df: DataFrame, labels: DataFrame, where: Column | None = None, id: str
     docs = df.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sample = docs.where(chosen).join(marked.where(chosen), "doc_id").select("text", "toxic")
     sample = sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), "toxic")
-    return pickle.loads(sample.mapInArrow(partial(_fit, words=words), "model binary").first()["model"])
+    row = sample.mapInArrow(partial(_fit, words=words), "model binary").first()
+    return pickle.loads(row["model"]) if row else fit(pa.array([], pa.string()), np.zeros(0))
 
 
 def _score(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
