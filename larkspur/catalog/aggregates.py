@@ -8,7 +8,7 @@ from larkspur.catalog.registry import query, rounded
 from larkspur.functions.numbers import exact_avg, exact_sum
 from larkspur.operators import aggregates, ordered
 
-TOTAL = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+TOTAL = "CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE)"
 
 
 @query(f"SELECT o_custkey, {TOTAL} AS total_spent FROM orders GROUP BY o_custkey")
@@ -73,7 +73,7 @@ def agg_count_if(t):
     )
 
 
-@query("SELECT o_custkey, CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS open_total FROM orders GROUP BY 1")
+@query("SELECT o_custkey, CAST(CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN CAST(o_totalprice AS DECIMAL(38,10)) ELSE 0 END) AS DECIMAL(18,2)) AS DOUBLE) AS open_total FROM orders GROUP BY 1")
 def agg_sum_if(t):
     return t.orders.groupBy("o_custkey").agg(
         exact_sum(F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).otherwise(0.0)).alias("open_total")
@@ -155,12 +155,12 @@ def agg_unpivot(t):
 
 
 @query("""
-WITH a AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-b AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
-SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.n, 0) AS count_a, coalesce(b.n, 0) AS count_b,
-  abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS diff_count FROM a FULL JOIN b ON a.o_custkey = b.o_custkey
+WITH a AS (SELECT o_custkey AS custkey, count(*) AS n FROM orders GROUP BY 1),
+b AS (SELECT user_id AS custkey, count(*) AS n FROM events GROUP BY 1)
+SELECT coalesce(a.custkey, b.custkey) AS custkey, coalesce(a.n, 0) AS count_a, coalesce(b.n, 0) AS count_b,
+  abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS diff_count FROM a FULL JOIN b ON a.custkey = b.custkey
 """)
 def agg_symmetric_counts(t):
     return aggregates.compare_counts(
-        t.orders.filter("o_orderstatus = 'F'"), t.orders.filter("o_orderstatus = 'O'"), ["o_custkey"]
+        t.orders.select(F.col("o_custkey").alias("custkey")), t.events.select(F.col("user_id").alias("custkey")), ["custkey"]
     )

@@ -63,18 +63,18 @@ def dq_cardinality_equality(t):
 
 
 COUNTS = """
-WITH a AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
-c AS (SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.n, 0) AS count_a, coalesce(b.n, 0) AS count_b FROM a FULL JOIN b ON a.o_custkey = b.o_custkey)
+WITH a AS (SELECT o_custkey AS custkey, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT user_id AS custkey, count(*) AS n FROM events GROUP BY 1),
+c AS (SELECT coalesce(a.custkey, b.custkey) AS custkey, coalesce(a.n, 0) AS count_a, coalesce(b.n, 0) AS count_b FROM a FULL JOIN b ON a.custkey = b.custkey)
 """
 
 
-def by_status(t, status):
-    return t.orders.filter(F.col("o_orderstatus") == status).select("o_custkey")
+def order_and_event_keys(t):
+    return t.orders.select(F.col("o_custkey").alias("custkey")), t.events.select(F.col("user_id").alias("custkey"))
 
 
 @query(COUNTS + "SELECT *, abs(count_a - count_b) AS diff_count FROM c WHERE count_a <> count_b")
 def dq_equal_rowcount(t):
-    return checks.equal_rowcount(by_status(t, "F"), by_status(t, "P"), ["o_custkey"])
+    return checks.equal_rowcount(*order_and_event_keys(t), ["custkey"])
 
 
 @query("""
@@ -95,7 +95,7 @@ def dq_expression_is_true(t):
 
 @query(COUNTS + "SELECT *, greatest(count_a - count_b, 1) AS row_count_delta FROM c WHERE count_a >= count_b")
 def dq_fewer_rows_than(t):
-    return checks.fewer_rows_than(by_status(t, "F"), by_status(t, "P"), ["o_custkey"])
+    return checks.fewer_rows_than(*order_and_event_keys(t), ["custkey"])
 
 
 @query(f"""
@@ -176,8 +176,8 @@ def dq_funnel_sanity(t):
 
 @query("""
 SELECT *, abs(total_a - total_b) AS difference FROM (SELECT
-(SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM orders) AS total_a,
-(SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem) AS total_b) WHERE abs(total_a - total_b) > 1.0
+(SELECT CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) FROM orders) AS total_a,
+(SELECT CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) FROM lineitem) AS total_b) WHERE abs(total_a - total_b) > 1.0
 """)
 def dq_reconcile_totals(t):
     daily = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(exact_sum("o_totalprice").alias("revenue"))

@@ -8,7 +8,7 @@ from larkspur.catalog.registry import query, rounded
 from larkspur.functions.numbers import exact_sum
 from larkspur.quality import expectations as ex
 
-AMOUNT = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+AMOUNT = "CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE)"
 
 
 def prices(t):
@@ -198,7 +198,7 @@ def ex_consistent_casing(t):
 
 
 MOVING = f"""
-WITH g AS (SELECT date_trunc('month', o_orderdate) AS metric_period, o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY 1, 2),
+WITH g AS (SELECT date_trunc('month', o_orderdate) AS metric_period, o_orderpriority, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS v FROM orders GROUP BY 1, 2),
 d AS (SELECT *, coalesce(ln(nullif(v, 0)), 0) - coalesce(ln(nullif(lag(v) OVER (PARTITION BY o_orderpriority ORDER BY metric_period), 0)), 0) AS x FROM g),
 m AS (SELECT *, avg(x) OVER w AS a, stddev_samp(x) OVER w AS s FROM d WINDOW w AS (PARTITION BY o_orderpriority ORDER BY metric_period ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING))
 SELECT o_orderpriority, CAST(metric_period AS DATE) AS metric_period, {rounded('(x - a) / nullif(s, 0)', 6)} AS sigma FROM m

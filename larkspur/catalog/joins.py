@@ -8,15 +8,20 @@ from larkspur.catalog.registry import query
 from larkspur.functions.numbers import exact_sum
 from larkspur.operators import joins
 
-RECENT = "o_orderdate >= '2001-06-01'"
-
-
 def on_customer():
     return F.col("c_custkey") == F.col("o_custkey")
 
 
-def recent_orders(t):
-    return t.orders.filter(F.col("o_orderdate") >= "2001-06-01").select("o_orderkey", "o_custkey", "o_totalprice")
+def documents(t):
+    return t.documents.select("doc_id", "lang", "source")
+
+
+def on_document():
+    return F.col("doc_id") == F.col("label_id")
+
+
+def labels(t):
+    return t.labels.select(F.col("doc_id").alias("label_id"), "quality", "toxic")
 
 
 def names(t):
@@ -28,51 +33,41 @@ def join_inner(t):
     return names(t).join(t.orders, on_customer()).select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
-@query(f"""
-SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE {RECENT}) ON c_custkey = o_custkey
-""")
+@query("SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def join_left(t):
-    return names(t).join(recent_orders(t), on_customer(), "left").drop("o_custkey")
+    return documents(t).join(labels(t), on_document(), "left").drop("label_id")
 
 
-@query(f"""
-SELECT o_orderkey, o_totalprice, c_custkey, c_name FROM (SELECT * FROM orders WHERE {RECENT})
-RIGHT JOIN customer ON c_custkey = o_custkey
-""")
+@query("SELECT quality, toxic, d.doc_id, lang, source FROM labels l RIGHT JOIN documents d ON d.doc_id = l.doc_id")
 def join_right(t):
-    return recent_orders(t).join(names(t), on_customer(), "right").drop("o_custkey")
+    return labels(t).join(documents(t), on_document(), "right").drop("label_id")
 
 
-@query(f"SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {RECENT})")
+@query("SELECT doc_id, lang, source FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def join_semi(t):
-    return names(t).join(recent_orders(t), on_customer(), "left_semi")
+    return documents(t).join(labels(t), on_document(), "left_semi")
 
 
-@query(f"SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {RECENT})")
+@query("SELECT doc_id, lang, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def join_anti(t):
-    return names(t).join(recent_orders(t), on_customer(), "left_anti")
+    return documents(t).join(labels(t), on_document(), "left_anti")
 
 
 @query("""
-WITH a AS (SELECT o_custkey AS custkey, count(*) AS n_open FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= '2000-06-01' GROUP BY 1),
-b AS (SELECT o_custkey AS custkey, count(*) AS n_done FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= '2000-06-01' GROUP BY 1)
-SELECT coalesce(a.custkey, b.custkey) AS custkey, n_open, n_done FROM a FULL JOIN b ON a.custkey = b.custkey
+WITH a AS (SELECT o_custkey AS custkey, count(*) AS n_orders FROM orders GROUP BY 1),
+b AS (SELECT user_id AS custkey, count(*) AS n_events FROM events GROUP BY 1)
+SELECT coalesce(a.custkey, b.custkey) AS custkey, n_orders, n_events FROM a FULL JOIN b ON a.custkey = b.custkey
 """)
 def join_full(t):
-    late = t.orders.filter(F.col("o_orderdate") >= "2000-06-01")
-
-    def counts(status, alias):
-        return late.filter(F.col("o_orderstatus") == status).groupBy(F.col("o_custkey").alias("custkey")).agg(
-            F.count(F.lit(1)).alias(alias)
-        )
+    def counts(df, key, alias):
+        return df.groupBy(F.col(key).alias("custkey")).agg(F.count(F.lit(1)).alias(alias))
 
-    return joins.full_on(counts("O", "n_open"), counts("F", "n_done"), ["custkey"])
+    return joins.full_on(counts(t.orders, "o_custkey", "n_orders"), counts(t.events, "user_id", "n_events"), ["custkey"])
 
 
 @query("""
-SELECT (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM orders) AS order_total,
-  (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem) AS line_total
+SELECT (SELECT CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) FROM orders) AS order_total,
+  (SELECT CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) FROM lineitem) AS line_total
 """)
 def join_cross_scalar(t):
     orders = t.orders.agg(exact_sum("o_totalprice").alias("order_total"))
@@ -102,14 +97,15 @@ def join_natural(t):
 
 @query("SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def join_broadcast(t):
-    places = t.nation.join(joins.small_side(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    """No hint: the planner broadcasts a side whose size in bytes it knows to be small."""
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return t.customer.join(
-        joins.small_side(places), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        places, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     ).select("c_custkey", "n_name", "r_name")
 
 
 @query("""
-SELECT o_orderstatus, l_returnflag, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+SELECT o_orderstatus, l_returnflag, count(*) AS n, CAST(CAST(sum(CAST(l_quantity AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
 """)
 def join_shuffle(t):
@@ -120,9 +116,9 @@ def join_shuffle(t):
     )
 
 
-@query(f"SELECT c_custkey FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE {RECENT}) ON c_custkey = o_custkey WHERE o_custkey IS NULL")
+@query("SELECT c_custkey FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events) ON c_custkey = user_id WHERE user_id IS NULL")
 def join_null_anti(t):
-    return t.customer.select("c_custkey").join(recent_orders(t), on_customer(), "left_anti")
+    return t.customer.select("c_custkey").join(t.events, F.col("c_custkey") == F.col("user_id"), "left_anti")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal < 0)")
@@ -166,7 +162,7 @@ def join_scd2_as_of(t):
 
 @query("""
 SELECT coalesce(p_type, l_returnflag) AS category, s_nationkey AS nation, count(*) AS n,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+  CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS revenue
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey
 LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
 """)

@@ -17,7 +17,7 @@ def scratch(t, name):
     return f"{shared_dir(t.spark)}/{name}/{uuid.uuid4()}"
 
 
-STATUS_TOTALS = "SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1"
+STATUS_TOTALS = "SELECT o_orderstatus, count(*) AS n, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders GROUP BY 1"
 
 
 def status_totals(df):

@@ -10,7 +10,7 @@ from larkspur.functions.numbers import exact, exact_sum, safe_divide
 from larkspur.operators import ordered
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
-AMOUNT = "CAST(o_totalprice AS DECIMAL(18,2))"
+AMOUNT = "CAST(o_totalprice AS DECIMAL(38,10))"
 
 
 def orders(t):
@@ -92,7 +92,7 @@ def win_global_stats(t):
 
 
 @query(f"""
-SELECT p_type, p_partkey, {rounded("p_retailprice / CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) OVER (PARTITION BY p_type) AS DOUBLE)", 8, 15)} AS share FROM part
+SELECT p_type, p_partkey, {rounded("p_retailprice / CAST(CAST(sum(CAST(p_retailprice AS DECIMAL(38,10))) OVER (PARTITION BY p_type) AS DECIMAL(18,2)) AS DOUBLE)", 8, 15)} AS share FROM part
 """)
 def win_share_of_total(t):
     rows = ordered.with_totals(t.part.select("p_type", "p_partkey", "p_retailprice"), ["p_type"], {"total": exact_sum("p_retailprice")})
@@ -121,9 +121,9 @@ def win_is_last(t):
     return rows.select("o_orderkey", "o_custkey", (F.struct("day", "o_orderkey") == F.col("last")).alias("is_last"))
 
 
-@query("SELECT event_id, user_id, ts AS valid_from, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version_number FROM events WHERE event_type = 'signup'")
+@query("SELECT event_id, user_id, ts AS valid_from, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version_number FROM events")
 def win_version_number(t):
-    versions = t.events.filter(F.col("event_type") == "signup").select("event_id", "user_id", F.col("ts").alias("valid_from"))
+    versions = t.events.select("event_id", "user_id", F.col("ts").alias("valid_from"))
     return ordered.row_number(versions, ["user_id"], ["valid_from", "event_id"], "version_number")
 
 

@@ -42,7 +42,7 @@ v AS (SELECT *, CAST(round(quantity * CAST(unit_price AS DECIMAL(18,6)), 2) AS D
 e AS (SELECT *, CAST(month(order_date) AS INTEGER) AS order_month, CAST(year(order_date) AS INTEGER) AS order_year, CASE WHEN total_value > 100000 THEN 'YES' ELSE 'NO' END AS is_high_value,
   CASE WHEN total_value >= 300000 THEN 'Gold' WHEN total_value >= 100000 THEN 'Silver' ELSE 'Bronze' END AS value_tier, CAST(DATE '{AS_OF}' - order_date AS INTEGER) AS days_since_order FROM v)
 """
-REVENUE = "CAST(sum(CAST(total_value AS DECIMAL(18,2))) AS DOUBLE)"
+REVENUE = "CAST(CAST(sum(CAST(total_value AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE)"
 MEAN = rounded(f"{REVENUE} / count(*)", 2)
 
 

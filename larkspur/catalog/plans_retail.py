@@ -222,14 +222,14 @@ def scd2_verify(t):
 
 # --- marts ----------------------------------------------------------------------
 
-SUM = "CAST(sum(CASE WHEN order_status <> 'cancelled' THEN CAST(total_amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)"
+SUM = "CAST(CAST(sum(CASE WHEN order_status <> 'cancelled' THEN CAST(total_amount AS DECIMAL(38,10)) ELSE 0 END) AS DECIMAL(18,2)) AS DOUBLE)"
 SOLD = "count(*) FILTER (order_status <> 'cancelled')"
 
 STAGED = f"WITH so AS ({STG_ORDERS}), sp AS ({STG_PRODUCTS}), sc AS ({STG_CUSTOMERS}), cl AS ({STG_CLICKS})"
 
 DAILY = f"""
 lines AS (SELECT so.*, coalesce(sp.category, so.product_category) AS cat FROM so LEFT JOIN sp ON so.product_id = sp.product_id),
-best AS (SELECT order_date AS d, cat AS top_category FROM (SELECT order_date, cat, sum(CAST(total_amount AS DECIMAL(18,2))) AS r FROM lines
+best AS (SELECT order_date AS d, cat AS top_category FROM (SELECT order_date, cat, sum(CAST(total_amount AS DECIMAL(38,10))) AS r FROM lines
   WHERE order_status <> 'cancelled' GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY order_date ORDER BY r DESC, cat) = 1),
 daily AS (SELECT x.*, top_category FROM (SELECT order_date, {SUM} AS total_revenue, count(DISTINCT order_id) AS order_count,
   coalesce({rounded(f'{SUM} / nullif({SOLD}, 0)', 2)}, 0) AS avg_order_value, count(DISTINCT customer_id) AS unique_customers,
@@ -267,22 +267,29 @@ LTV_COLUMNS = [
     "ltv_segment", "churn_risk", "recency_score", "frequency_score", "monetary_score", "rfm_total_score",
 ]
 
+# Built from the definitions of the columns at finer grains: product and order, product and day, product and buyer. Ranks count the better rows.
 PERFORMANCE = f"""
-ps AS (SELECT product_id, CAST(sum(CASE WHEN order_status <> 'cancelled' THEN quantity ELSE 0 END) AS BIGINT) AS units_sold,
-  count(DISTINCT CASE WHEN order_status <> 'cancelled' THEN order_id END) AS order_count, count(DISTINCT customer_id) AS unique_buyers, {SUM} AS revenue,
-  {rounded(f"CAST(sum(CASE WHEN order_status <> 'cancelled' THEN CAST(unit_price AS DECIMAL(18,2)) END) AS DOUBLE) / nullif({SOLD}, 0)", 2)} AS avg_selling_price,
-  count(*) FILTER (order_status = 'cancelled') AS cancelled_count, {rounded("count(*) FILTER (order_status = 'cancelled') / count(DISTINCT order_id) * 100", 2)} AS return_rate,
-  min(order_date) AS first_sale_date, max(order_date) AS last_sale_date, count(DISTINCT order_date) AS active_sale_days FROM so GROUP BY 1),
-pe AS (SELECT sp.product_id, product_sk, product_name, category, category_display, price AS list_price, cost_price, margin, margin_pct, stock_quantity, stock_status,
-  is_available, supplier, rating, review_count, coalesce(units_sold, 0) AS units_sold, coalesce(order_count, 0) AS order_count, coalesce(unique_buyers, 0) AS unique_buyers,
-  coalesce(revenue, 0) AS revenue, coalesce(avg_selling_price, price) AS avg_selling_price, coalesce(cancelled_count, 0) AS cancelled_count,
-  coalesce(return_rate, 0) AS return_rate, first_sale_date, last_sale_date, coalesce(active_sale_days, 0) AS active_sale_days FROM sp LEFT JOIN ps USING (product_id)),
-perf AS (SELECT *, CAST(CAST(revenue AS DECIMAL(18,2)) - units_sold * CAST(cost_price AS DECIMAL(18,2)) AS DOUBLE) AS gross_profit,
-  {rounded('revenue / greatest(units_sold, 1)', 2)} AS revenue_per_unit,
-  {rounded('stock_quantity / nullif(units_sold / greatest(active_sale_days, 1), 0)', 1)} AS estimated_days_of_stock,
-  rank() OVER (PARTITION BY category ORDER BY revenue DESC) AS rank_in_category, rank() OVER (PARTITION BY category ORDER BY units_sold DESC) AS units_rank_in_category,
-  rank() OVER (ORDER BY revenue DESC) AS overall_revenue_rank,
-  {rounded('revenue / nullif(CAST(sum(CAST(revenue AS DECIMAL(18,2))) OVER (PARTITION BY category) AS DOUBLE), 0) * 100', 2)} AS pct_of_category_revenue FROM pe)
+bought AS (SELECT product_id, count(*) AS orders_placed, count(*) FILTER (kept_lines > 0) AS orders_kept
+  FROM (SELECT product_id, order_id, count(*) FILTER (order_status <> 'cancelled') AS kept_lines FROM so GROUP BY ALL) GROUP BY ALL),
+dealt AS (SELECT product_id, min(order_date) AS opened, max(order_date) AS closed, count(*) AS days, sum(dropped) AS dropped, sum(kept) AS kept, sum(units) AS units,
+  sum(amount) AS amount, sum(asked) AS asked FROM (
+    SELECT product_id, order_date, count(*) FILTER (order_status = 'cancelled') AS dropped, count(*) FILTER (order_status <> 'cancelled') AS kept,
+      sum(quantity) FILTER (order_status <> 'cancelled') AS units, sum(CAST(total_amount AS DECIMAL(38,10))) FILTER (order_status <> 'cancelled') AS amount,
+      sum(CAST(unit_price AS DECIMAL(38,10))) FILTER (order_status <> 'cancelled') AS asked FROM so GROUP BY ALL) GROUP BY ALL),
+buyers AS (SELECT product_id, count(*) AS people FROM (SELECT DISTINCT product_id, customer_id FROM so WHERE customer_id IS NOT NULL) GROUP BY ALL),
+goods AS (SELECT sp.*, coalesce(units, 0) AS units, CAST(CAST(coalesce(amount, 0) AS DECIMAL(18,2)) AS DOUBLE) AS amount, asked, kept, dropped, orders_placed, orders_kept, opened, closed, days, people
+  FROM sp LEFT JOIN dealt USING (product_id) LEFT JOIN bought USING (product_id) LEFT JOIN buyers USING (product_id)),
+shelves AS (SELECT category, CAST(CAST(sum(CAST(amount AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS shelf FROM goods GROUP BY ALL),
+perf AS (SELECT g.product_id, product_sk, product_name, g.category, category_display, price AS list_price, cost_price, margin, margin_pct, stock_quantity, stock_status,
+  is_available, supplier, rating, review_count, CAST(units AS BIGINT) AS units_sold, coalesce(orders_kept, 0) AS order_count, coalesce(people, 0) AS unique_buyers, amount AS revenue,
+  coalesce({rounded('CAST(CAST(asked AS DECIMAL(18,2)) AS DOUBLE) / nullif(kept, 0)', 2)}, price) AS avg_selling_price, CAST(coalesce(dropped, 0) AS BIGINT) AS cancelled_count,
+  coalesce({rounded('dropped / orders_placed * 100', 2)}, 0) AS return_rate, opened AS first_sale_date, closed AS last_sale_date, coalesce(days, 0) AS active_sale_days,
+  CAST(CAST(CAST(amount AS DECIMAL(28,10)) - CAST(units AS BIGINT) * CAST(cost_price AS DECIMAL(18,6)) AS DECIMAL(18,2)) AS DOUBLE) AS gross_profit, {rounded('amount / greatest(units, 1)', 2)} AS revenue_per_unit,
+  {rounded('stock_quantity / nullif(units / greatest(coalesce(days, 0), 1), 0)', 1)} AS estimated_days_of_stock,
+  1 + (SELECT count(*) FROM goods o WHERE o.category = g.category AND o.amount > g.amount) AS rank_in_category,
+  1 + (SELECT count(*) FROM goods o WHERE o.category = g.category AND o.units > g.units) AS units_rank_in_category,
+  1 + (SELECT count(*) FROM goods o WHERE o.amount > g.amount) AS overall_revenue_rank, {rounded('amount / nullif(shelf, 0) * 100', 2)} AS pct_of_category_revenue
+  FROM goods g LEFT JOIN shelves ON shelves.category = g.category)
 """
 
 FUNNEL_ORDERS = "SELECT event_id AS order_id, CAST(ts AS DATE) AS order_date, value AS total_amount, CASE WHEN value < 1 THEN 'cancelled' ELSE 'done' END AS order_status FROM events WHERE event_type = 'purchase'"
@@ -292,17 +299,23 @@ def pct(a, b):
     return rounded(f"{a} / nullif({b}, 0) * 100", 2)
 
 
+# Sessions first, then days; orders of a day by lookup.
 FUNNEL = f"""
-fo AS (SELECT order_date, count(DISTINCT order_id) AS confirmed_orders, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_revenue FROM ({FUNNEL_ORDERS}) WHERE order_status <> 'cancelled' GROUP BY 1),
-dc AS (SELECT event_date, count(*) AS total_events, count(DISTINCT session_id) AS total_sessions, count(DISTINCT user_id) AS unique_visitors,
-  count(*) FILTER (event_type = 'page_view') AS page_views, count(*) FILTER (event_type = 'product_view') AS product_views, count(*) FILTER (event_type = 'add_to_cart') AS add_to_cart,
-  count(*) FILTER (event_type = 'checkout_started') AS checkout_started, count(*) FILTER (event_type = 'purchase') AS purchases,
-  count(DISTINCT CASE WHEN event_type = 'purchase' THEN session_id END) AS sessions_with_purchase, count(DISTINCT CASE WHEN event_type = 'add_to_cart' THEN session_id END) AS sessions_with_cart,
-  count(*) FILTER (device_type = 'mobile') AS mobile_events, count(*) FILTER (device_type = 'desktop') AS desktop_events, count(*) FILTER (device_type = 'tablet') AS tablet_events FROM cl GROUP BY 1),
-funnel AS (SELECT dc.*, coalesce(confirmed_orders, 0) AS confirmed_orders, coalesce(order_revenue, 0) AS order_revenue, {pct('product_views', 'page_views')} AS view_to_product_rate,
+visits AS (SELECT event_date, session_id, count(*) AS steps, map_from_entries(list((event_type, n))) AS by_type, sum(mobile) AS mobile, sum(desktop) AS desktop, sum(tablet) AS tablet, sum(n) AS hits
+  FROM (SELECT event_date, session_id, event_type, count(*) AS n, count_if(device_type = 'mobile') AS mobile, count_if(device_type = 'desktop') AS desktop, count_if(device_type = 'tablet') AS tablet
+    FROM cl GROUP BY ALL) GROUP BY ALL),
+people AS (SELECT event_date, count(*) AS n FROM (SELECT DISTINCT event_date, user_id FROM cl WHERE user_id IS NOT NULL) GROUP BY ALL),
+days AS (SELECT event_date, CAST(sum(hits) AS BIGINT) AS total_events, count(session_id) AS total_sessions, {", ".join(f"CAST(sum(coalesce(by_type['{kind}'], 0)) AS BIGINT) AS {name}"
+    for kind, name in (("page_view", "page_views"), ("product_view", "product_views"), ("add_to_cart", "add_to_cart"), ("checkout_started", "checkout_started"), ("purchase", "purchases")))},
+  count_if(by_type['purchase'] > 0 AND session_id IS NOT NULL) AS sessions_with_purchase, count_if(by_type['add_to_cart'] > 0 AND session_id IS NOT NULL) AS sessions_with_cart,
+  CAST(sum(mobile) AS BIGINT) AS mobile_events, CAST(sum(desktop) AS BIGINT) AS desktop_events, CAST(sum(tablet) AS BIGINT) AS tablet_events FROM visits GROUP BY ALL),
+ordered AS (SELECT d.*, coalesce(people.n, 0) AS unique_visitors, (SELECT count(DISTINCT order_id) FROM ({FUNNEL_ORDERS}) o WHERE o.order_date = d.event_date AND o.order_status = 'done') AS confirmed_orders,
+  coalesce((SELECT CAST(CAST(sum(CAST(total_amount AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) FROM ({FUNNEL_ORDERS}) o WHERE o.order_date = d.event_date AND o.order_status = 'done'), 0) AS order_revenue
+  FROM days d LEFT JOIN people ON people.event_date = d.event_date),
+funnel AS (SELECT *, {pct('product_views', 'page_views')} AS view_to_product_rate,
   {pct('add_to_cart', 'product_views')} AS product_to_cart_rate, {pct('checkout_started', 'add_to_cart')} AS cart_to_checkout_rate, {pct('purchases', 'checkout_started')} AS checkout_to_purchase_rate,
   {pct('purchases', 'page_views')} AS view_to_order_rate, {pct('sessions_with_purchase', 'total_sessions')} AS session_conversion_rate, {rounded('total_events / total_sessions', 1)} AS avg_events_per_session,
-  {pct('(add_to_cart - checkout_started)', 'greatest(add_to_cart, 1)')} AS cart_abandonment_rate FROM dc LEFT JOIN fo ON order_date = event_date)
+  {pct('(add_to_cart - checkout_started)', 'greatest(add_to_cart, 1)')} AS cart_abandonment_rate FROM ordered)
 """
 
 
@@ -365,16 +378,16 @@ def mart_demand_forecast(t):
 
 
 @query(f"""
-{STAGED}, {DAILY} SELECT CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, CAST(sum(order_count) AS BIGINT) AS total_orders,
-{rounded('CAST(sum(CAST(avg_order_value AS DECIMAL(18,2))) AS DOUBLE) / count(*)', 2)} AS avg_order_value, CAST(sum(units_sold) AS BIGINT) AS total_units_sold, count(DISTINCT order_date) AS active_days FROM daily
+{STAGED}, {DAILY} SELECT CAST(CAST(sum(CAST(total_revenue AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total_revenue, CAST(sum(order_count) AS BIGINT) AS total_orders,
+{rounded('CAST(CAST(sum(CAST(avg_order_value AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) / count(*)', 2)} AS avg_order_value, CAST(sum(units_sold) AS BIGINT) AS total_units_sold, count(DISTINCT order_date) AS active_days FROM daily
 """)
 def kpi_revenue(t):
     return marts.revenue_kpis(sales(t))
 
 
 @query(f"""
-{STAGED}, {LTV} SELECT ltv_segment, count(*) AS customer_count, {rounded('CAST(sum(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) / count(*)', 2)} AS avg_spend,
-CAST(sum(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) AS total_spend FROM ltv GROUP BY 1
+{STAGED}, {LTV} SELECT ltv_segment, count(*) AS customer_count, {rounded('CAST(CAST(sum(CAST(total_spend AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) / count(*)', 2)} AS avg_spend,
+CAST(CAST(sum(CAST(total_spend AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total_spend FROM ltv GROUP BY 1
 """)
 def kpi_segments(t):
     return marts.segment_kpis(ltv(t))
@@ -392,19 +405,25 @@ def kpi_funnel(t):
 
 # --- demand features ------------------------------------------------------------
 
+# Days of a product first, then its weeks; the target is looked up in the next week that has sales.
 FEATURES = f"""
-wk AS (SELECT product_id, CAST(date_trunc('week', order_date) AS DATE) AS week_start, CAST(sum(CASE WHEN order_status <> 'cancelled' THEN quantity ELSE 0 END) AS BIGINT) AS units_sold,
-  count(DISTINCT CASE WHEN order_status <> 'cancelled' THEN order_id END) AS order_count, {SUM} AS weekly_revenue, count(DISTINCT customer_id) AS unique_buyers,
-  {rounded(f"CAST(sum(CASE WHEN order_status <> 'cancelled' THEN CAST(unit_price AS DECIMAL(18,2)) END) AS DOUBLE) / nullif({SOLD}, 0)", 2)} AS avg_selling_price FROM so GROUP BY 1, 2),
-wt AS (SELECT *, lead(units_sold) OVER (PARTITION BY product_id ORDER BY week_start) AS next_week_units_sold FROM wk),
-wp AS (SELECT CAST(date_trunc('week', order_date) AS DATE) AS week_start, CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS platform_weekly_revenue,
-  CAST(sum(order_count) AS BIGINT) AS platform_weekly_orders, {rounded('CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(*)', 2)} AS platform_avg_daily_revenue FROM daily GROUP BY 1),
-features AS (SELECT wt.product_id, product_name, wt.week_start, category, list_price, cost_price, margin_pct, stock_quantity, rating, review_count, perf.units_sold AS lifetime_units_sold,
-  perf.revenue AS lifetime_revenue, rank_in_category, overall_revenue_rank, return_rate, active_sale_days, wt.units_sold AS current_week_units_sold, wt.order_count AS current_week_orders,
-  weekly_revenue AS current_week_revenue, wt.unique_buyers AS current_week_buyers, wt.avg_selling_price, coalesce(platform_weekly_revenue, 0) AS platform_weekly_revenue,
-  coalesce(platform_weekly_orders, 0) AS platform_weekly_orders, coalesce(platform_avg_daily_revenue, 0) AS platform_avg_daily_revenue,
-  {rounded('weekly_revenue / nullif(platform_weekly_revenue, 0) * 100', 4)} AS pct_of_platform_revenue, next_week_units_sold
-  FROM wt JOIN perf ON perf.product_id = wt.product_id LEFT JOIN wp ON wp.week_start = wt.week_start WHERE next_week_units_sold IS NOT NULL)
+sold_days AS (SELECT product_id, order_date, coalesce(sum(quantity) FILTER (order_status <> 'cancelled'), 0) AS units, count_if(order_status <> 'cancelled') AS kept,
+  coalesce(sum(CAST(total_amount AS DECIMAL(38,10))) FILTER (order_status <> 'cancelled'), 0) AS amount, sum(CAST(unit_price AS DECIMAL(38,10))) FILTER (order_status <> 'cancelled') AS asked
+  FROM so GROUP BY ALL),
+sold_weeks AS (SELECT product_id, order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS monday, CAST(sum(units) AS BIGINT) AS units, CAST(CAST(sum(amount) AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+  {rounded('CAST(CAST(sum(asked) AS DECIMAL(18,2)) AS DOUBLE) / nullif(sum(kept), 0)', 2)} AS price_asked FROM sold_days GROUP BY ALL),
+week_orders AS (SELECT product_id, order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS monday, count(DISTINCT order_id) AS orders_kept FROM so WHERE order_status <> 'cancelled' GROUP BY ALL),
+week_buyers AS (SELECT product_id, order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS monday, count(DISTINCT customer_id) AS people FROM so GROUP BY ALL),
+market AS (SELECT order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS monday, CAST(CAST(sum(CAST(total_revenue AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS turnover, count(*) AS days, CAST(sum(order_count) AS BIGINT) AS orders
+  FROM daily GROUP BY ALL),
+known AS (SELECT w.*, (SELECT min_by(n.units, n.monday) FROM sold_weeks n WHERE n.product_id = w.product_id AND n.monday > w.monday) AS target FROM sold_weeks w),
+features AS (SELECT k.product_id, perf.product_name, k.monday AS week_start, perf.category, perf.list_price, perf.cost_price, perf.margin_pct, perf.stock_quantity, perf.rating, perf.review_count,
+  perf.units_sold AS lifetime_units_sold, perf.revenue AS lifetime_revenue, perf.rank_in_category, perf.overall_revenue_rank, perf.return_rate, perf.active_sale_days,
+  k.units AS current_week_units_sold, coalesce(week_orders.orders_kept, 0) AS current_week_orders, k.amount AS current_week_revenue, week_buyers.people AS current_week_buyers,
+  k.price_asked AS avg_selling_price, coalesce(turnover, 0) AS platform_weekly_revenue, coalesce(market.orders, 0) AS platform_weekly_orders,
+  coalesce({rounded('turnover / days', 2)}, 0) AS platform_avg_daily_revenue, {rounded('k.amount / nullif(turnover, 0) * 100', 4)} AS pct_of_platform_revenue, k.target AS next_week_units_sold
+  FROM known k JOIN perf ON perf.product_id = k.product_id LEFT JOIN market ON market.monday = k.monday LEFT JOIN week_orders ON week_orders.product_id = k.product_id AND week_orders.monday = k.monday
+  LEFT JOIN week_buyers ON week_buyers.product_id = k.product_id AND week_buyers.monday = k.monday WHERE k.target IS NOT NULL)
 """
 WITH_FEATURES = f"{STAGED}, {DAILY}, {PERFORMANCE}, {FEATURES}"
 

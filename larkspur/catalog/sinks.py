@@ -180,7 +180,7 @@ def partition_retention(t):
     return t.spark.read.parquet(f"{folder}/kept")
 
 
-@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1, 2")
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders GROUP BY 1, 2")
 def materialized_agg(t):
     """Stored while the last year was incomplete, then refreshed for that year alone."""
     folder = scratch(t, "stored")

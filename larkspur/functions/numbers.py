@@ -14,16 +14,19 @@ EARTH_RADIUS_MILES = 3961
 KM_PER_MILE = 1.60934
 
 
-def exact(value, scale: int = 2) -> Column:
-    """Decimal form of an amount, so that sums do not depend on row order."""
-    return column(value).cast(f"decimal(18,{scale})")
+def exact(value, scale: int = 10) -> Column:
+    """Decimal form of an amount, so that sums do not depend on row order.
+
+    Ten decimals and 28 digits before them: no amount is rounded to cents before it is summed.
+    """
+    return column(value).cast(f"decimal(38,{scale})")
 
 
-def exact_sum(value, scale: int = 2) -> Column:
+def exact_sum(value, scale: int = 10) -> Column:
     return F.sum(exact(value, scale)).cast("double")
 
 
-def exact_avg(value, scale: int = 2) -> Column:
+def exact_avg(value, scale: int = 10) -> Column:
     """Mean from the exact sum; null for an empty group."""
     return F.try_divide(exact_sum(value, scale), F.count(column(value)).cast("double"))
 

@@ -4,21 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is small.
-
-    The count stops at ``max_rows`` + 1. A larger side is returned as it is and
-    the planner picks a shuffled join.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all shared column names; nulls never match."""
     shared = [c for c in left.columns if c in right.columns]
@@ -42,20 +30,43 @@ def not_in(left: DataFrame, name: str, right: DataFrame, right_name: str) -> Dat
     return kept.filter(passes).drop("_f")
 
 
+#: Calendar periods from fine to coarse, with the fewest days of each.
+PERIODS = {"day": 1, "week": 7, "month": 28, "year": 365, "century": 36_524, "millennium": 365_242}
+#: Periods a range is listed under at most; a longer one goes by coarser periods.
+LISTED = 64
+
+
+def _period(name: str, value) -> Column:
+    """Number of the period that holds a date or timestamp."""
+    if name in ("day", "week"):
+        return F.floor(F.unix_date(F.to_date(value)) / PERIODS[name])
+    if name == "month":
+        return F.year(value) * 12 + F.month(value).cast("long")
+    return F.floor(F.year(value) / {"year": 1, "century": 100, "millennium": 1000}[name])
+
+
 def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, grain: str = "month") -> DataFrame:
     """Points joined to the ranges that hold them, both ends included.
 
     Each range is listed under the calendar periods it touches and each point
     under its own, which gives the join an equality key; the exact bounds are
-    checked after it. Neither side has to fit in memory.
+    checked after it. A range that may touch more than LISTED periods goes by the next coarser ones, so an open end
+    costs no more than others. Neither side has to fit in memory; adaptive execution splits a period with many points.
     """
-    step = {"day": "1 day", "week": "7 days", "month": "1 month", "year": "1 year"}[grain]
-    first, last = F.date_trunc(grain, F.col(start)), F.date_trunc(grain, F.col(end))
-    listed = ranges.filter(F.col(start) <= F.col(end)).withColumn(
-        "_period", F.explode(F.sequence(first, last, F.expr(f"interval {step}")))
-    )
-    keyed = points.withColumn("_period", F.date_trunc(grain, F.col(point)))
-    return keyed.join(listed, "_period").filter(F.col(point).between(F.col(start), F.col(end))).drop("_period")
+    names = list(PERIODS)[list(PERIODS).index(grain) :]
+    width = F.datediff(F.col(end), F.col(start))
+    level, listed, keyed = F.lit(names[-1]), F.lit(None), F.lit(None)
+    for name in reversed(names[:-1]):
+        level = F.when(width <= PERIODS[name] * (LISTED - 2), name).otherwise(level)
+    for name in names:
+        at = F.col("_level") == name
+        listed = F.when(at, F.sequence(_period(name, F.col(start)), _period(name, F.col(end)))).otherwise(listed)
+        keyed = F.when(at, _period(name, F.col(point))).otherwise(keyed)
+    kept = ranges.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
+    levels = kept.agg(F.collect_set("_level")).scalar()  # six at most, usually one
+    spread = points.withColumn("_level", F.explode(levels)).withColumn("_period", keyed)
+    joined = spread.join(kept.withColumn("_period", F.explode(listed)), ["_level", "_period"])
+    return joined.filter(F.col(point).between(F.col(start), F.col(end))).drop("_level", "_period")
 
 
 def as_of_version(

@@ -1,10 +1,10 @@
 """Ordered operators that stay spread over the cluster.
 
 A window sends every row of one partition key to one task. That is the right
-plan while no key is large, and it is the one used by default. When a key (or
-a whole table, for a window without keys) holds more rows than one task should
-sort, its rows are cut into ordered segments; the window then runs per segment
-and what happened in the earlier segments is added from a small table. Results
+plan while no key is large. When a key (or a whole table, for a window without
+keys) holds more rows than one task should hold, the rows are range-partitioned by key
+and order and cut into segments of at most that many rows; the window then runs per segment
+and what happened in the earlier segments of a key is added from their sums. Results
 are the same either way.
 
 ``order`` is a list of column names, ``"-name"`` meaning descending. Nulls sort
@@ -23,9 +23,11 @@ from pyspark.sql import types as T
 from larkspur.session import cut
 
 ROWS_PER_TASK = 2_000_000
+#: Keys that a percentile may bracket; the others take the general way.
 MAX_HOT_KEYS = 1_000
-SAMPLES_PER_SEGMENT = 64
 TRACKED_KEYS = 20_000
+#: Rows that a task sorts at least.
+SORT_ROWS = 100_000
 
 
 def _parse(order):
@@ -62,23 +64,19 @@ def attach(df: DataFrame, small: DataFrame, names) -> DataFrame:
     return df.join(renamed, condition, "left").drop(*[f"_r_{n}" for n in names])
 
 
-def _precedes(bound: Column, order) -> Column:
-    """True when ``bound`` sorts strictly before the current row."""
-    result = F.lit(False)
-    for name, up in reversed(_parse(order)):
-        b, r = bound[name], F.col(name)
-        if up:
-            before = F.coalesce(b < r, b.isNull() & r.isNotNull())
-        else:
-            before = F.coalesce(b > r, b.isNotNull() & r.isNull())
-        result = before | (b.eqNullSafe(r) & result)
-    return result
+def _measure(df: DataFrame, keys) -> tuple[int, int]:
+    """Rows of the largest key and of the table, in one job that combines before its shuffle."""
+    if not keys:
+        total = df.count()
+        return total, total
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def hot_groups(df: DataFrame, keys, max_rows: int):
     """Keys with more than ``max_rows`` rows and at least 1/1000 of the table, with their counts.
 
-    The second condition bounds the list: there can be at most 1,000 such keys.
+    For shortcuts only, whose results do not depend on it. The second condition bounds the list: there can be at most 1,000 such keys.
     A sketch of frequent keys finds the candidates in one scan without a shuffle
     of the keys; it tracks enough of them to miss no key above a thousandth, and
     its counts are never too low. Only candidates are then counted exactly.
@@ -99,75 +97,46 @@ def hot_groups(df: DataFrame, keys, max_rows: int):
     return counts.filter(F.col("_n") > limit).withColumn("_total", F.lit(total)).collect()
 
 
-def segments(df: DataFrame, keys, order, max_rows: int | None = None):
-    """Add ``_seg``: an ordered slice number inside each hot key, 0 for the rest.
+def segments(df: DataFrame, keys, order, max_rows: int | None = None, measured: tuple[int, int] | None = None):
+    """Add ``_seg``: ascending slice numbers of at most ``max_rows`` rows each, in the order of the keys and ``order``.
 
-    Returns ``None`` when no key is hot. Rows with equal order values share a
-    segment. The slice bounds come from a sample, which only moves the cuts; all
-    rows stay in the result.
+    Returns ``None`` when no key has more rows than that. Range partitions are sorted by their tasks, which may spill, and
+    cut by position; they are written, since sampled bounds may differ if computed again.
     """
     max_rows = rows_per_task(df, max_rows)
-    hot = hot_groups(df, keys, max_rows)
-    if not hot:
+    largest, total = measured or _measure(df, keys)
+    if largest <= max_rows:
         return None
-    spark = df.sparkSession
-    limit = max(max_rows, hot[0]["_total"] // MAX_HOT_KEYS)
-    fraction = min(1.0, SAMPLES_PER_SEGMENT / limit)
-    step = max(1, int(fraction * limit))
-    names = _names(order)
-
-    pool = df.select(*dict.fromkeys([*keys, *names]))
-    if keys:
-        key_schema = T.StructType([df.schema[k] for k in keys])
-        hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], key_schema)
-        pool = pool.join(F.broadcast(hot_keys), _same(pool, hot_keys, keys), "left_semi")
-    picked = (
-        pool.sample(fraction, seed=7)
-        .withColumn("_i", F.row_number().over(plain_window(keys, order)))
-        .filter(F.col("_i") % step == 0)
-        .select(*keys, "_i", F.struct(*names).alias("_bound"))
-    )
-    grouped = (
-        picked.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("_i", "_bound"))).alias("_b"))
-        .select(*keys, F.col("_b._bound").alias("_bounds"))
-    )
-    # fixed data from here on, so every use of the bounds sees the same cuts
-    bounds = spark.createDataFrame(grouped.collect(), grouped.schema)
-    if keys:
-        joined = attach(df, F.broadcast(bounds), keys)
-    else:
-        joined = df.withColumn("_bounds", bounds.select("_bounds").scalar())
-    place = F.size(F.filter("_bounds", lambda b: _precedes(b, order)))
-    return joined.withColumn("_hot", F.col("_bounds").isNotNull()).withColumn(
-        "_seg", F.when(F.col("_hot"), place).otherwise(F.lit(0))
-    ).drop("_bounds")
+    parts = -(-total // max(max_rows, SORT_ROWS))
+    by = [*(F.col(k).asc() for k in keys), *sort_columns(order)]
+    placed = df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    part, position = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    return cut(placed.withColumn("_seg", F.shiftleft(part, 33) + F.floor(position / max_rows)).drop("_at"))
 
 
-def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = None, measured: tuple[int, int] | None = None) -> DataFrame:
     """Running sums per key, current row included. The order has to be total.
 
-    ``sums`` maps output names to columns that are never null.
+    ``sums`` maps output names to columns that are never null; ``measured`` is what ``_measure`` said, if it was asked before.
     """
     keys = list(keys)
-    cut_rows = segments(df, keys, order, max_rows)
+    cut_rows = segments(df, keys, order, max_rows, measured)
     frame = (Window.unboundedPreceding, Window.currentRow)
     if cut_rows is None:
         window = plain_window(keys, order).rowsBetween(*frame)
         return df.select("*", *[F.sum(c).over(window).alias(a) for a, c in sums.items()])
 
     by_segment = [*keys, "_seg"]
-    earlier = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per key and segment: keys without a segment border inside have one
     before = (
-        cut_rows.filter("_hot")
-        .groupBy(*by_segment)
+        cut_rows.groupBy(*by_segment)
         .agg(*[F.sum(c).alias(f"_s_{a}") for a, c in sums.items()])
         .select(*by_segment, *[F.sum(f"_s_{a}").over(earlier).alias(f"_o_{a}") for a in sums])
     )
     window = plain_window(by_segment, order).rowsBetween(*frame)
     local = cut_rows.select("*", *[F.sum(c).over(window).alias(f"_l_{a}") for a, c in sums.items()])
-    # at most MAX_HOT_KEYS keys and as many segments: a few thousand rows
-    joined = attach(local, F.broadcast(before), by_segment)
+    joined = attach(local, before, by_segment)
     return joined.select(
         *df.columns,
         *[(F.col(f"_l_{a}") + F.coalesce(f"_o_{a}", F.lit(0))).alias(a) for a in sums],
@@ -193,10 +162,14 @@ def _by_value(df: DataFrame, keys, order, extra, sums, finish, max_rows) -> Data
     return attach(df, numbered, by)
 
 
+def _large(df: DataFrame, keys, max_rows) -> bool:
+    return _measure(df, keys)[0] > rows_per_task(df, max_rows)
+
+
 def rank(df: DataFrame, keys, order, alias="rank", max_rows=None) -> DataFrame:
     """Rank with gaps; ties share a rank."""
     keys = list(keys)
-    if not hot_groups(df, keys, rows_per_task(df, max_rows)):
+    if not _large(df, keys, max_rows):
         return df.withColumn(alias, F.rank().over(plain_window(keys, order)).cast("long"))
     return _by_value(
         df, keys, order, [F.count(F.lit(1)).alias("_n")], {"_upto": F.col("_n")},
@@ -207,7 +180,7 @@ def rank(df: DataFrame, keys, order, alias="rank", max_rows=None) -> DataFrame:
 def dense_rank(df: DataFrame, keys, order, alias="dense_rank", max_rows=None) -> DataFrame:
     """Rank without gaps."""
     keys = list(keys)
-    if not hot_groups(df, keys, rows_per_task(df, max_rows)):
+    if not _large(df, keys, max_rows):
         return df.withColumn(alias, F.dense_rank().over(plain_window(keys, order)).cast("long"))
     return _by_value(
         df, keys, order, [F.count(F.lit(1)).alias("_n")], {alias: F.lit(1)},
@@ -218,7 +191,7 @@ def dense_rank(df: DataFrame, keys, order, alias="dense_rank", max_rows=None) ->
 def running_sum(df: DataFrame, keys, order, value: str, alias="running_sum", max_rows=None) -> DataFrame:
     """Cumulative sum with the default frame: rows with equal order values get the same sum."""
     keys = list(keys)
-    if not hot_groups(df, keys, rows_per_task(df, max_rows)):
+    if not _large(df, keys, max_rows):
         return df.withColumn(alias, F.sum(value).over(plain_window(keys, order)))
     extra = [F.coalesce(F.sum(value), F.lit(0)).alias("_v"), F.count(value).alias("_c")]
 
@@ -232,9 +205,10 @@ def running_sum(df: DataFrame, keys, order, value: str, alias="running_sum", max
 def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, max_rows=None) -> DataFrame:
     """Value ``offset`` rows back (negative: ahead). The order has to be total."""
     keys = list(keys)
-    if not hot_groups(df, keys, rows_per_task(df, max_rows)):
+    measured = _measure(df, keys)
+    if measured[0] <= rows_per_task(df, max_rows):
         return df.withColumn(alias, F.lag(value, offset).over(plain_window(keys, order)))
-    numbered = cut(row_number(df, keys, order, "_at", max_rows))
+    numbered = cut(prefix_sums(df, keys, order, {"_at": F.lit(1).cast("long")}, max_rows, measured))
     other = numbered.select(*keys, (F.col("_at") + offset).alias("_at"), F.col(value).alias(alias))
     return attach(numbered, other, [*keys, "_at"]).drop("_at")
 

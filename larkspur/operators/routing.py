@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from larkspur.operators.ordered import attach, hot_groups, rows_per_task
 
 ERRORS = "validation_errors"
 
@@ -39,29 +36,17 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInPandas(function, schema)
 
 
-def group_apply(df: DataFrame, keys, summarise, schema, combine=None, max_rows: int | None = None) -> DataFrame:
-    """A user function over the rows of each key, as pandas frames.
+def group_apply(df: DataFrame, keys, summarise, schema, combine) -> DataFrame:
+    """A user function over the rows of each key, as pandas frames, in two steps.
 
-    A key with more rows than one task should hold is cut into chunks by a hash
-    of its rows; ``combine`` then turns the chunk results, which have the same
-    columns, into one. Without ``combine`` such a key is an error rather than a
-    task that runs out of memory.
+    ``summarise`` sees the rows of one key in one batch of a task's rows; ``combine`` turns the results of a key, which have the same columns,
+    into one. A key costs the shuffle a row per batch, so no task ever holds all rows of a large key, at any size.
     """
     keys = list(keys)
-    limit = rows_per_task(df, max_rows)
-    large = hot_groups(df, keys, limit)
-    if not large:
-        return df.groupBy(*keys).applyInPandas(summarise, schema)
-    if combine is None:
-        raise ValueError(f"a key holds {max(r['_n'] for r in large)} rows; give combine to work on it in chunks")
-    fields = [df.schema[k] for k in keys] + [T.StructField("_chunks", T.LongType())]
-    rows = [(*[r[k] for k in keys], -(-r["_n"] // limit)) for r in large]
-    sizes = F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))  # at most 1,000 keys
-    chunk = F.pmod(F.xxhash64(*df.columns), F.coalesce("_chunks", F.lit(1)))
-    chunked = attach(df, sizes, keys).withColumn("_chunk", chunk).drop("_chunks")
-
-    def part(key, frame):
-        return summarise(frame.drop(columns="_chunk"))
-
-    parts = chunked.groupBy(*keys, "_chunk").applyInPandas(part, schema)
-    return parts.groupBy(*keys).applyInPandas(combine, schema)
+
+    def parts(batches):
+        for batch in batches:
+            for _, rows in batch.groupby(keys, dropna=False, sort=False):
+                yield summarise(rows)
+
+    return df.mapInPandas(parts, schema).groupBy(*keys).applyInPandas(combine, schema)

@@ -84,19 +84,21 @@ def value_counts(df: DataFrame, name: str, where: str | None = None) -> DataFram
     return source.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
 
 
-def column_values(
-    df: DataFrame, name: str, by_count: bool = True, max_records: int = 1_000, default=None, where: str | None = None
-) -> list:
-    """Distinct values as a list, most frequent first, for building a later query.
+def column_values(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
+    """The distinct values of a column with their counts, as a frame of any size."""
+    return value_counts(df, name, where)
 
-    The list comes to the driver, so it always has a limit; asking for values of
-    a column with more of them is an error, not a silent cut.
+
+def value_list(df: DataFrame, name: str, limit: int, by_count: bool = True, default=None, where: str | None = None) -> list:
+    """Distinct values as a list of at most ``limit``, most frequent first, for building a later query.
+
+    The list comes to the driver; asking for the values of a column with more of them is an error, not a silent cut.
     """
     counts = value_counts(df, name, where)
     order = [F.desc("n"), F.asc(name)] if by_count else [F.asc(name)]
-    found = [r[0] for r in counts.orderBy(*order).limit(max_records + 1).collect()]
-    if len(found) > max_records:
-        raise ValueError(f"{name} has more than {max_records} values")
+    found = [r[0] for r in counts.orderBy(*order).limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"{name} has more than {limit} values")
     return found or list(default or [])
 
 

@@ -88,14 +88,12 @@ def series(spark: SparkSession, n: int, alias: str = "generated_number") -> Data
 def date_spine(spark: SparkSession, start: Column, end: Column, unit: str = "day") -> DataFrame:
     """All periods from ``start``; the one that holds ``end`` is left out.
 
-    ``start`` and ``end`` are literals or scalar subqueries over a table.
+    ``start`` and ``end`` are literals or scalar subqueries over a table; they are looked up once, and the periods are spread
+    over tasks.
     """
     bounds = spark.range(1).select(start.cast("timestamp").alias("_start"), end.cast("timestamp").alias("_end"))
-    periods = dates.periods_since("_start", "_end", unit)
-    steps = F.when(periods > 0, F.sequence(F.lit(0), periods - 1))
-    return bounds.select("_start", F.explode(steps).alias("_i")).select(
-        dates.shift("_start", unit, F.col("_i")).alias(f"date_{unit}")
-    )
+    first, periods = bounds.select(F.col("_start").cast("string"), dates.periods_since("_start", "_end", unit)).first()
+    return spark.range(max(0, periods or 0)).select(dates.shift(F.lit(first).cast("timestamp"), unit, F.col("id").cast("int")).alias(f"date_{unit}"))
 
 
 def base_dates(

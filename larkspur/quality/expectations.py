@@ -122,7 +122,7 @@ def distinct_count_equals_other(df, name, other, other_name, where=None, other_w
 def _value_set(df: DataFrame, name: str, values) -> DataFrame:
     """A literal list as a frame of the column's type; its size is that of the argument."""
     kind = df.schema[name].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(str(v),) for v in dict.fromkeys(values)], "_v string").select(
+    return df.sparkSession.createDataFrame([(None if v is None else str(v),) for v in dict.fromkeys(values)], "_v string").select(
         F.col("_v").cast(kind).alias("value_field")
     )
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from larkspur.session import cut
 
 
-def write_csv(df: DataFrame, path: str, files: int = 1) -> None:
-    """CSV with a header in at most ``files`` files; for reports, not for large results."""
-    df.coalesce(files).write.csv(path, mode="overwrite", header=True)
+def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """CSV with a header in each file; ``files`` moves the rows into so many."""
+    (df if files is None else df.repartition(files)).write.csv(path, mode="overwrite", header=True)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,7 +23,8 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "overwrite") -> None:
-    df.write.parquet(path, mode=mode, partitionBy=list(columns))
+    """A folder per value; rows of a value are brought together first, not written by every task."""
+    df.hint("rebalance", *columns).write.parquet(path, mode=mode, partitionBy=list(columns))
 
 
 def clustered(df: DataFrame, partition: str, *cluster: str) -> DataFrame:
@@ -36,7 +37,7 @@ def clustered(df: DataFrame, partition: str, *cluster: str) -> DataFrame:
 
 
 def write_clustered(df: DataFrame, path: str, partition: str, *cluster: str, mode="overwrite") -> None:
-    write_partitioned(clustered(df, partition, *cluster), path, partition, mode=mode)
+    clustered(df, partition, *cluster).write.parquet(path, mode=mode, partitionBy=[partition])
 
 
 def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:

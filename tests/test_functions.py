@@ -173,10 +173,10 @@ def test_deduplicate_and_clean(spark):
     blank = spark.createDataFrame([("a", "", 1), ("", "b", 2)], "f string, g string, n int")
     assert [tuple(r) for r in rows.blank_to_null(blank).collect()] == [("a", None, 1), (None, "b", 2)]
     assert rows.star(blank, drop=["F"], prefix="p_", suffix="_s").columns == ["p_g_s", "p_n_s"]
-    assert rows.column_values(df, "event") == ["play", "pause"]
-    assert rows.column_values(df.filter("user_id > 5"), "event", default=["x"]) == ["x"]
+    assert rows.value_list(df, "event", 10) == ["play", "pause"]
+    assert rows.value_list(df.filter("user_id > 5"), "event", 10, default=["x"]) == ["x"]
     with pytest.raises(ValueError):
-        rows.column_values(df, "event", max_records=1)
+        rows.value_list(df, "event", 1)
 
 
 def test_spines(spark):
@@ -203,3 +203,12 @@ def test_fiscal_calendar(spark):
     assert [r[1] for r in whole.orderBy("fiscal_period_number").collect()] == [4, 5, 4] * 4
     last = periods.filter("fiscal_week_of_year = 53").first()
     assert (last.fiscal_period_number, last.fiscal_quarter_number, last.fiscal_week_of_period) == (12, 4, 5)
+
+
+def test_sums_keep_small_and_large_amounts(spark):
+    from larkspur.functions.numbers import exact_avg, exact_sum
+
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(exact_sum("x"), exact_avg("x")).first() == (4.0, 0.004)
+    large = spark.createDataFrame([(2e16,), (1.5,)], "x double")
+    assert large.agg(exact_sum("x")).first()[0] == 2e16 + 2

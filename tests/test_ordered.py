@@ -87,15 +87,21 @@ def test_percentile_of_spread_values(spark):
     assert base.filter("k = 'even'").filter(F.col("v").between(wide._from, wide._to)).count() < 200
 
 
-def test_hot_groups_are_few_and_segments_small(rows):
-    hot = ordered.hot_groups(rows, ["k"], LIMIT)
-    assert sorted((r["k"] or "") for r in hot) == ["", "hot"]
+def test_segments_stay_within_the_limit(rows):
     cut_rows = ordered.segments(rows, ["k"], ["v", "id"], LIMIT)
-    sizes = cut_rows.groupBy("k", "_seg").count().agg(F.max("count")).first()[0]
-    assert sizes <= 3 * LIMIT
+    assert cut_rows.groupBy("_seg").count().agg(F.max("count")).first()[0] <= LIMIT
     assert cut_rows.count() == rows.count()
 
 
+def test_a_large_table_and_a_key_that_is_a_small_part_of_it(spark):
+    table = spark.range(400_000).select("id", F.when(F.col("id") < 1_500, -1).otherwise(F.col("id") % 9_000).alias("k"))
+    cut_rows = ordered.segments(table, ["k"], ["id"], 100)
+    assert cut_rows.groupBy("_seg").count().agg(F.max("count")).first()[0] <= 100
+    assert cut_rows.filter("k = -1").select("_seg").distinct().count() >= 15
+    numbered = ordered.row_number(table, ["k"], ["id"], "n", 100).filter("k = -1")
+    assert numbered.filter("n <> id + 1").isEmpty() and numbered.count() == 1_500
+
+
 def test_no_hot_key_keeps_the_plain_window(rows):
     assert ordered.segments(rows, ["k"], ["id"], 10_000) is None
     plan = ordered.row_number(rows, ["k"], ["id"], "n", 10_000)._jdf.queryExecution().toString()

@@ -171,10 +171,12 @@ def test_range_join(spark):
         assert sorted(map(tuple, found.select("day", "name").collect())) == sorted(map(tuple, expected.select("day", "name").collect()))
 
 
-def test_small_side_is_checked(spark):
-    assert joins.small_side(spark.range(10), 5) is not None
-    plan = lambda n: spark.range(100).join(joins.small_side(spark.range(10), n), "id").hint("x")._jdf.queryExecution().toString()
-    assert "strategy=broadcast" in plan(10) and "strategy=broadcast" not in plan(9)
+def test_range_join_with_open_ends(spark):
+    points = spark.createDataFrame([(dt.date(2020, 1, d),) for d in range(1, 29)], "day date")
+    ranges = spark.createDataFrame([("open", dt.date(2020, 1, 10), dt.date(9999, 12, 31)), ("one", dt.date(2020, 1, 5), dt.date(2020, 1, 5))], "name string, lo date, hi date")
+    for grain in ("day", "month"):
+        found = joins.range_join(points, ranges, "day", "lo", "hi", grain).groupBy("name").count()
+        assert {r["name"]: r["count"] for r in found.collect()} == {"open": 19, "one": 1}
 
 
 # --- routing, layout, sources -------------------------------------------------------
@@ -215,11 +217,9 @@ def test_group_apply_in_chunks(spark):
     tally = lambda rows: pd.DataFrame({"k": rows["k"].iloc[:1], "n": [len(rows)], "s": [rows["id"].sum()]})
     merge = lambda parts: pd.DataFrame({"k": parts["k"].iloc[:1], "n": [parts["n"].sum()], "s": [parts["s"].sum()]})
     schema = "k string, n long, s long"
-    whole = routing.group_apply(df, ["k"], tally, schema)
-    chunked = routing.group_apply(df, ["k"], tally, schema, merge, max_rows=200)
-    assert sorted(map(tuple, chunked.collect())) == sorted(map(tuple, whole.collect()))
-    with pytest.raises(ValueError):
-        routing.group_apply(df, ["k"], tally, schema, max_rows=200)
+    whole = df.groupBy("k").applyInPandas(tally, schema)
+    parts = routing.group_apply(df.repartition(7), ["k"], tally, schema, merge)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
 
 
 def test_map_rows(spark):
