@@ -17,7 +17,7 @@ def orders(t):
     return t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"), "o_orderpriority")
 
 
-@query(f"SELECT o_orderkey, o_custkey, o_totalprice, CAST(sum({AMOUNT}) OVER (PARTITION BY o_custkey) AS DOUBLE) AS total_spent FROM orders")
+@query(f"SELECT o_orderkey, o_custkey, o_totalprice, CAST(CAST(sum({AMOUNT}) OVER (PARTITION BY o_custkey) AS DECIMAL(18,2)) AS DOUBLE) AS total_spent FROM orders")
 def win_sum_partition(t):
     return ordered.with_totals(
         t.orders.select(*ORDER_COLUMNS), ["o_custkey"], {"total_spent": exact_sum("o_totalprice")}
@@ -60,7 +60,7 @@ def win_lag(t):
 
 
 @query(f"""
-WITH d AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(sum({AMOUNT}) AS DOUBLE) AS total FROM orders GROUP BY 1, 2)
+WITH d AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(CAST(sum({AMOUNT}) AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders GROUP BY 1, 2)
 SELECT o_orderpriority, day, {rounded("avg(total) OVER w", 4)} AS moving_avg, {rounded("stddev_samp(total) OVER w", 4)} AS moving_sd
 FROM d WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
 """)
@@ -74,7 +74,7 @@ def win_rolling_avg_std(t):
     )
 
 
-@query(f"SELECT o_orderkey, o_custkey, CAST(sum({AMOUNT}) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE)) AS DOUBLE) AS running_total FROM orders")
+@query(f"SELECT o_orderkey, o_custkey, CAST(CAST(sum({AMOUNT}) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE)) AS DECIMAL(18,2)) AS DOUBLE) AS running_total FROM orders")
 def win_running_sum(t):
     rows = orders(t).withColumn("amount", exact("o_totalprice"))
     summed = ordered.running_sum(rows, ["o_custkey"], ["day"], "amount", "running_total")
@@ -82,7 +82,7 @@ def win_running_sum(t):
 
 
 @query(f"""
-SELECT o_orderkey, {rounded(f"CAST(sum({AMOUNT}) OVER () AS DOUBLE) / count(*) OVER ()", 4)} AS mean_price,
+SELECT o_orderkey, {rounded(f"CAST(CAST(sum({AMOUNT}) OVER () AS DECIMAL(18,2)) AS DOUBLE) / count(*) OVER ()", 4)} AS mean_price,
   {rounded("stddev_samp(o_totalprice) OVER ()", 4)} AS sd_price FROM orders
 """)
 def win_global_stats(t):
@@ -100,7 +100,7 @@ def win_share_of_total(t):
 
 
 @query(f"""
-SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority, CAST(sum({AMOUNT}) AS DOUBLE) AS revenue,
+SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority, CAST(CAST(sum({AMOUNT}) AS DECIMAL(18,2)) AS DOUBLE) AS revenue,
   row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY sum({AMOUNT}) DESC, o_orderpriority) AS rank_in_day FROM orders GROUP BY 1, 2
 """)
 def win_rank_of_aggregate(t):
@@ -157,7 +157,7 @@ def topk_per_group(t):
     )
 
 
-@query(f"WITH s AS (SELECT o_custkey, CAST(sum({AMOUNT}) AS DOUBLE) AS total FROM orders GROUP BY 1) SELECT * FROM s WHERE total = (SELECT max(total) FROM s)")
+@query(f"WITH s AS (SELECT o_custkey, CAST(CAST(sum({AMOUNT}) AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders GROUP BY 1) SELECT * FROM s WHERE total = (SELECT max(total) FROM s)")
 def topk_rank_one(t):
     totals = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("total"))
     return totals.filter(F.col("total") == totals.agg(F.max("total")).scalar())
