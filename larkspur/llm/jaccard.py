@@ -154,7 +154,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", rule:
         df.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
         .mapInArrow(partial(_measure, rule=rule), f"doc_id {df.schema[id].dataType.simpleString()}, k1 long, k2 long, n long")
     )
-    classes = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
+    classes = cut(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n")))
     some = setjoin.numbered(setjoin.screen(df, text, classes, setjoin.whole, rule), F.col("least_id").asc_nulls_last())
     sets = setjoin.token_sets(df, text, some, setjoin.whole, rule)
     root = _links(sets, rule)

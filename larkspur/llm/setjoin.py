@@ -24,6 +24,8 @@ from larkspur.session import cut
 
 #: Posted tokens that one screening task should hold.
 BUCKET_TOKENS = 6_000_000
+#: Rows of 64 bits in the key filter that is broadcast: 4 MB at most.
+FILTER_SLOTS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -179,10 +181,21 @@ def _tokens(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
             )
 
 
+def may_be_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose k1 may be one of ``keys``; a bit table of bounded size spares the others the shuffle of a join.
+
+    No row of a key is lost. The more keys there are, the more other rows stay, which the join then drops.
+    """
+    slot, bit = F.pmod("k1", F.lit(FILTER_SLOTS)).alias("_slot"), "CAST(shiftright(k1, 32) & 63 AS INT)"
+    bits = keys.groupBy(slot).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_bits"))
+    known = rows.withColumn("_slot", slot).join(F.broadcast(bits), "_slot")
+    return known.where(f"shiftright(_bits, {bit}) & 1 = 1").drop("_slot", "_bits")
+
+
 def token_sets(df: DataFrame, text: str, some: DataFrame, units: Units, rule: Rule) -> DataFrame:
     """(v, n, tokens) of the classes in ``some`` (k1, k2, v, n), from their texts."""
     contents = text_only(df, text).mapInArrow(partial(_content, units=units), "k1 long, k2 long, content binary")
-    one = contents.join(some.select("k1", "k2", "v", "n"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    one = may_be_in(contents, some).join(some.select("k1", "k2", "v", "n"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     return cut(one.select("v", "n", "content").mapInArrow(partial(_tokens, rule=rule), "v long, n long, tokens array<long>"))
 
 
