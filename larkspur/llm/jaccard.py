@@ -46,7 +46,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
     Level is the smallest k whose prefix holds the token. Centre is the mean log of the set's token counts: of a group of near copies, the
     text that the others were made from has no tokens of its own and comes first.
     """
-    for batch in batches:
+    for batch in setjoin.runs(batches):
         v, n, rare = (batch.column(i) for i in range(3))
         bounds = rare.offsets.to_numpy()
         df, t = (rare.values.field(i).to_numpy() for i in (0, 1))

@@ -166,10 +166,8 @@ def _content(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.Rec
             k1, k2 = arrays.keys(arrays.words(data, offsets, arrays.NOT_SPACE))
             _, first = np.unique(k1, return_index=True)
             first.sort()
-            raw = data.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[first]), pa.array(k2[first]), pa.array([raw[offsets[i] : offsets[i + 1]] for i in first], pa.binary())], ["k1", "k2", "content"]
-            )
+            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([pa.array(k1[first]), pa.array(k2[first]), raw.take(pa.array(first)).cast(pa.binary())], ["k1", "k2", "content"])
 
 
 def _tokens(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -205,14 +203,41 @@ def numbered(classes: DataFrame, *order: Column) -> DataFrame:
 
 
 def rarity(sets: DataFrame) -> DataFrame:
-    """(v, n, rare): the tokens that at least two sets have, rarest first, with their set counts.
+    """(v, n, df, t): the tokens that at least two sets have, sorted by set and rarity, with their set counts.
 
     Tokens of one set alone precede them all in the common order and need no
-    place in a join; there are ``n - size(rare)``. Each list is as long as its set at most.
+    place in a join; there are n less those given. All rows of a set are in one partition; see ``runs``.
     """
     tokens = sets.select("v", "n", F.explode("tokens").alias("t"))
     common = tokens.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
-    return tokens.join(common, "t").groupBy("v", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("rare"))
+    return tokens.join(common, "t").select("v", "n", "df", "t").repartition("v").sortWithinPartitions("v", "df", "t")
+
+
+def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (v, n, rare) of whole sets from the sorted rows of ``rarity``; holds a batch and one set at most."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        v = batch.column(0).to_numpy()
+        last = int(np.searchsorted(v, v[-1]))  # where the set starts that the next batch may go on with
+        if last:
+            yield _listed([*held, batch.slice(0, last)])
+            held = []
+        elif held and held[-1].column(0)[0].as_py() != v[0]:
+            yield _listed(held)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield _listed(held)
+
+
+def _listed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    v, n, df, t = (pa.concat_arrays([r.column(i) for r in rows]) for i in range(4))
+    own = v.to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    rare = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)), pa.int32()), pa.StructArray.from_arrays([df, t], ["df", "t"]))
+    return pa.RecordBatch.from_arrays([v.take(pa.array(starts)), n.take(pa.array(starts)), rare], ["v", "n", "rare"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
