@@ -439,3 +439,29 @@ def test_screening_in_many_buckets(spark, monkeypatch):
     out = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()}
     sets = {i: shingle_set(t) for i, t in data}
     assert all(out[a] == out[b] for a, b in combinations(sets, 2) if similar(sets[a], sets[b]))
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 100])
+def test_runs_join_sets_over_batches(step):
+    """Sets of one row, of several batches and of exactly a batch come out whole, in order, once."""
+    sizes = [1, 5, 3, 3, 1, 9, 2]
+    v = np.repeat(np.arange(len(sizes)) * 10, sizes)
+    rows = pa.RecordBatch.from_arrays([pa.array(v), pa.array(v + 100), pa.array(np.arange(len(v))), pa.array(np.arange(len(v)) * 7)], ["v", "n", "df", "t"])
+    batches = [rows.slice(0, 0), *(rows.slice(i, step) for i in range(0, len(v), step))]
+    got = [r for b in setjoin.runs(batches) for r in b.to_pylist()]
+    assert [(r["v"], r["n"], len(r["rare"])) for r in got] == [(i * 10, i * 10 + 100, s) for i, s in enumerate(sizes)]
+    assert [x for r in got for x in r["rare"]] == [{"df": i, "t": i * 7} for i in range(len(v))]
+    assert list(setjoin.runs([rows.slice(0, 0)])) == []
+
+
+def test_key_filter_loses_no_key(spark, monkeypatch):
+    """Also where the table is so small that most other rows pass."""
+    keys = spark.range(500).select(F.xxhash64("id").alias("k1"))
+    rows = spark.range(3000).select(F.xxhash64("id").alias("k1"), "id")
+    for slots in (1, 8, 1 << 18):
+        monkeypatch.setattr(setjoin, "FILTER_SLOTS", slots)
+        kept = setjoin.may_be_in(rows, keys)
+        assert kept.columns == ["k1", "id"]
+        assert kept.where("id < 500").count() == 500
+    assert kept.count() < 600
+    assert setjoin.may_be_in(rows, keys.where("k1 IS NULL")).count() == 0
