@@ -42,7 +42,7 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return spans.remove_repeats(_table(spark, folder, "documents"))
+    return spans.remove_repeats(_table(spark, folder, "documents"), long_words=spans.LONG_WORDS)
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of a few consecutive sentences is hashed, the first place of each
-run is found by an aggregate over the whole table, and sentences that any
-later place covers are removed.
+Runs of consecutive sentences that are just long enough are hashed, the first
+place of each run is found by an aggregate over the whole table, and sentences
+that any later place covers are removed.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from larkspur.llm import arrays
 from larkspur.session import cut
 
+#: Words from which a sentence is a span of its own.
+LONG_WORDS = 50
+
 #: A sentence ends after a full stop, question or exclamation mark (or its full-width form) before white space, or at a line feed.
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?。！？]+(?=\s|$)\s*|\n+|$)", re.S)
 
@@ -30,8 +33,30 @@ def sentences(text: str) -> list[str]:
     return parts
 
 
-def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, at, k1, k2) for each run of ``run`` sentences with words that has enough words.
+def _bounds(size: np.ndarray, owner: np.ndarray, run: int, least_words: int, long_words: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the spans among sentences of ``size`` words that belong to ``owner``, each once.
+
+    Of every sentence, the shortest run that begins and the shortest that ends there: together they cover
+    every longer run whole, up to its last sentence.
+    """
+    n = len(size)
+    here = np.arange(n)
+    if long_words is None:
+        start = here[: max(n - run + 1, 0)]
+        ok = (owner[start] == owner[start + run - 1]) & (np.convolve(size, np.ones(run, size.dtype), "valid") >= least_words if len(start) else True)
+        return start[ok], start[ok] + run
+    words = np.append(0, np.cumsum(size))
+    end = np.maximum(here + run, np.searchsorted(words, words[:-1] + least_words))
+    start = np.minimum(here + 1 - run, np.searchsorted(words, words[1:] - least_words, "right") - 1)
+    forward = (end <= n) & (owner[np.minimum(end, n) - 1] == owner)
+    backward = (start >= 0) & (owner[np.maximum(start, 0)] == owner)
+    backward[end[forward] - 1] = False  # the shortest run to that end is the forward one
+    alone = here[size >= long_words] if run > 1 else here[:0]
+    return np.concatenate([here[forward], start[backward], alone]), np.concatenate([end[forward], here[backward] + 1, alone + 1])
+
+
+def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_words: int | None) -> Iterator[pa.RecordBatch]:
+    """(doc_id, at, n, k1, k2) for each span of ``n`` sentences with words; see ``remove_repeats``.
 
     Sentences without words neither count nor break a run; ``at`` counts sentences with words.
     """
@@ -47,59 +72,60 @@ def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int) -> Ite
             owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
             some = size > 0
             k1, k2, size, owner = k1[some].view(np.uint64), k2[some].view(np.uint64), size[some], owner[some]
-            n = len(owner) - run + 1
-            if n <= 0:
+            start, end = _bounds(size, owner, run, least_words, long_words)
+            if len(start) == 0:
                 continue
             first = np.searchsorted(owner, np.arange(len(parts)))
-            at = np.arange(len(owner)) - first[owner]
-            h1, h2, total = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.int64)
-            for i in range(run):
-                h1 = arrays.mix(h1 ^ k1[i : n + i]) * np.uint64(0x9E3779B97F4A7C15)
-                h2 = arrays.mix(h2 ^ k2[i : n + i]) * np.uint64(0xC2B2AE3D27D4EB4F)
-                total += size[i : n + i]
-            ok = (owner[:n] == owner[run - 1 :]) & (total >= least_words)
+            at, n = start - first[owner[start]], end - start
+            h1, h2 = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
+            for i in range(int(n.max())):
+                live = np.flatnonzero(n > i)
+                h1[live] = arrays.mix(h1[live] ^ k1[start[live] + i]) * np.uint64(0x9E3779B97F4A7C15)
+                h2[live] = arrays.mix(h2[live] ^ k2[start[live] + i]) * np.uint64(0xC2B2AE3D27D4EB4F)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0).take(pa.array(owner[:n][ok])), pa.array(at[:n][ok].astype(np.int32)), pa.array(h1[ok].view(np.int64)), pa.array(h2[ok].view(np.int64))],
-                ["doc_id", "at", "k1", "k2"],
+                [piece.column(0).take(pa.array(owner[start])), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                ["doc_id", "at", "n", "k1", "k2"],
             )
 
 
-def _strip(batches: Iterable[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, gone, out = [], [], []
-        for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             parts = sentences(text)
             worded = np.flatnonzero(np.diff(arrays.words(*arrays.utf8(pa.array(parts, pa.string())), arrays.ALNUM).bounds) > 0) if parts else []
             n.append(len(worded))
-            covered = {int(worded[i]) for s in set(starts) for i in range(s, s + run)}
+            covered = {int(x) for s in found for x in worded[s["at"] : s["at"] + s["n"]]}
             gone.append(len(covered))
             out.append("".join(p for i, p in enumerate(parts) if i not in covered) if covered else text)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(out, pa.string())], ["doc_id", "n_sentences", "n_removed", "text"])
 
 
-def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20) -> DataFrame:
-    """(doc_id, at) of every span whose words stand at an earlier place (doc_id, at) too."""
+def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
+    """(doc_id, at, n) of every span of n sentences whose words stand at an earlier place (doc_id, at) too."""
     kind = df.schema[id].dataType.simpleString()
     docs = df.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    spans = cut(docs.mapInArrow(partial(_spans, run=run, least_words=least_words), f"doc_id {kind}, at int, k1 long, k2 long"))
+    spans = cut(docs.mapInArrow(partial(_spans, run=run, least_words=least_words, long_words=long_words), f"doc_id {kind}, at int, n int, k1 long, k2 long"))
     place = F.struct("doc_id", "at")
-    first = spans.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return spans.join(first, ["k1", "k2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "at")
+    first = spans.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1").drop("places")
+    return spans.join(first, ["k1", "k2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "at", "n")
 
 
-def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20) -> DataFrame:
+def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
     """One row (doc_id, n_sentences, n_removed, text) per document, without the repeated sentences.
 
-    A span is ``run`` consecutive sentences with at least ``least_words`` words together; its words are compared with
+    A span is ``run`` consecutive sentences with at least ``least_words`` words together. With ``long_words`` it takes as many more
+    sentences as it needs for ``least_words``, so that every repeated run of ``run`` or more sentences with as many words is
+    covered whole, and a sentence of ``long_words`` words or more is a span too. Words are compared with
     A-Z as a-z and without punctuation. The first place of a span, by (doc_id, position), stays; sentences covered by any
     other place go, in the same document too. Null reads as empty and comes back as empty text. Texts with fewer
     sentences are not changed. Rows with the same id share their removals, nulls come first. Other columns are not read; an empty
     table gives an empty one.
     """
-    spans = repeated_spans(df, id, text, run, least_words).distinct()
-    starts = spans.groupBy("doc_id").agg(F.collect_list("at").alias("starts"))  # as many as a text has sentences
+    spans = repeated_spans(df, id, text, run, least_words, long_words).distinct()
+    found = spans.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("found"))  # three times as many as a text has sentences at most
     docs = df.select(F.col(f"`{id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    joined = docs.join(starts.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    return joined.select("doc_id", "text", F.coalesce("starts", F.array().cast("array<int>")).alias("starts")).mapInArrow(
-        partial(_strip, run=run), f"doc_id {df.schema[id].dataType.simpleString()}, n_sentences int, n_removed int, text string"
+    joined = docs.join(found.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    return joined.select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<at:int,n:int>>")).alias("found")).mapInArrow(
+        _strip, f"doc_id {df.schema[id].dataType.simpleString()}, n_sentences int, n_removed int, text string"
     )

@@ -119,6 +119,28 @@ def test_spans_against_brute_force(spark):
     assert sum(map(len, gone.values())) > 0
 
 
+def test_spans_cover_short_and_single_sentences(spark):
+    """Passages of short sentences, of one long sentence, and with short sentences at their ends go whole, between any neighbours."""
+    rng = random.Random(6)
+    sentence = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + "."
+    sizes = [[9] * 7, [3, 4, 2] * 8, [60], [50], [2, 3, 40, 4, 1], [1, 30, 1], [15, 5], [1] * 20, [30, 60, 2]]
+    passages = [[sentence(n) for n in size] for size in sizes]
+    frames = [([sentence(rng.choice([2, 7, 30])) for _ in range(3)], [sentence(rng.choice([1, 6, 30])) for _ in range(3)]) for _ in range(3 * len(sizes))]
+    docs = [(i, " ".join([*before, *passages[i % len(sizes)], *after])) for i, (before, after) in enumerate(frames)]
+    short = [sentence(6), sentence(6)]  # too few words for a span
+    docs += [(100 + i, " ".join([sentence(30), *short, sentence(30)])) for i in range(2)] + [(200, " ".join([sentence(4), sentence(49)])), (None, None)]
+    docs += [(200, docs[0][1])]  # a shorter and a longer text with one id
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    out = collections.defaultdict(list)
+    for r in spans.remove_repeats(df, long_words=spans.LONG_WORDS).collect():
+        out[r.doc_id].append(r)
+    for i, (before, after) in enumerate(frames):
+        expected = docs[i][1] if i < len(sizes) else " ".join([*before, *after])
+        assert [r.text for r in out[i]] == [expected]
+    assert [r.n_removed for i in (100, 101) for r in out[i]] == [0, 0] and out[None][0].text == ""
+    assert sorted(r.n_sentences for r in out[200]) == [2, 13] and max(r.n_removed for r in out[200]) == 13
+
+
 def test_spans_odd_rows(odd, empty):
     out = spans.remove_repeats(odd).collect()
     assert len(out) == odd.count()
