@@ -13,16 +13,24 @@ from larkspur.llm.queries import token_digests, toxic_scores
 from larkspur.session import shared_dir, tune
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, which differs where rows do and is never null: their id (none after all others), a digest of the text, a hash of the row."""
+    sha = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", sha.alias("sha"), F.xxhash64(*docs.columns).alias("rest"))
+    return docs.withColumn("_row", row)
+
+
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept``; a null id is an id too."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """Rows of keyed ``docs`` whose ``_row`` is a doc_id of ``kept``."""
+    rows = kept.select(F.col("doc_id").alias("_row")).distinct()
+    return docs.join(rows, "_row", "left_semi").drop("_row")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger does not reject."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return _only(docs, toxic_scores(docs, labels).where("predicted = 0"))
+    docs = _keyed(docs)
+    return _only(docs, toxic_scores(docs, labels, id="_row").where("predicted = 0"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +42,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; texts without words all stay."""
-    found = jaccard.near_duplicates(docs)
-    return _only(docs, found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))))
+    """One row of each group of near duplicates, the one with the smallest id, a row with an id before one without; texts without words all stay."""
+    docs = _keyed(docs)
+    found = jaccard.near_duplicates(docs, id="_row").where("component_id = doc_id")
+    kept = found.groupBy(F.col("doc_id").alias("_row")).agg(F.max("n_shingles").alias("_n"))
+    # equal rows have one key; those with words are one row, the others stay as many as they are
+    each = docs.join(kept, "_row").withColumn("_each", F.when(F.col("_n") == 0, F.monotonically_increasing_id()))
+    return each.dropDuplicates(["_row", "_each"]).drop("_row", "_each", "_n")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _only(docs, suffixes.contamination(docs, items).where("NOT contaminated"))
+    docs = _keyed(docs)
+    return _only(docs, suffixes.contamination(docs, items, id="_row").where("NOT contaminated"))
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

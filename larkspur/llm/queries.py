@@ -32,9 +32,10 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxic_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
+    """Scores by a model learnt by doc_id; rows are named by the column ``id``."""
     model = toxicity.train(docs, labels, where=~held_out())
-    return toxicity.scores(docs, model)
+    return toxicity.scores(docs, model, id=id)
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:

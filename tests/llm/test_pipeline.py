@@ -39,3 +39,34 @@ def test_stages_with_odd_rows(spark, tmp_path):
     assert corpus_pipeline.drop_near_copies(spark, left, SMALL).count() == 3
     assert corpus_pipeline.drop_contaminated(spark, left, SMALL).count() == 3
     assert corpus_pipeline.drop_toxic(spark, cut(docs.limit(0)), SMALL).count() == 0
+
+
+def with_columns(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return docs.withColumns({"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.lit(1).cast("long")})
+
+
+def left_of(stage, docs, folder=SMALL):
+    return sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in stage(docs.sparkSession, docs, folder).collect())
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and shared ids: each row goes or stays for its own text."""
+    toxic, clean = "you are a moron here", "what a lovely day"
+    known = [(i, (toxic, clean, "moron. really", "nice words only")[i % 4]) for i in range(160)]
+    spark.createDataFrame([(i, 1 - i % 2) for i, _ in known], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = cut(with_columns(spark, known + [(None, clean), (None, toxic), (999, clean), (999, toxic)]))
+    assert [x for x in left_of(corpus_pipeline.drop_toxic, docs, str(tmp_path)) if x[0] in (-1, 999)] == [(-1, clean), (999, clean)]
+
+    (passage,) = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("item_id IS NOT NULL").orderBy(-F.length("text")).select("text").first()
+    rows = [(None, "no such words"), (None, passage), (5, "nor such ones"), (5, passage), (6, None)]
+    assert left_of(corpus_pipeline.drop_contaminated, cut(with_columns(spark, rows))) == [(-1, "no such words"), (5, "nor such ones"), (6, "")]
+
+    base = [" ".join(f"w{i}_{j}" for j in range(40)) for i in range(5)]
+    rows = [(None, base[0]), (None, base[0] + " x"), (7, base[1]), (7, base[1] + " y"), (8, base[2]), (8, base[2]), (None, base[3]), (3, base[3] + " z"), (8, base[4]), (None, "alone here")]
+    left = left_of(corpus_pipeline.drop_near_copies, cut(with_columns(spark, rows + [(9, ""), (9, ""), (None, None), (None, None)])))
+    of = lambda text: [x for x in left if text and x[1].startswith(text)]
+    assert [len(of(b)) for b in base] == [1] * 5 and of(base[3]) == [(3, base[3] + " z")] and of("alone") == [(-1, "alone here")]
+    assert [x for x in left if not x[1]] == [(-1, ""), (-1, ""), (9, ""), (9, "")] and len(left) == 10
+    again = left_of(corpus_pipeline.drop_near_copies, cut(with_columns(spark, rows[::-1]).repartition(3)))
+    assert again == [x for x in left if x[1]]
