@@ -194,14 +194,14 @@ def _find(batches: Iterable[pa.RecordBatch], block: Broadcast, window: int, more
 
 
 def find_matches(
-    df: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES
+    df: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, unnamed: bool = False
 ) -> DataFrame:
     """One row (doc_id, n_words, n_hit, matches) per row of ``df``.
 
     Words are runs of digits, a-z (A-Z read as such) and characters outside ASCII. A window is ``window`` consecutive
     words of an item, or a whole item of fewer. ``matches`` lists the maximal verbatim matches (item_id as text,
     word places, length in words), n_hit counts the words inside them. Null and empty texts have no words; an
-    item without words has no window. An item without id cannot be named and is left out; repeated items and ids are found like any other.
+    item without words has no window. An item without id is left out, or with ``unnamed`` found under a null item_id; repeated items and ids are found like any other.
     Repeated rows are rows like any other, other columns are not read, and an empty table gives an empty one.
 
     The items are worked off in blocks of about ``block_bytes``, each a pass over the documents whose memory the
@@ -209,8 +209,8 @@ def find_matches(
     """
     spark = df.sparkSession
     items = items.select(F.col(f"`{item_id}`").cast("string").alias("item_id"), F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("text"))
-    items = items.where("item_id IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id") + 16).alias("x")).first()["x"] or 0
+    items = items if unnamed else items.where("item_id IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 16).alias("x")).first()["x"] or 0
     blocks = max(1, -(-size // block_bytes))
     kind = df.schema[id].dataType.simpleString()
     found = df.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.lit(None).cast(MATCH).alias("matches"))
@@ -227,8 +227,11 @@ def find_matches(
 
 
 def contamination(df: DataFrame, items: DataFrame, **names) -> DataFrame:
-    """One row (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest) per row of ``df``; see ``find_matches``."""
-    found = find_matches(df, items, **names)
+    """One row (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest) per row of ``df``; see ``find_matches``.
+
+    Items without id count too, all together as one in n_items; only items_sha256, of the ids, leaves them out.
+    """
+    found = find_matches(df, items, unnamed=True, **names)
     ids = F.array_sort(F.array_distinct(F.col("matches.item_id")))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),

@@ -200,6 +200,17 @@ def test_suffix_array_is_sorted():
     assert tails == sorted(tails)
 
 
+@pytest.mark.parametrize("block_bytes", [16 << 20, 20])
+def test_items_without_id_contaminate(spark, block_bytes):
+    """They count everywhere but in the digest of the ids, as in the query's SQL."""
+    sha = lambda ids: hashlib.sha256(ids.encode()).hexdigest()
+    df = spark.createDataFrame([(1, "x alpha beta y"), (2, "x gamma delta alpha beta epsilon zeta"), (3, "gamma delta"), (4, "clean"), (None, "alpha beta")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "alpha beta"), (None, "epsilon zeta"), (7, "gamma delta"), (None, None), (None, "")], "item_id long, text string")
+    out = suffixes.contamination(df, items, block_bytes=block_bytes).collect()
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out}
+    assert got == {1: (2, 1, sha(""), True), 2: (6, 2, sha("7"), True), 3: (2, 1, sha("7"), True), 4: (0, 0, sha(""), False), None: (2, 1, sha(""), True)}
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "no id at all")], "item_id long, text string")
     out = suffixes.contamination(odd, items).collect()
