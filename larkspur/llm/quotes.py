@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import ordered
@@ -102,8 +102,11 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
 
     had = messages.select("conv", F.explode("units").alias("unit"), "at", F.lit(None).cast("int").alias("level"))
     asked = messages.select("conv", F.explode("quoted").alias("q"), "at").select("conv", "q.unit", "at", "q.level")
-    before = Window.partitionBy("conv", "unit").orderBy("at", F.col("level").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = had.unionByName(asked).withColumn("source", F.last(F.when(F.col("level").isNull(), F.col("at")), ignorenulls=True).over(before))
+    # only units that are quoted; their list is written, so that the join can split a hot one
+    known = had.join(cut(asked.select("conv", "unit").distinct()), ["conv", "unit"], "left_semi")
+    rows = known.unionByName(asked).withColumns({"own": F.col("level").isNull(), "place": F.when(F.col("level").isNull(), F.col("at"))})
+    # a message's quotes come before its own units; the latest place is the largest
+    found = ordered.running_max(cut(rows), ["conv", "unit"], ["at", "own"], "place", "source")
     votes = found.where("level IS NOT NULL AND source IS NOT NULL").groupBy("conv", "at", "source").agg(F.min("level").alias("level"), F.count("*").alias("n"))
     quoted = votes.groupBy("conv", "at").agg(F.max_by("source", F.struct(-F.col("level"), "n", "source")).alias("source"))
 

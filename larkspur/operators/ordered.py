@@ -119,27 +119,37 @@ def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = N
 
     ``sums`` maps output names to columns that are never null; ``measured`` is what ``_measure`` said, if it was asked before.
     """
+    return _running(df, keys, order, sums, F.sum, lambda own, before: own + F.coalesce(before, F.lit(0)), max_rows, measured)
+
+
+def running_max(df: DataFrame, keys, order, value: str, alias="running_max", max_rows=None) -> DataFrame:
+    """Largest value so far per key, current row included; null before the first value. The order has to be total."""
+    return _running(df, keys, order, {alias: F.col(value)}, F.max, F.greatest, max_rows, None)
+
+
+def _running(df: DataFrame, keys, order, values: dict, total, plus, max_rows, measured) -> DataFrame:
+    """Running aggregates ``total`` of ``values``; ``plus`` puts a segment's own and the earlier segments' together."""
     keys = list(keys)
     cut_rows = segments(df, keys, order, max_rows, measured)
     frame = (Window.unboundedPreceding, Window.currentRow)
     if cut_rows is None:
         window = plain_window(keys, order).rowsBetween(*frame)
-        return df.select("*", *[F.sum(c).over(window).alias(a) for a, c in sums.items()])
+        return df.select("*", *[total(c).over(window).alias(a) for a, c in values.items()])
 
     by_segment = [*keys, "_seg"]
     earlier = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     # a row per key and segment: keys without a segment border inside have one
     before = (
         cut_rows.groupBy(*by_segment)
-        .agg(*[F.sum(c).alias(f"_s_{a}") for a, c in sums.items()])
-        .select(*by_segment, *[F.sum(f"_s_{a}").over(earlier).alias(f"_o_{a}") for a in sums])
+        .agg(*[total(c).alias(f"_s_{a}") for a, c in values.items()])
+        .select(*by_segment, *[total(f"_s_{a}").over(earlier).alias(f"_o_{a}") for a in values])
     )
     window = plain_window(by_segment, order).rowsBetween(*frame)
-    local = cut_rows.select("*", *[F.sum(c).over(window).alias(f"_l_{a}") for a, c in sums.items()])
+    local = cut_rows.select("*", *[total(c).over(window).alias(f"_l_{a}") for a, c in values.items()])
     joined = attach(local, before, by_segment)
     return joined.select(
         *df.columns,
-        *[(F.col(f"_l_{a}") + F.coalesce(f"_o_{a}", F.lit(0))).alias(a) for a in sums],
+        *[plus(F.col(f"_l_{a}"), F.col(f"_o_{a}")).alias(a) for a in values],
     )
 
 

@@ -454,6 +454,23 @@ def test_quotations_build_the_tree(spark):
     assert quotes.reply_ordered(df.limit(0)).count() == 0
 
 
+def test_quotations_of_a_hot_line(spark, monkeypatch):
+    """Only quoted units are ordered, and a line that a whole conversation repeats is cut into segments, with the same result."""
+    talk = [(None, i, "a", f"> thanks\nanswer {i}" if i % 7 == 6 else f"> line {i - 3}\nthanks" if i % 5 == 4 else f"thanks\nline {i}") for i in range(120)]
+    df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    seen = []
+    running_max = quotes.ordered.running_max
+    monkeypatch.setattr(quotes.ordered, "running_max", lambda rows, *more: seen.append(rows) or running_max(rows, *more))
+    plain = sorted(rows_of(quotes.reply_ordered(df)))
+    asked = {r.unit for r in seen[0].where("level IS NOT NULL").collect()}
+    assert {r.unit for r in seen[0].where("level IS NULL").collect()} <= asked and quotes._unit("thanks") in asked
+    monkeypatch.setattr(quotes.ordered, "running_max", lambda *more: running_max(*more, 10))
+    assert sorted(rows_of(quotes.reply_ordered(df))) == plain
+    turns = {r[2]: r[5] for r in plain}
+    lately = lambda i: max(j for j in range(i) if talk[j][3].endswith("thanks") or talk[j][3].startswith("thanks"))
+    assert all(turns[i] == lately(i) for i in range(6, 120, 7))
+
+
 def test_quotations_keep_every_message(spark):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet")
     out = quotes.reply_ordered(table).collect()
