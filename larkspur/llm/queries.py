@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, exact, jaccard, lines, quotes, spans, suffixes, toxicity, urls, warc
-from larkspur.session import tune
+from larkspur.llm import bpe, exact, jaccard, ledger, lines, quotes, spans, suffixes, toxicity, urls, warc
+from larkspur.session import shared_dir, tune
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -85,14 +86,54 @@ def op10_quotations(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.reply_ordered(_table(spark, folder, "conversations"))
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """All blobs are new to a ledger of its own."""
+    found = ledger.scan(_table(spark, folder, "documents"), f"{shared_dir(spark)}/ledgers/{uuid.uuid4()}")
+    return ledger.digests(found).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_exact_dedup, op5_warc, op6_ngram_jaccard, op7_line_dedup, op8_url_rules, op9_toxicity, op10_quotations)
+    for f in (
+        op1_bpe, op2_substring_dedup, op3_decontamination, op4_exact_dedup, op5_warc, op6_ngram_jaccard, op7_line_dedup, op8_url_rules,
+        op9_toxicity, op10_quotations, op11_secrets,
+    )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Kind and pattern of the secrets; group 1 is what decides, with so many characters at least.
+_SECRETS = (
+    ("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12),
+    ("access", "(AKIA[A-Z0-9]+)", 18), ("hex", "([0-9a-f]+)", 16),
+    ("key", "(-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----)", 1), ("signed", r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)", 1),
+)
+
+
+def _secret_matches(rank: int, kind: str, pattern: str, least: int) -> str:
+    """SQL of all matches of a kind: each with what stands between it and the one before, so that lengths add up to places."""
+    quoted = pattern.replace("'", "''")
+    parts = ", ".join(f"regexp_extract_all(x, '(?s)(.*?)({quoted})', {g}) AS {n}" for g, n in ((1, "gap"), (2, "hit"), (3, "told")))
+    return f"""
+        SELECT doc_id, {rank} AS rank, '{kind}' AS kind, upto - length(hit) AS first, upto AS last
+        FROM (SELECT doc_id, hit, told, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS upto
+              FROM (SELECT doc_id, unnest(gap) AS gap, unnest(hit) AS hit, unnest(told) AS told, unnest(range(len(hit))) AS i FROM (SELECT doc_id, {parts} FROM d)))
+        WHERE length(told) >= {least}"""
+
+
 SQL: dict[str, str] = {
+    "op11_secrets": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS x FROM documents
+        ), found AS ({" UNION ALL ".join(_secret_matches(i, *s) for i, s in enumerate(_SECRETS))}
+        ), told AS (
+            SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                   string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, rank) AS spans
+            FROM found GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN told USING (doc_id)
+    """,
     "op3_decontamination": rf"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
