@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, exact, jaccard, ledger, lines, quotes, spans, suffixes, toxicity, urls, warc
+from larkspur.llm import bpe, exact, jaccard, ledger, lines, quotes, spans, spelling, suffixes, toxicity, urls, warc
 from larkspur.session import shared_dir, tune
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -92,11 +92,15 @@ def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.digests(found).withColumnRenamed("id", "doc_id")
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_table(spark, folder, "documents"), slips=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_substring_dedup, op3_decontamination, op4_exact_dedup, op5_warc, op6_ngram_jaccard, op7_line_dedup, op8_url_rules,
-        op9_toxicity, op10_quotations, op11_secrets,
+        op9_toxicity, op10_quotations, op11_secrets, op12_spelling,
     )
 }
 
@@ -121,7 +125,41 @@ def _secret_matches(rank: int, kind: str, pattern: str, least: int) -> str:
         WHERE length(told) >= {least}"""
 
 
+def _crc32(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a text's UTF-8, byte by byte and bit by bit."""
+    digit = lambda at: f"instr('123456789ABCDEF', substr(hex(encode({text})), CAST({at} AS INTEGER), 1))"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST(16 * {digit('2 * i + 1')} + {digit('2 * i + 2')} AS BIGINT))"
+    bits = "list_reduce([xor(c, o), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {octets}), lambda c, o: {bits}))"
+
+
 SQL: dict[str, str] = {
+    "op12_spelling": f"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL
+        ), hashed AS (
+            SELECT run, n, {_crc32("concat(doc_id, ':', run)")} AS h FROM runs
+        ), slipped AS (
+            SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+        ), words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ), cuts AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT cuts.word, words.word, words.n FROM cuts JOIN words ON words.word = cuts.rest
+            UNION SELECT words.word, cuts.word, cuts.n FROM cuts JOIN words ON words.word = cuts.rest
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS form_n, arg_min(other, (-other_n, encode(other))) AS form FROM near GROUP BY word
+        ), told AS (
+            SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * words.n THEN form END AS form, CASE WHEN form_n >= 10 * words.n THEN form_n END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS root FROM told UNION ALL SELECT chain.word, told.form FROM chain JOIN told ON told.word = chain.root WHERE told.form IS NOT NULL
+        )
+        SELECT told.*, root FROM told JOIN (SELECT chain.word, chain.root FROM chain JOIN told ON told.word = chain.root WHERE told.form IS NULL) USING (word)
+    """,
     "op11_secrets": f"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS x FROM documents
