@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, exact, jaccard, ledger, lines, quotes, spans, spelling, suffixes, toxicity, urls, warc
+from larkspur.llm import bpe, exact, jaccard, ledger, lines, prefixes, quotes, spans, spelling, suffixes, toxicity, urls, warc
 from larkspur.session import shared_dir, tune
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,11 +96,15 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(_table(spark, folder, "documents"), slips=31))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(*prefixes.shared_heads(prefixes.numbered_turns(_table(spark, folder, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_substring_dedup, op3_decontamination, op4_exact_dedup, op5_warc, op6_ngram_jaccard, op7_line_dedup, op8_url_rules,
-        op9_toxicity, op10_quotations, op11_secrets, op12_spelling,
+        op9_toxicity, op10_quotations, op11_secrets, op12_spelling, op13_prefix_trie,
     )
 }
 
@@ -134,6 +138,35 @@ def _crc32(text: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "op13_prefix_trie": f"""
+        WITH t AS (
+            SELECT conv_id AS c, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT c, {_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM t)
+        ), parts AS (
+            SELECT convs.c, 0 AS part, k, said FROM convs JOIN t ON t.c = convs.c - convs.c % 100 AND k <= h
+            UNION ALL SELECT convs.c, 1, k, said FROM convs JOIN t ON t.c = convs.c AND k > h
+        ), seqs AS (
+            SELECT convs.c, coalesce(s, []) AS s FROM convs LEFT JOIN (SELECT c, list(said ORDER BY part, k) AS s FROM parts GROUP BY c) USING (c)
+        ), prefixes AS (
+            SELECT c, len(s) AS total, d, list_slice(s, 1, d) AS p, length(s[d].text) AS size FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM seqs)
+        ), members AS (
+            SELECT c, d, total, size, min(c) OVER (PARTITION BY p) AS conv_id FROM prefixes
+        ), nodes AS (
+            SELECT conv_id, d, count(*) AS n_convs, coalesce(any_value(size), 0) AS size, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (total = d) AS ends FROM members GROUP BY conv_id, d
+        ), linked AS (
+            SELECT nodes.*, above.conv_id AS parent_conv_id FROM nodes LEFT JOIN members above ON above.c = nodes.conv_id AND above.d = nodes.d - 1
+        ), children AS (
+            SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY ALL
+        ), full_nodes AS (
+            SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN children USING (conv_id, d)
+        ), sums AS (
+            SELECT up.conv_id, up.d, count(*) FILTER (n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.size)::BIGINT AS saved_tokens
+            FROM full_nodes n JOIN members up ON up.c = n.conv_id AND up.d <= n.d GROUP BY ALL
+        )
+        SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256 FROM full_nodes JOIN sums USING (conv_id, d)
+    """,
     "op12_spelling": f"""
         WITH RECURSIVE runs AS (
             SELECT doc_id, run, count(*) AS n
