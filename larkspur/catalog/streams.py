@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.catalog.layout import scratch
 from larkspur.catalog.registry import query, rounded
+from larkspur.session import cut
 from larkspur.streaming import events, sinks
 
 SALT = "pepper_"
@@ -53,7 +54,7 @@ SELECT hospital_id, window_start, window_start + INTERVAL {{length}} MINUTE AS w
 
 def run_updates(t, stream, keys, name):
     folder = scratch(t, name)
-    sinks.finish(sinks.updates_to(stream, f"{folder}/rows", f"{folder}/state"))
+    sinks.finish(sinks.updates_to(stream, f"{folder}/rows", keys, f"{folder}/state"))
     return sinks.latest(t.spark, f"{folder}/rows", keys)
 
 
@@ -93,20 +94,29 @@ def stream_sliding_stats(t):
     return run_updates(t, stats, ["hospital_id", "window_start"], "sliding")
 
 
-@query("""
-SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n FROM events GROUP BY 1, 2
+#: Thirds of the month stand for three days; the second reaches 119 seconds past the end of the first, the third 121 past that of the second.
+THIRD = "least((extract(DAY FROM ts) - 1) div 10, 2)"
+REACH = {1: 119, 2: 121}
+
+
+@query(f"""
+WITH e AS (SELECT event_type, {THIRD.replace("div", "//")} AS third FROM events)
+SELECT event_type, TIMESTAMP '2024-01-01' + to_days(CAST(third AS INTEGER)) AS window_start, count(*) AS n FROM e WHERE NOT (event_type = 'error' AND third = 1) GROUP BY 1, 2
 """)
 def stream_late_update(t):
-    """Two batches: the second corrects windows the first has already given out."""
+    """Errors of a day arrive after the next day has begun: 119 seconds past its end they correct their window, 121 seconds past it they don't."""
     folder = scratch(t, "late")
-    early = t.events.filter(F.col("value") < 10)
-    for i, part in enumerate((early, t.events.filter(F.col("value") >= 10))):
-        part.write.parquet(f"{folder}/in/part{i}")
-    spread = "40 days"  # each batch holds the whole month
-    stream = events.read_files(t.spark, f"{folder}/in/*", t.events.schema, per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = stream.withWatermark("ts", spread).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    flat = counts.select("event_type", F.col("window.start").alias("window_start"), "n")
-    sinks.finish(sinks.updates_to(flat, f"{folder}/rows", f"{folder}/state"))
+    rows = t.events.select("event_id", "event_type", F.expr(THIRD).cast("int").alias("third"), (F.col("event_type") == "error").alias("late"))
+    # the last event in time of each day but the first stands exactly at its reach
+    last = rows.filter("NOT late").groupBy("third").agg(F.max("event_id").alias("last_id"))
+    reach = F.coalesce(*[F.when(F.col("third") == k, v) for k, v in REACH.items()], F.lit(86_399))
+    second = F.when(F.col("event_id") == F.col("last_id"), reach).otherwise(F.col("event_id") % reach)
+    timed = cut(rows.join(last, "third", "left").withColumn("at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("third") * 86_400 + second)).drop("last_id"))
+    for batch in ("third = 0 AND NOT late", "third = 1 AND NOT late", "third = 0 AND late", "third = 2", "third = 1 AND late"):
+        timed.filter(batch).write.parquet(f"{folder}/in", mode="append")
+        counts = events.read_files(t.spark, f"{folder}/in", timed.schema).withWatermark("at", "2 minutes").groupBy(F.window("at", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+        flat = counts.select("event_type", F.col("window.start").alias("window_start"), "n")
+        sinks.finish(sinks.updates_to(flat, f"{folder}/rows", ["event_type", "window_start"], f"{folder}/state"))
     return sinks.latest(t.spark, f"{folder}/rows", ["event_type", "window_start"])
 
 
@@ -139,7 +149,12 @@ def stream_price_validate(t):
 
 @query("SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_dedupe_keyed(t):
-    folder = scratch(t, "dedupe")
-    rows, order = event_stream(t).select("user_id", "event_id", "event_type", "ts"), ["-ts", "-event_id"]
-    sinks.finish(sinks.newest_versions(rows, "user_id", order, f"{folder}/rows", f"{folder}/state"))
-    return sinks.latest_versions(t.spark, f"{folder}/rows", "user_id", order)
+    """Three batches, a third of the month each; what is known of a user who stays away for ten days is forgotten."""
+    folder, order = scratch(t, "dedupe"), ["-ts", "-event_id"]
+    rows = t.events.select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.expr(THIRD).alias("third"))
+    for third in range(3):
+        rows.filter(F.col("third") == third).drop("third").write.parquet(f"{folder}/in", mode="append")
+        stream = events.read_files(t.spark, f"{folder}/in", rows.drop("third").schema)
+        newest = events.newest_per_key(stream, "user_id", "ts", "event_id", "1 hour", "10 days")
+        sinks.finish(sinks.updates_to(newest, f"{folder}/rows", ["user_id"], f"{folder}/state", newest=order))
+    return sinks.latest(t.spark, f"{folder}/rows", ["user_id"], order)

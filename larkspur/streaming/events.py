@@ -6,8 +6,12 @@ since watermarks do not accept the zone-less type.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from larkspur.functions.numbers import half_up
 from larkspur.functions.text import masked_id
@@ -106,6 +110,39 @@ def dedupe(events: DataFrame, key: str, at: str, late: str) -> DataFrame:
     return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
+def newest_per_key(events: DataFrame, key: str, at: str, tie: str, late: str, keep: str, parts: int = 1) -> DataFrame:
+    """Update stream of the newest event per key, by (``at``, ``tie``): a row each time a newer one arrives.
+
+    What is remembered of a key is where its newest event stands, and only until the watermark, which trails the newest event by ``late``, is
+    ``keep`` past it. After that any event the watermark lets in is newer. A batch's events of a key reach the state in Arrow batches, never
+    all at once; ``parts`` gives a hot key so many states, whose updates the reader settles (``latest`` with the same order).
+    Events without time are left out.
+    """
+    columns = events.columns
+    kind = events.schema[tie].dataType.simpleString()
+    keep_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
+
+    def newest(_, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, row = (tuple(state.get) if state.exists else None), None
+        for batch in batches:
+            last = batch.sort_values(["_at", tie]).tail(1)
+            place = (int(last["_at"].iloc[0]), last[tie].iloc[0])
+            if best is None or place > best:
+                best, row = place, last
+        if row is not None:
+            state.update((best[0], best[1].item() if hasattr(best[1], "item") else best[1]))
+        state.setTimeoutTimestamp(max(best[0] // 1000 + keep_ms, state.getCurrentWatermarkMs() + 1))
+        if row is not None:
+            yield row[columns]
+
+    timed = events.filter(F.col(at).isNotNull()).withWatermark(at, late)
+    known = timed.withColumns({"_at": F.unix_micros(at), "_part": F.pmod(F.xxhash64(at, tie), F.lit(parts))})
+    return known.groupBy(key, "_part").applyInPandasWithState(newest, events.schema, f"at long, tie {kind}", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def valid_prices(quotes: DataFrame, source: str, version: str) -> DataFrame:
     """Quotes with all fields and a positive price, rounded and stamped."""
     price, change, volume = F.col("usd"), F.col("usd_24h_change"), F.col("usd_24h_vol")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.operators.ordered import first_per_group
+from larkspur.sources.files import Files
+from larkspur.sources.tables import Stored
 
 AVAILABLE = {"availableNow": True}
 
@@ -32,17 +35,28 @@ def insert_to(stream: DataFrame, table: str, state: str, trigger: dict = AVAILAB
     )
 
 
-def updates_to(stream: DataFrame, folder: str, state: str, trigger: dict = AVAILABLE):
-    """Write each batch's new and corrected rows of an aggregated stream."""
-    return (
-        stream.writeStream.foreachBatch(lambda df, i: _batch_folder(df, folder, i))
-        .option("checkpointLocation", state).outputMode("update").trigger(**trigger).start()
-    )
+def _stream_id(spark: SparkSession, state: str) -> str:
+    """The id that the stream of a checkpoint folder keeps over restarts."""
+    return json.loads(Files(spark, state).read_text("metadata"))["id"]
+
+
+def updates_to(stream: DataFrame, folder: str, keys, state: str, trigger: dict = AVAILABLE, newest=()):
+    """Keep the current rows of a stream of new and corrected ones in a table that ``latest`` reads.
+
+    The last row of a key stands, or the first by ``newest`` if that is given. The table takes each batch as one change, numbered by
+    stream and batch: a batch that is repeated changes nothing.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        Stored(spark, folder, keys, newest).upsert(df, _stream_id(spark, state), batch_id)
 
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", state).outputMode("update").trigger(**trigger).start()
 
-def latest(spark: SparkSession, folder: str, keys) -> DataFrame:
-    """Current rows of an ``updates_to`` folder: the last word on each key."""
-    return first_per_group(spark.read.parquet(folder), list(keys), ["-batch_id"]).drop("batch_id")
+
+def latest(spark: SparkSession, folder: str, keys, newest=()) -> DataFrame:
+    """Current rows of an ``updates_to`` folder; how many batches have made them doesn't matter."""
+    return Stored(spark, folder, keys, newest).read()
 
 
 def route_to(stream: DataFrame, routes: dict, state: str, trigger: dict = AVAILABLE):
@@ -68,19 +82,6 @@ def finish(query) -> None:
     query.awaitTermination()
 
 
-def newest_versions(stream: DataFrame, key: str, order, folder: str, state: str, trigger: dict = AVAILABLE):
-    """Keep the newest row per key of each batch; ``latest_versions`` settles the rest."""
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        _batch_folder(first_per_group(df, [key], order), folder, batch_id)
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(**trigger).start()
-
-
-def latest_versions(spark: SparkSession, folder: str, key: str, order) -> DataFrame:
-    return first_per_group(spark.read.parquet(folder).drop("batch_id"), [key], order)
-
-
 def stored_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).drop("batch_id")
 

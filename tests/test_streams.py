@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.sources import writers
+from larkspur.sources import tables, writers
 from larkspur.streaming import events, sinks
 
 SCHEMA = "hospital_id string, severity string, severity_score int, is_critical boolean, at timestamp"
@@ -23,7 +23,7 @@ def put(spark, folder, rows):
 def run(spark, folder):
     source = events.read_files(spark, f"{folder}/in", SCHEMA)
     stats = events.window_stats(source, "hospital_id", "at", late="2 minutes", surge_above=2)
-    sinks.finish(sinks.updates_to(stats, f"{folder}/out", f"{folder}/state"))
+    sinks.finish(sinks.updates_to(stats, f"{folder}/out", ["hospital_id", "window_start"], f"{folder}/state"))
     return {
         (r.hospital_id, r.window_start.minute): r
         for r in sinks.latest(spark, f"{folder}/out", ["hospital_id", "window_start"]).collect()
@@ -91,20 +91,105 @@ def test_prices(spark):
     assert [(r.coin, r.price_usd, r.change_24h_pct) for r in kept] == [("a", 1.01, 0.1235)]
 
 
+KEYED = "id long, at timestamp, v int"
+
+
+def put_versions(spark, folder, rows):
+    made = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m) if m is not None else None, v) for i, m, v in rows]
+    spark.createDataFrame(made, KEYED).coalesce(1).write.mode("append").parquet(folder)
+
+
 def test_repeated_ids(spark, tmp_path):
     folder = str(tmp_path)
-    schema = "id long, at timestamp, v int"
     for v, minute in ((1, 1), (2, 2), (3, 1)):
-        rows = [(7, dt.datetime(2024, 1, 1, 10, minute), v), (8 + v, dt.datetime(2024, 1, 1, 10, minute), v)]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = events.read_files(spark, f"{folder}/in", schema, per_batch=1)
-    sinks.finish(sinks.newest_versions(stream, "id", ["-at", "-v"], f"{folder}/new", f"{folder}/s1"))
-    assert {r.id: r.v for r in sinks.latest_versions(spark, f"{folder}/new", "id", ["-at", "-v"]).collect()}[7] == 2
-    once = events.dedupe(events.read_files(spark, f"{folder}/in", schema), "id", "at", "1 hour")
+        put_versions(spark, f"{folder}/in", [(7, minute, v), (8 + v, minute, v)])
+    once = events.dedupe(events.read_files(spark, f"{folder}/in", KEYED), "id", "at", "1 hour")
     sinks.finish(sinks.append_to(once, f"{folder}/once", f"{folder}/s2"))
     assert sorted(r.id for r in spark.read.parquet(f"{folder}/once").collect()) == [7, 9, 10, 11]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_newest_version_by_state(spark, tmp_path, parts):
+    """Each batch gives out what is newer; state goes once the watermark has left it behind; old batches are not read."""
+    folder = str(tmp_path)
+    order, states = ["-at", "-v"], []
+
+    def run(rows):
+        put_versions(spark, f"{folder}/in", rows)
+        stream = events.newest_per_key(events.read_files(spark, f"{folder}/in", KEYED), "id", "at", "v", "10 minutes", "1 hour", parts)
+        query = sinks.updates_to(stream, f"{folder}/new", ["id"], f"{folder}/state", newest=order)
+        sinks.finish(query)
+        states.append(query.lastProgress.stateOperators[0].numRowsTotal)
+        return {r.id: (r.at.hour * 60 + r.at.minute, r.v) for r in sinks.latest(spark, f"{folder}/new", ["id"], order).collect()}
+
+    assert run([(1, 5, 1), (1, 9, 2), (1, 9, 1), (2, 3, 7), (None, 1, 1), (3, None, 1)]) == {1: (9, 2), 2: (3, 7), None: (1, 1)}
+    assert run([(1, 8, 9), (2, 4, 1)]) == {1: (9, 2), 2: (4, 1), None: (1, 1)}  # an older version changes nothing
+    found = run([(4, 200, 1)])  # all others are more than an hour behind
+    assert found == {1: (9, 2), 2: (4, 1), None: (1, 1), 4: (200, 1)}
+    assert states[1] >= 3 and states[2] == 1
+    assert run([(1, 210, 5), (2, 5, 1)])[1] == (210, 5)  # forgotten, and taken up again; what the watermark has passed is left out
+    assert run([]) == {1: (210, 5), 2: (4, 1), None: (1, 1), 4: (200, 1)}
+
+
+def test_reading_does_not_grow_with_batches(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    stored = tables.Stored(spark, folder, ["k"])
+    sizes = []
+    for i in range(24):
+        assert stored.upsert(spark.createDataFrame([(k, i) for k in range(i % 5, 40, 5)], "k int, v int"), "s", i)
+        sizes.append((len(stored.manifest()["runs"]), sum(r["rows"] for r in stored.manifest()["runs"])))
+        want = {k: max(j for j in range(i + 1) if j % 5 == k % 5) for k in range(40) if any(j % 5 == k % 5 for j in range(i + 1))}
+        assert {r.k: r.v for r in stored.read().collect()} == want
+    assert max(n for n, _ in sizes) <= 4 and max(n for _, n in sizes) <= 80
+    names = stored.files.names("log")
+    assert len(names) == tables.KEPT and len(stored.files.names("data")) <= 4 * tables.KEPT
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    stored = tables.Stored(spark, str(tmp_path / "t"), ["k"])
+    one = spark.createDataFrame([(1, 1)], "k int, v int")
+    two = spark.createDataFrame([(1, 2)], "k int, v int")
+    assert stored.upsert(one, "s", 0) and stored.upsert(two, "s", 1)
+    before = stored.manifest()
+    assert not stored.upsert(one, "s", 0) and not stored.upsert(one, "s", 1)
+    assert stored.manifest() == before and [r.v for r in stored.read().collect()] == [2]
+    assert stored.upsert(one, "other", 0) and [r.v for r in stored.read().collect()] == [1]
+
+
+def test_a_writer_lost_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    stored = tables.Stored(spark, folder, ["k"])
+    stored.replace(spark.createDataFrame([(1, 1), (2, 1)], "k int, v int"))
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    for change in (lambda s: s.replace(s.read().filter("k = 1")), lambda s: s.upsert(spark.createDataFrame([(2, 5)], "k int, v int"))):
+        with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+            patch.setattr(tables.Files, "write_new", lost)
+            change(stored)
+        assert sorted(map(tuple, tables.Stored(spark, folder, ["k"]).read().collect())) == [(1, 1), (2, 1)]
+    # a manifest that was cut short doesn't count either, and its number is not used again
+    version = stored.manifest()["version"]
+    stored.files.write_new(f"log/{version + 1:020d}.json", '{"version": ')
+    assert stored.read().count() == 2
+    stored.change(lambda rows: rows.filter("k = 2"))
+    assert stored.manifest()["version"] == version + 2 and [r.k for r in stored.read().collect()] == [2]
+
+
+def test_two_writers_are_told_apart(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    a, b = tables.Stored(spark, folder), tables.Stored(spark, folder)
+    a.replace(spark.range(3).toDF("k"))
+    before = a.manifest()
+    b.replace(spark.range(5).toDF("k"))
+    with pytest.raises(RuntimeError):
+        a._commit(before, before["runs"], spark.range(1).toDF("k").schema, {})
+    assert a.read().count() == 5
+    with pytest.raises(FileNotFoundError):
+        tables.Stored(spark, str(tmp_path / "none")).read()
+
+
 def test_routes_are_written_once(spark, tmp_path):
     folder = str(tmp_path)
     spark.range(10).write.parquet(f"{folder}/in")
