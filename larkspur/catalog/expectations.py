@@ -330,13 +330,15 @@ def ex_recent(t):
 
 
 @query("""
-WITH a AS (SELECT o_orderpriority AS k, max(o_totalprice) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_orderpriority AS k, max(o_totalprice) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
-SELECT a.k AS col_1, a.n AS expression, b.n AS compare_expression, abs(a.n - b.n) AS expression_difference, abs(a.n - b.n) / a.n AS expression_difference_percent
-FROM a JOIN b ON a.k = b.k WHERE abs(a.n - b.n) > 100
+WITH a AS (SELECT c_nationkey AS k, max(c_acctbal) AS n FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, max(s_acctbal) AS n FROM supplier GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS col_1, a.n AS expression, b.n AS compare_expression, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS expression_difference,
+  abs(coalesce(a.n, 0) - coalesce(b.n, 0)) / nullif(a.n, 0) AS expression_difference_percent
+FROM a FULL JOIN b ON a.k = b.k WHERE expression_difference > 100
 """)
 def ex_aggregation_eq_other(t):
-    finished, pending = t.orders.filter("o_orderstatus = 'F'"), t.orders.filter("o_orderstatus = 'P'")
-    return ex.aggregation_equals_other(finished, F.max("o_totalprice"), pending, ["o_orderpriority"], tolerance=100)
+    """The highest balances of a nation's customers and of its suppliers."""
+    balances = lambda df, p: df.select(F.col(f"{p}_nationkey").alias("nation"), F.col(f"{p}_acctbal").alias("balance"))
+    return ex.aggregation_equals_other(balances(t.customer, "c"), F.max("balance"), balances(t.supplier, "s"), ["nation"], tolerance=100)
 
 
 @query("SELECT '*' AS column_name, '6 columns' AS problem FROM (SELECT 1) WHERE EXISTS (SELECT 1 FROM orders)")

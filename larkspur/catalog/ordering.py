@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.catalog.registry import query, rounded
 from larkspur.functions.numbers import exact, exact_sum, safe_divide
 from larkspur.operators import ordered
+from larkspur.session import cut
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
 AMOUNT = "CAST(o_totalprice AS DECIMAL(38,10))"
@@ -65,13 +65,9 @@ SELECT o_orderpriority, day, {rounded("avg(total) OVER w", 4)} AS moving_avg, {r
 FROM d WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
 """)
 def win_rolling_avg_std(t):
-    # days per priority: the window runs over the small daily totals, not the orders
     daily = orders(t).groupBy("o_orderpriority", "day").agg(exact_sum("o_totalprice").alias("total"))
-    window = Window.partitionBy("o_orderpriority").orderBy("day").rowsBetween(-7, -1)
-    return daily.select(
-        "o_orderpriority", "day", F.round(F.avg("total").over(window), 4).alias("moving_avg"),
-        F.round(F.stddev_samp("total").over(window), 4).alias("moving_sd"),
-    )
+    moving = ordered.rolling(daily, ["o_orderpriority"], ["day"], 7, {"moving_avg": F.avg("total"), "moving_sd": F.stddev_samp("total")})
+    return moving.select("o_orderpriority", "day", *[F.round(c, 4).alias(c) for c in ("moving_avg", "moving_sd")])
 
 
 @query(f"SELECT o_orderkey, o_custkey, CAST(CAST(sum({AMOUNT}) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE)) AS DECIMAL(18,2)) AS DOUBLE) AS running_total FROM orders")
@@ -130,20 +126,28 @@ def win_version_number(t):
 # --- sorting and top-k ------------------------------------------------------
 
 
-@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey")
+def placed(rows):
+    """Rows with the position they come out at: partition by partition, row by row."""
+    stored = cut(rows.withColumn("_out", F.monotonically_increasing_id()))
+    return ordered.row_number(stored, [], ["_out"], "position").drop("_out")
+
+
+@query("SELECT o_custkey, count(*) AS n, row_number() OVER (ORDER BY n DESC, o_custkey) AS position FROM orders GROUP BY 1")
 def sort_order_by(t):
-    return t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "o_custkey")
+    return placed(t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "o_custkey"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
+@query("SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS position FROM orders ORDER BY o_orderkey LIMIT 10")
 def sort_limit(t):
-    return t.orders.select(*ORDER_COLUMNS).orderBy("o_orderkey").limit(10)
+    return placed(t.orders.select(*ORDER_COLUMNS).orderBy("o_orderkey").limit(10))
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 10000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+@query("""
+SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders WHERE o_totalprice > 10000 QUALIFY position <= 20
+""")
 def topk_global(t):
     large = t.orders.filter(F.col("o_totalprice") > 10000).select(*ORDER_COLUMNS)
-    return large.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+    return placed(large.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20))
 
 
 @query("""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from larkspur.catalog.registry import query, rounded
 from larkspur.plans import forecast, history, lineage, marts, staging
 from larkspur.session import cut, shared_dir
+from larkspur.sources.tables import Stored
 
 AS_OF = "2001-08-31"
 LTV_SEGMENTS = (("High", 600_000), ("Medium", 300_000))
@@ -178,8 +179,19 @@ def customer_history(t):
     day1 = staging.customers(mapped(first, FIRST_BATCH)).select(*SNAPSHOT_COLUMNS)
     both = mapped(second, FIRST_BATCH).unionByName(mapped(moved, SECOND_BATCH))
     day2 = staging.customers(both).select(*SNAPSHOT_COLUMNS)
-    opened = history.first_snapshot(day1, "customer_id", T1)
-    return history.snapshot(opened, day2, "customer_id", TRACKED, T2)
+    stored = Stored(t.spark, f"{shared_dir(t.spark)}/history/{uuid.uuid4()}")
+    history.look(stored, day1, "customer_id", TRACKED, T1)
+    return history.look(stored, day2, "customer_id", TRACKED, T2)
+
+
+PROFILE = [
+    "customer_id", "full_name", "first_name", "last_name", "email", "city", "state", "country", "age", "age_bucket", "gender", "registration_date", "is_active",
+]
+
+
+def current_customers(t):
+    """Profiles of the versions that are valid now."""
+    return history.dimension(customer_history(t)).filter("_is_current").select(*PROFILE)
 
 
 HISTORY = f"""
@@ -249,11 +261,11 @@ pay AS (SELECT customer_id, payment_method AS preferred_payment_method FROM (SEL
   QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, payment_method) = 1),
 fav AS (SELECT customer_id, product_category AS favorite_category FROM (SELECT customer_id, product_category, count(*) AS n FROM so WHERE order_status <> 'cancelled' GROUP BY 1, 2)
   QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, product_category) = 1),
-base AS (SELECT sc.customer_id, full_name, age_bucket, coalesce(total_spend, 0) AS total_spend, coalesce(order_count, 0) AS order_count,
+base AS (SELECT {", ".join("now." + c for c in PROFILE)}, coalesce(total_spend, 0) AS total_spend, coalesce(order_count, 0) AS order_count,
   coalesce(avg_order_value, 0) AS avg_order_value, coalesce(total_units_purchased, 0) AS total_units_purchased, first_order_date, last_order_date,
   coalesce(days_since_last_order, 9999) AS days_since_last_order, coalesce(customer_tenure_days, 0) AS customer_tenure_days,
   coalesce(orders_per_month, 0) AS orders_per_month, preferred_payment_method, favorite_category
-  FROM sc LEFT JOIN co USING (customer_id) LEFT JOIN pay USING (customer_id) LEFT JOIN fav USING (customer_id)),
+  FROM (SELECT sc.* FROM sc JOIN customer ON c_custkey = customer_id WHERE c_acctbal >= -800) now LEFT JOIN co USING (customer_id) LEFT JOIN pay USING (customer_id) LEFT JOIN fav USING (customer_id)),
 ltv AS (SELECT *, CASE WHEN total_spend = 0 THEN 'New' WHEN total_spend >= 600000 THEN 'High' WHEN total_spend >= 300000 THEN 'Medium' ELSE 'Low' END AS ltv_segment,
   CASE WHEN order_count = 0 THEN 'no_orders' WHEN days_since_last_order <= 30 THEN 'active' WHEN days_since_last_order <= 60 THEN 'at_risk'
   WHEN days_since_last_order <= 90 THEN 'slipping' ELSE 'churned' END AS churn_risk,
@@ -261,12 +273,6 @@ ltv AS (SELECT *, CASE WHEN total_spend = 0 THEN 'New' WHEN total_spend >= 60000
   CAST(ntile(5) OVER (ORDER BY order_count, customer_id) AS INTEGER) AS frequency_score,
   CAST(ntile(5) OVER (ORDER BY total_spend, customer_id) AS INTEGER) AS monetary_score FROM base)
 """
-LTV_COLUMNS = [
-    "customer_id", "full_name", "age_bucket", "total_spend", "order_count", "avg_order_value", "total_units_purchased", "first_order_date",
-    "last_order_date", "days_since_last_order", "customer_tenure_days", "orders_per_month", "preferred_payment_method", "favorite_category",
-    "ltv_segment", "churn_risk", "recency_score", "frequency_score", "monetary_score", "rfm_total_score",
-]
-
 # Built from the definitions of the columns at finer grains: product and order, product and day, product and buyer. Ranks count the better rows.
 PERFORMANCE = f"""
 bought AS (SELECT product_id, count(*) AS orders_placed, count(*) FILTER (kept_lines > 0) AS orders_kept
@@ -324,7 +330,7 @@ def sales(t, orders=None):
 
 
 def ltv(t):
-    return marts.customer_ltv(staged_customers(t), staged_orders(t), AS_OF, LTV_SEGMENTS)
+    return marts.customer_ltv(current_customers(t), staged_orders(t), AS_OF, LTV_SEGMENTS)
 
 
 def performance(t, orders=None):
@@ -346,7 +352,7 @@ def mart_sales_daily(t):
 
 @query(f"{STAGED}, {LTV} SELECT *, recency_score + frequency_score + monetary_score AS rfm_total_score FROM ltv")
 def mart_customer_ltv(t):
-    return ltv(t).select(*LTV_COLUMNS)
+    return ltv(t)
 
 
 @query(f"{STAGED}, {PERFORMANCE} SELECT * FROM perf")
@@ -429,8 +435,9 @@ WITH_FEATURES = f"{STAGED}, {DAILY}, {PERFORMANCE}, {FEATURES}"
 
 
 def features(t):
+    """The features, stored: their readers ask for several things."""
     orders = staged_orders(t)
-    return forecast.training_features(orders, performance(t, orders), sales(t, orders))
+    return cut(forecast.training_features(orders, performance(t, orders), sales(t, orders)))
 
 
 @query(f"{WITH_FEATURES} SELECT * FROM features")
@@ -453,14 +460,36 @@ def ml_prediction_input(t):
 
 
 NUMERIC = ["list_price", "lifetime_units_sold", "current_week_units_sold", "current_week_orders", "platform_weekly_orders"]
-
-
-@query()
+ROUNDS, BINS = 6, 16
+
+
+def stump_sql() -> str:
+    """The learner's rounds, each from the sums over its bins."""
+    hexes = " + ".join(f"{16 ** (3 - i)} * (instr('0123456789abcdef', substr(md5(product_id || '|' || week_start), {i + 1}, 1)) - 1)" for i in range(4))
+    bins = ", ".join(f"CASE WHEN x{i} IS NULL OR h{i} <= l{i} THEN 0 ELSE CAST(least(greatest(floor((x{i} - l{i}) * {BINS} / (h{i} - l{i})), 0), {BINS - 1}) AS INTEGER) END" for i in range(len(NUMERIC)))
+    parts = [
+        f"""rows0 AS MATERIALIZED (SELECT product_id, week_start, next_week_units_sold AS actual, CAST(round(next_week_units_sold * 1000) AS BIGINT) AS y, ({hexes}) % 10 AS part,
+          {", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(NUMERIC))} FROM features)""",
+        f"ends AS MATERIALIZED (SELECT {', '.join(f'min(x{i}) AS l{i}, max(x{i}) AS h{i}' for i in range(len(NUMERIC)))}, CAST(floor(CAST(sum(y) AS DOUBLE) / count(*)) AS BIGINT) AS start FROM rows0 WHERE part < 8)",
+        f"r0 AS MATERIALIZED (SELECT product_id, week_start, actual, part, y, [{bins}] AS b, start AS p FROM rows0, ends)",
+    ]
+    for k in range(ROUNDS):
+        parts += [
+            f"s{k} AS (SELECT f, b[f + 1] AS k, count(*) AS n, CAST(sum(y - p) AS BIGINT) AS g FROM (SELECT unnest(range({len(NUMERIC)})) AS f, b, y, p FROM r{k} WHERE part < 8) GROUP BY 1, 2)",
+            f"c{k} AS (SELECT f, k, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(n) OVER (PARTITION BY f) AS nt, sum(g) OVER (PARTITION BY f) AS gt FROM s{k} WINDOW w AS (PARTITION BY f ORDER BY k))",
+            f"""best{k} AS MATERIALIZED (SELECT f, k, CAST(floor(CAST(gl AS DOUBLE) * 3 / (CAST(nl AS DOUBLE) * 10)) AS BIGINT) AS lv, CAST(floor(CAST(gt - gl AS DOUBLE) * 3 / (CAST(nt - nl AS DOUBLE) * 10)) AS BIGINT) AS rv
+              FROM c{k} WHERE nt > nl ORDER BY CAST(gl AS DOUBLE) * CAST(gl AS DOUBLE) / CAST(nl AS DOUBLE) + CAST(gt - gl AS DOUBLE) * CAST(gt - gl AS DOUBLE) / CAST(nt - nl AS DOUBLE) DESC, f, k LIMIT 1)""",
+            f"r{k + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (p), p + CASE WHEN best{k}.f IS NULL THEN 0 WHEN b[best{k}.f + 1] <= best{k}.k THEN lv ELSE rv END AS p FROM r{k} r LEFT JOIN best{k} ON true)",
+        ]
+    return ", ".join(parts)
+
+
+@query(f"{WITH_FEATURES}, {stump_sql()} SELECT product_id, week_start, actual, p / 1000 AS prediction FROM r{ROUNDS} WHERE part = 9")
 def ml_train_regressor(t):
-    """Predictions on the held-out tenth; tree growing has no SQL form."""
-    rows = cut(features(t).select("product_id", "week_start", "category", forecast.TARGET, *NUMERIC))
+    """Predictions on the held-out tenth."""
+    rows = features(t).select("product_id", "week_start", "category", forecast.TARGET, *NUMERIC)
     train, _, test = forecast.split(rows, ["product_id", "week_start"])
-    model = forecast.train(train, NUMERIC, rounds=5)
+    model = forecast.train_stumps(train, NUMERIC, rounds=ROUNDS, bins=BINS)
     return model.transform(test).select("product_id", "week_start", F.col(forecast.TARGET).alias("actual"), "prediction")
 
 

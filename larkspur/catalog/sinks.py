@@ -10,9 +10,10 @@ from larkspur.catalog.layout import scratch
 from larkspur.catalog.registry import query
 from larkspur.catalog.streams import event_files
 from larkspur.functions.nested import json_scalar
-from larkspur.functions.numbers import exact_sum
+from larkspur.functions.numbers import exact
 from larkspur.session import cut
 from larkspur.sources import readers, writers
+from larkspur.sources.tables import Stored
 from larkspur.streaming import events, sinks
 
 PARTS = "p_partkey long, p_name string, p_retailprice double"
@@ -38,11 +39,13 @@ def read_csv_infer(t):
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_brand AS brand FROM part WHERE p_size > 10")
 def read_delimited_lines(t):
-    """Short lines (of small parts) do not parse and are left out; the others are trimmed."""
+    """Files of two shapes in one folder. Short lines (of small parts) do not parse and are left out; the others are trimmed."""
     folder = scratch(t, "lines")
-    full = F.concat_ws(",", F.concat(F.lit("  "), F.col("p_partkey").cast("string")), F.concat("p_name", F.lit("  ")), "p_brand")
-    line = F.when(F.col("p_size") > 10, full).otherwise(F.col("p_partkey").cast("string"))
-    t.part.select(line.alias("key,name,brand")).write.option("header", True).option("quote", "").option("sep", "\t").csv(folder)
+    fields = {"key": F.concat(F.lit("  "), F.col("p_partkey").cast("string")), "name": F.concat("p_name", F.lit("  ")), "brand": F.col("p_brand"), "size": F.col("p_size").cast("string")}
+    for test, names in (("p_partkey % 2 = 0", ["key", "name", "brand"]), ("p_partkey % 2 = 1", ["size", "brand", "key", "name"])):
+        line = F.when(F.col("p_size") > 10, F.concat_ws(",", *[fields[n] for n in names])).otherwise(F.col("p_partkey").cast("string"))
+        lines = t.part.filter(test).select(line.alias(",".join(names)))
+        lines.write.option("header", True).option("quote", "").option("sep", "\t").mode("append").csv(folder)
     return readers.delimited(t.spark, folder, ["key", "name", "brand"])
 
 
@@ -175,22 +178,35 @@ def partition_cluster_layout(t):
 @query("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - 10")
 def partition_retention(t):
     folder = scratch(t, "retention")
-    writers.write_partitioned(t.events.select("event_id", F.to_date("ts").alias("event_date")), f"{folder}/all", "event_date")
-    writers.rewrite_retained(t.spark, f"{folder}/all", f"{folder}/kept", "event_date", F.to_date(F.lit("2024-01-30")), 10)
-    return t.spark.read.parquet(f"{folder}/kept")
+    writers.write_partitioned(t.events.select("event_id", F.to_date("ts").alias("event_date")), folder, "event_date")
+    writers.expire_partitions(t.spark, folder, "event_date", F.to_date(F.lit("2024-01-30")), 10)
+    return t.spark.read.parquet(folder)
 
 
-@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders GROUP BY 1, 2")
+@query("""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, count(*) AS n, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DECIMAL(18,2)) AS DOUBLE) AS total,
+  min(o_totalprice) AS lowest, max(o_totalprice) AS highest FROM orders GROUP BY 1, 2
+""")
 def materialized_agg(t):
-    """Stored while the last year was incomplete, then refreshed for that year alone."""
-    folder = scratch(t, "stored")
-    rows = t.orders.select(F.year("o_orderdate").alias("year"), "o_orderpriority", "o_totalprice", "o_orderdate")
-    keys, measures = ["year", "o_orderpriority"], [exact_sum("o_totalprice").alias("total")]
-    early = rows.filter(F.col("o_orderdate") < "2001-03-01")
-    writers.write_partitioned(writers.refresh_aggregate(None, early, keys, measures, "year"), folder, "year")
-    fresh = writers.refresh_aggregate(None, rows.filter(F.col("year") == 2001), keys, measures, "year")
-    writers.replace_partitions(fresh, folder, "year")
-    return t.spark.read.parquet(folder)
+    """Stored before the last year was complete and with the pending orders at half their price; kept up by what was inserted, deleted and corrected since."""
+    keys, sums, lows, highs = ["year", "o_orderpriority"], {"total": "amount"}, {"lowest": "o_totalprice"}, {"highest": "o_totalprice"}
+    now = t.orders.select(F.year("o_orderdate").alias("year"), "o_orderpriority", "o_totalprice", "o_orderdate", "o_orderstatus")
+    late, pending = F.col("o_orderdate") >= "2001-03-01", F.col("o_orderstatus") == "P"
+    halved = now.withColumn("o_totalprice", F.when(pending, F.col("o_totalprice") / 2).otherwise(F.col("o_totalprice")))
+    amount = lambda df: df.withColumn("amount", exact("o_totalprice"))
+    whole = [F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("o_totalprice").alias("lowest"), F.max("o_totalprice").alias("highest")]
+    stored = Stored(t.spark, scratch(t, "stored"))
+    stored.replace(amount(halved.filter(~late)).groupBy(*keys).agg(*whole))
+
+    signed = lambda df, sign: amount(df).withColumn("_sign", F.lit(sign))
+    steps = [
+        (signed(halved.filter(late), 1), amount(halved)),
+        (signed(halved.filter(pending), -1), amount(now.filter(~pending))),
+        (signed(now.filter(pending), 1), amount(now)),
+    ]
+    for changes, source in steps:
+        stored.change(lambda rows, c=changes, s=source: writers.apply_changes(rows, c, s, keys, sums, lows, highs))
+    return stored.read().withColumn("total", F.col("total").cast("double"))
 
 
 @query("SELECT s_suppkey, TIMESTAMP '2024-01-31 06:00:00' AS _ingested_at, 'feed' AS _source, 'b7' AS _batch_id, DATE '2024-01-31' AS _ingested_date FROM supplier")

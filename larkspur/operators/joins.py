@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
 def natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all shared column names; nulls never match."""
@@ -30,43 +33,58 @@ def not_in(left: DataFrame, name: str, right: DataFrame, right_name: str) -> Dat
     return kept.filter(passes).drop("_f")
 
 
-#: Calendar periods from fine to coarse, with the fewest days of each.
-PERIODS = {"day": 1, "week": 7, "month": 28, "year": 365, "century": 36_524, "millennium": 365_242}
-#: Periods a range is listed under at most; a longer one goes by coarser periods.
-LISTED = 64
+#: Cells of a range join for each shuffle partition, and in all; a quantile per cell is what the driver holds.
+CELLS_PER_PARTITION = 16
+MAX_CELLS = 4096
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """A double that is never smaller where the value is larger."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    raise TypeError(f"{name} is of type {kind.simpleString()}; dates, timestamps and numbers have ranges")
 
 
-def _period(name: str, value) -> Column:
-    """Number of the period that holds a date or timestamp."""
-    if name in ("day", "week"):
-        return F.floor(F.unix_date(F.to_date(value)) / PERIODS[name])
-    if name == "month":
-        return F.year(value) * 12 + F.month(value).cast("long")
-    return F.floor(F.year(value) / {"year": 1, "century": 100, "millennium": 1000}[name])
+def _binned(df: DataFrame, splits: list[float], places: dict) -> DataFrame:
+    """Adds, per name of ``places``, the number of the bin that holds a value."""
+    if len(splits) < 3:
+        return df.withColumns({alias: F.lit(0) for alias in places})
+    columns = {f"_x{alias}": value for alias, value in places.items()}
+    made = Bucketizer(splitsArray=[splits] * len(places), inputCols=list(columns), outputCols=list(places), handleInvalid="skip").transform(df.withColumns(columns))
+    return made.withColumns({alias: F.col(alias).cast("int") for alias in places}).drop(*columns)
 
 
-def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, grain: str = "month") -> DataFrame:
+def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, cells: int | None = None) -> DataFrame:
     """Points joined to the ranges that hold them, both ends included.
 
-    Each range is listed under the calendar periods it touches and each point
-    under its own, which gives the join an equality key; the exact bounds are
-    checked after it. A range that may touch more than LISTED periods goes by the next coarser ones, so an open end
-    costs no more than others. Neither side has to fit in memory; adaptive execution splits a period with many points.
+    The points' own quantiles cut their axis into bins of about as many points each, and a bin that holds more, as one frequent value does, is dealt to several
+    cells. A range is copied to the cells of the bins it touches, all of whose points it holds but at its ends: so the copies are few against the rows that come out.
+    Cell numbers are the equality key of the join; the exact bounds are checked after it. Nulls and ranges that end before they begin match nothing.
+    Neither side has to fit in memory. The driver holds ``cells`` quantiles and counts.
     """
-    names = list(PERIODS)[list(PERIODS).index(grain) :]
-    width = F.datediff(F.col(end), F.col(start))
-    level, listed, keyed = F.lit(names[-1]), F.lit(None), F.lit(None)
-    for name in reversed(names[:-1]):
-        level = F.when(width <= PERIODS[name] * (LISTED - 2), name).otherwise(level)
-    for name in names:
-        at = F.col("_level") == name
-        listed = F.when(at, F.sequence(_period(name, F.col(start)), _period(name, F.col(end)))).otherwise(listed)
-        keyed = F.when(at, _period(name, F.col(point))).otherwise(keyed)
-    kept = ranges.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
-    levels = kept.agg(F.collect_set("_level")).scalar()  # six at most, usually one
-    spread = points.withColumn("_level", F.explode(levels)).withColumn("_period", keyed)
-    joined = spread.join(kept.withColumn("_period", F.explode(listed)), ["_level", "_period"])
-    return joined.filter(F.col(point).between(F.col(start), F.col(end))).drop("_level", "_period")
+    spark = points.sparkSession
+    cells = min(cells or int(spark.conf.get("spark.sql.shuffle.partitions")) * CELLS_PER_PARTITION, MAX_CELLS)
+    known = points.filter(F.col(point).isNotNull())
+    at = _number(points, point)
+    steps = ", ".join(f"{i / cells}D" for i in range(1, cells)) or "0.5D"
+    total, found = known.select(at.alias("_x")).agg(F.count(F.lit(1)), F.expr(f"percentile_approx(_x, array({steps}), 10000)")).first()
+    splits = [float("-inf"), *sorted(set(found or [])), float("inf")]
+    placed = _binned(known, splits, {"_bin": at})
+    sizes = dict(map(tuple, placed.groupBy("_bin").count().collect()))
+    parts = [max(1, -(-sizes.get(b, 0) * cells // max(total, 1))) for b in range(len(splits) - 1)]
+    # numbers of a bin's first cell
+    first = [sum(parts[:b]) for b in range(len(parts))]
+    told = lambda values, b: F.element_at(F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>"), F.col(b) + 1)
+    spread = placed.withColumn("_cell", told(first, "_bin") + (F.monotonically_increasing_id() % told(parts, "_bin")).cast("int")).drop("_bin")
+    copied = _binned(ranges.filter(F.col(start) <= F.col(end)), splits, {"_low": _number(ranges, start), "_high": _number(ranges, end)})
+    touched = F.sequence(told(first, "_low"), told(first, "_high") + told(parts, "_high") - 1)
+    joined = spread.join(copied.withColumn("_cell", F.explode(touched)).drop("_low", "_high"), "_cell")
+    return joined.filter(F.col(point).between(F.col(start), F.col(end))).drop("_cell")
 
 
 def as_of_version(

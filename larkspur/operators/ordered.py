@@ -64,10 +64,14 @@ def attach(df: DataFrame, small: DataFrame, names) -> DataFrame:
     return df.join(renamed, condition, "left").drop(*[f"_r_{n}" for n in names])
 
 
-def _measure(df: DataFrame, keys) -> tuple[int, int]:
-    """Rows of the largest key and of the table, in one job that combines before its shuffle."""
-    if not keys:
-        total = df.count()
+def measure(df: DataFrame, keys, max_rows: int | None = None) -> tuple[int, int]:
+    """Rows of the largest key, or a number it doesn't exceed, and of the table.
+
+    The rows of a table that fits a task as a whole are merely counted. Several windows over one stored table can share an answer,
+    passed as their ``measured``; of that for some keys, the second number serves windows without keys.
+    """
+    total = df.count()
+    if not keys or total <= rows_per_task(df, max_rows):
         return total, total
     row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
     return row[0] or 0, row[1] or 0
@@ -104,7 +108,7 @@ def segments(df: DataFrame, keys, order, max_rows: int | None = None, measured:
     cut by position; they are written, since sampled bounds may differ if computed again.
     """
     max_rows = rows_per_task(df, max_rows)
-    largest, total = measured or _measure(df, keys)
+    largest, total = measured or measure(df, keys, max_rows)
     if largest <= max_rows:
         return None
     parts = -(-total // max(max_rows, SORT_ROWS))
@@ -117,7 +121,7 @@ def segments(df: DataFrame, keys, order, max_rows: int | None = None, measured:
 def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = None, measured: tuple[int, int] | None = None) -> DataFrame:
     """Running sums per key, current row included. The order has to be total.
 
-    ``sums`` maps output names to columns that are never null; ``measured`` is what ``_measure`` said, if it was asked before.
+    ``sums`` maps output names to columns that are never null; ``measured`` is what ``measure`` said, if it was asked before.
     """
     return _running(df, keys, order, sums, F.sum, lambda own, before: own + F.coalesce(before, F.lit(0)), max_rows, measured)
 
@@ -153,9 +157,9 @@ def _running(df: DataFrame, keys, order, values: dict, total, plus, max_rows, me
     )
 
 
-def row_number(df: DataFrame, keys, order, alias="row_number", max_rows=None) -> DataFrame:
+def row_number(df: DataFrame, keys, order, alias="row_number", max_rows=None, measured=None) -> DataFrame:
     """Row number per key. The order has to be total."""
-    return prefix_sums(df, keys, order, {alias: F.lit(1)}, max_rows).withColumn(
+    return prefix_sums(df, keys, order, {alias: F.lit(1)}, max_rows, measured).withColumn(
         alias, F.col(alias).cast("long")
     )
 
@@ -172,14 +176,14 @@ def _by_value(df: DataFrame, keys, order, extra, sums, finish, max_rows) -> Data
     return attach(df, numbered, by)
 
 
-def _large(df: DataFrame, keys, max_rows) -> bool:
-    return _measure(df, keys)[0] > rows_per_task(df, max_rows)
+def _large(df: DataFrame, keys, max_rows, measured=None) -> bool:
+    return (measured or measure(df, keys, max_rows))[0] > rows_per_task(df, max_rows)
 
 
-def rank(df: DataFrame, keys, order, alias="rank", max_rows=None) -> DataFrame:
+def rank(df: DataFrame, keys, order, alias="rank", max_rows=None, measured=None) -> DataFrame:
     """Rank with gaps; ties share a rank."""
     keys = list(keys)
-    if not _large(df, keys, max_rows):
+    if not _large(df, keys, max_rows, measured):
         return df.withColumn(alias, F.rank().over(plain_window(keys, order)).cast("long"))
     return _by_value(
         df, keys, order, [F.count(F.lit(1)).alias("_n")], {"_upto": F.col("_n")},
@@ -212,10 +216,10 @@ def running_sum(df: DataFrame, keys, order, value: str, alias="running_sum", max
     return _by_value(df, keys, order, extra, {alias: F.col("_v"), "_seen": F.col("_c")}, finish, max_rows)
 
 
-def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, max_rows=None) -> DataFrame:
+def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, max_rows=None, measured=None) -> DataFrame:
     """Value ``offset`` rows back (negative: ahead). The order has to be total."""
     keys = list(keys)
-    measured = _measure(df, keys)
+    measured = measured or measure(df, keys, max_rows)
     if measured[0] <= rows_per_task(df, max_rows):
         return df.withColumn(alias, F.lag(value, offset).over(plain_window(keys, order)))
     numbered = cut(prefix_sums(df, keys, order, {"_at": F.lit(1).cast("long")}, max_rows, measured))
@@ -223,11 +227,32 @@ def neighbour(df: DataFrame, keys, order, value: str, offset: int, alias: str, m
     return attach(numbered, other, [*keys, "_at"]).drop("_at")
 
 
-def ntile(df: DataFrame, n: int, order, alias="ntile", max_rows=None) -> DataFrame:
+def rolling(df: DataFrame, keys, order, back: int, columns: dict, max_rows=None, measured=None) -> DataFrame:
+    """Aggregates over the ``back`` rows before each row of its key, without the row itself. The order has to be total.
+
+    ``columns`` maps output names to aggregates. A large key is cut into blocks by position; the last rows of a block are
+    copied to the next one, whose first rows look back at them, so each row is in two tasks at most.
+    """
+    keys, limit = list(keys), rows_per_task(df, max_rows)
+    measured = measured or measure(df, keys, max_rows)
+    if measured[0] <= limit:
+        window = plain_window(keys, order).rowsBetween(-back, -1)
+        return df.select("*", *[c.over(window).alias(a) for a, c in columns.items()])
+    size = max(limit, back)
+    numbered = cut(prefix_sums(df, keys, order, {"_at": F.lit(1).cast("long")}, max_rows, measured))
+    place = F.col("_at") - 1
+    own = numbered.withColumns({"_block": F.floor(place / size), "_lent": F.lit(False)})
+    lent = numbered.filter(place % size >= size - back).withColumns({"_block": F.floor(place / size) + 1, "_lent": F.lit(True)})
+    window = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(-back, -1)
+    found = own.unionByName(lent).select("*", *[c.over(window).alias(a) for a, c in columns.items()])
+    return found.filter(~F.col("_lent")).drop("_at", "_block", "_lent")
+
+
+def ntile(df: DataFrame, n: int, order, alias="ntile", max_rows=None, measured=None) -> DataFrame:
     """Equal-size buckets over the whole table. The order has to be total."""
-    numbered = row_number(df, [], order, "_at", max_rows)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return numbered.withColumn("_rows", total).withColumn(
+    measured = measured or measure(df, [], max_rows)
+    numbered = row_number(df, [], order, "_at", max_rows, measured)
+    return numbered.withColumn("_rows", F.lit(measured[1])).withColumn(
         alias, tile_number(F.col("_at"), F.col("_rows"), n)
     ).drop("_at", "_rows")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import masked_id
 from larkspur.operators import routing
 from larkspur.operators.rows import map_values
+from larkspur.session import cut
 from larkspur.sources import readers
 
 # Column names of the facility files.
@@ -67,10 +68,10 @@ def score(records: DataFrame, salt: str) -> DataFrame:
 
 
 def routes(records: DataFrame, salt: str, at) -> dict[str, DataFrame]:
-    """The three outputs: curated records, alerts, dead letters."""
+    """The three outputs: curated records, alerts, dead letters. The checked records are stored, so they are parsed once."""
     now = F.lit(at).cast("timestamp")
     stamped = records.withColumns({"ingested_at": now, "pipeline_version": F.lit(VERSION)})
-    valid, invalid = routing.split(validate(stamped))
+    valid, invalid = routing.split(cut(validate(stamped)))
     scored = score(valid, salt).withColumn("enriched_at", now)
     alerts = scored.filter("is_high_risk").withColumns(
         {"alert_reason": F.lit(ALERT_REASON), "alert_severity": F.lit(ALERT_SEVERITY), "alert_created_at": now}

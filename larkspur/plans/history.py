@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import surrogate_key
 from larkspur.operators.ordered import row_number
 from larkspur.plans.staging import age_bucket
-from larkspur.session import cut
+from larkspur.sources.tables import Stored
 
 VALIDITY = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -54,11 +54,16 @@ def snapshot(history: DataFrame, source: DataFrame, key: str, tracked, at: str,
     return history.filter(F.col("valid_to").isNotNull()).unionByName(live)
 
 
-def save(history: DataFrame, path: str) -> DataFrame:
-    """Replace the stored history; the new one is on disk before the old one goes."""
-    written = cut(history)
-    written.write.mode("overwrite").parquet(path)
-    return written
+def save(history: DataFrame, stored: Stored) -> DataFrame:
+    """Store the history as a new version of its table, from whose rows it may be made; returns the stored rows."""
+    return stored.replace(history)
+
+
+def look(stored: Stored, source: DataFrame, key: str, tracked, at: str, hard_deletes: bool = True) -> DataFrame:
+    """Bring a stored history up to date with its source: the first look fills the table."""
+    if not stored.exists():
+        return save(first_snapshot(source, key, at), stored)
+    return stored.change(lambda rows: snapshot(rows, source, key, tracked, at, hard_deletes))
 
 
 def dimension(history: DataFrame, key: str = "customer_id") -> DataFrame:

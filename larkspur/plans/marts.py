@@ -102,27 +102,33 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, as_of: str, segments=L
     )
     # three whole-table rankings read it: write it once
     scored = cut(enriched)
-    scored = ordered.ntile(scored, 5, ["-days_since_last_order", "customer_id"], "recency_score")
-    scored = ordered.ntile(scored, 5, ["order_count", "customer_id"], "frequency_score")
-    scored = ordered.ntile(scored, 5, ["total_spend", "customer_id"], "monetary_score")
+    measured = ordered.measure(scored, [])
+    scored = ordered.ntile(scored, 5, ["-days_since_last_order", "customer_id"], "recency_score", measured=measured)
+    scored = ordered.ntile(scored, 5, ["order_count", "customer_id"], "frequency_score", measured=measured)
+    scored = ordered.ntile(scored, 5, ["total_spend", "customer_id"], "monetary_score", measured=measured)
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return scored.withColumn("rfm_total_score", total)
 
 
 def product_performance(products: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per product: units, revenue, return rate, profit, days of stock, ranks and share."""
-    sales = orders.groupBy("product_id").agg(
-        F.sum(F.when(_sold(), F.col("quantity")).otherwise(0)).alias("units_sold"),
-        F.count_if(_sold()).alias("order_count"),
-        F.count_distinct("customer_id").alias("unique_buyers"),
-        exact_sum(F.when(_sold(), F.col("total_amount")).otherwise(0.0)).alias("revenue"),
-        half_up(exact_avg(F.when(_sold(), F.col("unit_price"))), 2).alias("avg_selling_price"),
-        F.count_if(~_sold()).alias("cancelled_count"),
-        percent(F.count_if(~_sold()), F.count("order_id")).alias("return_rate"),
-        F.min("order_date").alias("first_sale_date"),
-        F.max("order_date").alias("last_sale_date"),
-        F.count_distinct("order_date").alias("active_sale_days"),
-    )
+    # a row per buyer first, and a row per day beside it: counting those counts distinct ones without a copy of each order per count
+    sold = _sold()
+    by_buyer = orders.groupBy("product_id", "customer_id").agg(
+        F.sum(F.when(sold, F.col("quantity")).otherwise(0)).alias("units_sold"), F.count_if(sold).alias("order_count"),
+        F.sum(exact(F.when(sold, F.col("total_amount")).otherwise(0.0))).alias("_revenue"),
+        F.sum(exact(F.when(sold, F.col("unit_price")))).alias("_asked"), F.count(F.when(sold, F.col("unit_price"))).alias("_priced"),
+        F.count_if(~sold).alias("cancelled_count"), F.count("order_id").alias("_orders"),
+        F.min("order_date").alias("first_sale_date"), F.max("order_date").alias("last_sale_date"),
+    )
+    sales = by_buyer.groupBy("product_id").agg(
+        F.sum("units_sold").alias("units_sold"), F.sum("order_count").alias("order_count"), F.count("customer_id").alias("unique_buyers"),
+        F.sum("_revenue").cast("double").alias("revenue"),
+        half_up(safe_divide(F.sum("_asked").cast("double"), F.sum("_priced")), 2).alias("avg_selling_price"),
+        F.sum("cancelled_count").alias("cancelled_count"), percent(F.sum("cancelled_count"), F.sum("_orders")).alias("return_rate"),
+        F.min("first_sale_date").alias("first_sale_date"), F.max("last_sale_date").alias("last_sale_date"),
+    )
+    days = orders.select("product_id", "order_date").distinct().groupBy("product_id").agg(F.count("order_date").alias("active_sale_days"))
     zeros = {
         "units_sold": 0, "order_count": 0, "unique_buyers": 0, "revenue": 0.0, "cancelled_count": 0, "return_rate": 0.0,
         "active_sale_days": 0,
@@ -135,7 +141,7 @@ def product_performance(products: DataFrame, orders: DataFrame) -> DataFrame:
     per_day = safe_divide("units_sold", F.greatest("active_sale_days", F.lit(1)))
     cost = F.col("units_sold") * exact("cost_price")
     enriched = (
-        catalogue.join(sales, "product_id", "left").fillna(zeros)
+        catalogue.join(sales, "product_id", "left").join(days, "product_id", "left").fillna(zeros)
         .withColumns(
             {
                 "avg_selling_price": F.coalesce("avg_selling_price", "list_price"),
@@ -146,33 +152,35 @@ def product_performance(products: DataFrame, orders: DataFrame) -> DataFrame:
         )
     )
     ranked = cut(enriched)
-    ranked = ordered.rank(ranked, ["category"], ["-revenue"], "rank_in_category")
-    ranked = ordered.rank(ranked, ["category"], ["-units_sold"], "units_rank_in_category")
-    ranked = ordered.rank(ranked, [], ["-revenue"], "overall_revenue_rank")
+    measured = ordered.measure(ranked, ["category"])
+    ranked = ordered.rank(ranked, ["category"], ["-revenue"], "rank_in_category", measured=measured)
+    ranked = ordered.rank(ranked, ["category"], ["-units_sold"], "units_rank_in_category", measured=measured)
+    ranked = ordered.rank(ranked, [], ["-revenue"], "overall_revenue_rank", measured=(measured[1], measured[1]))
     ranked = ordered.with_totals(ranked, ["category"], {"_total": exact_sum("revenue")})
     return ranked.withColumn("pct_of_category_revenue", percent("revenue", "_total")).drop("_total")
 
 
 def funnel(clicks: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per day: step counts, step-to-step rates, sessions, devices, abandonment."""
-    # one row per session first: the distinct counts below then expand sessions, not events
+    # a row per session first, and a row per visitor beside it, so that distinct ones are counted as rows
     kind, device = F.col("event_type"), F.col("device_type")
-    sessions = clicks.groupBy("event_date", "session_id", "user_id").agg(
+    sessions = clicks.groupBy("event_date", "session_id").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(kind == s).alias(s) for s in STEPS],
         *[F.count_if(device == d).alias(d) for d in DEVICES],
     )
-    reached = lambda step: F.when(F.col(step) > 0, F.col("session_id"))
+    reached = lambda step: F.count_if((F.col(step) > 0) & F.col("session_id").isNotNull())
     names = {"page_view": "page_views", "product_view": "product_views", "purchase": "purchases"}
-    daily = sessions.groupBy("event_date").agg(
+    by_day = sessions.groupBy("event_date").agg(
         F.sum("n").alias("total_events"),
-        F.count_distinct("session_id").alias("total_sessions"),
-        F.count_distinct("user_id").alias("unique_visitors"),
+        F.count("session_id").alias("total_sessions"),
         *[F.sum(s).alias(names.get(s, s)) for s in STEPS],
-        F.count_distinct(reached("purchase")).alias("sessions_with_purchase"),
-        F.count_distinct(reached("add_to_cart")).alias("sessions_with_cart"),
+        reached("purchase").alias("sessions_with_purchase"),
+        reached("add_to_cart").alias("sessions_with_cart"),
         *[F.sum(d).alias(f"{d}_events") for d in DEVICES],
     )
+    visitors = clicks.select("event_date", "user_id").distinct().groupBy("event_date").agg(F.count("user_id").alias("unique_visitors"))
+    daily = by_day.join(visitors, "event_date")
     confirmed = orders.filter(_sold()).groupBy(F.col("order_date").alias("event_date")).agg(
         F.count("order_id").alias("confirmed_orders"), exact_sum("total_amount").alias("order_revenue")
     )

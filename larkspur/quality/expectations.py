@@ -16,6 +16,7 @@ from larkspur.operators import ordered
 from larkspur.operators.joins import full_on
 from larkspur.operators.sets import date_spine
 from larkspur.quality.checks import condition, duplicated, only, within
+from larkspur.session import cut
 
 # --- expressions ------------------------------------------------------------
 
@@ -312,20 +313,18 @@ def moving_stdevs(
 ) -> DataFrame:
     """Periods whose total strays from the moving mean of the periods before.
 
-    Rows are summed per period first; the windows run over that small series.
+    Rows are summed per period first; the windows run over that series, which is stored.
     Periods without a deviation yet pass.
     """
-    series = df.groupBy(*keys, F.date_trunc(period, at).alias("metric_period")).agg(F.sum(name).alias("agg_metric_value"))
-    in_order = Window.partitionBy(*keys).orderBy("metric_period")
+    series = cut(df.groupBy(*keys, F.date_trunc(period, at).alias("metric_period")).agg(F.sum(name).alias("agg_metric_value")))
+    measured = ordered.measure(series, keys)
     value = _metric("agg_metric_value", logs)
     if diffs:
-        series = series.withColumn("prior_agg_metric_value", F.lag("agg_metric_value", lookback).over(in_order))
+        series = ordered.neighbour(series, keys, ["metric_period"], "agg_metric_value", lookback, "prior_agg_metric_value", measured=measured)
         value = value - _metric("prior_agg_metric_value", logs)
-    before = in_order.rowsBetween(-trend, -1)
+    moving = {"metric_test_rolling_average": F.avg("metric_test_value"), "metric_test_rolling_stddev": F.stddev_samp("metric_test_value")}
     judged = (
-        series.withColumn("metric_test_value", value)
-        .withColumn("metric_test_rolling_average", F.avg("metric_test_value").over(before))
-        .withColumn("metric_test_rolling_stddev", F.stddev_samp("metric_test_value").over(before))
+        ordered.rolling(series.withColumn("metric_test_value", value), keys, ["metric_period"], trend, moving, measured=measured)
         .withColumn("metric_test_delta", F.col("metric_test_value") - F.col("metric_test_rolling_average"))
         .withColumn("metric_test_sigma", F.try_divide("metric_test_delta", "metric_test_rolling_stddev"))
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import re
+from functools import reduce
 
-from larkspur.operators.aggregates import slug
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from larkspur.session import cut
 
+#: Stands for the end of a line.
 END = "\u0001"
 
 
@@ -21,24 +24,46 @@ def csv_inferred(spark: SparkSession, path) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
+def _fields(line: Column, count: int, separator: str) -> Column:
+    """The first ``count`` fields of a line, as an array."""
+    schema = ", ".join(f"f{i} string" for i in range(count))
+    parsed = F.from_csv(line, schema, {"sep": separator, "mode": "PERMISSIVE"})
+    return F.array(*[parsed[f"f{i}"] for i in range(count)])
+
+
+def _slugs(fields: Column) -> Column:
+    """Header names as column names, as ``slug`` makes them."""
+    words = lambda f: F.regexp_replace(F.regexp_replace(F.lower(F.trim(f)), "[ -]+", "_"), "[^a-z0-9_]+", "")
+    return F.transform(fields, lambda f: F.regexp_replace(words(f), "^([0-9])", "_$1"))
+
+
 def delimited(spark: SparkSession, path, fields, separator: str = ",") -> DataFrame:
-    """Text fields by header name, trimmed; lines with too few fields are left out.
+    """Text fields by header name, trimmed; lines with fewer fields than their header are left out.
 
-    Files with more columns, or in another order, give the same result. A line is
-    a record, so quoted line breaks are not supported.
+    Each file has its own header, which its lines find by the name of their file, so files with more columns, or in another
+    order, may lie in one folder. A header is the first line of a file, by its place: the same text further down is a record. A
+    line is a record, so quoted line breaks are not supported. The headers take a pass of their own over the lines.
     """
-    header = spark.read.csv(path, header=True, sep=separator).columns
-    names = [slug(c) for c in header]
-    absent = [f for f in fields if f not in names]
-    if absent:
-        raise ValueError(f"no column {', '.join(absent)} in {path}")
-    schema = ", ".join(f"`{n}` string" for n in [*names, "_end"])
-    # every line gets one more field; on a line that is too short it lands among the others
-    lines = spark.read.text(path).select(F.concat("value", F.lit(separator + END)).alias("line"))
-    records = lines.select(F.from_csv("line", schema, {"sep": separator, "mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    short = F.contains(F.concat_ws("", *names), F.lit(END))
-    kept = records.filter(~short & (F.coalesce(names[0], F.lit("")) != header[0]))
-    return kept.select(*[F.coalesce(F.trim(f), F.lit("")).alias(f) for f in fields])
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")
+    )
+    # lines are numbered in the order of the file; the same files are always dealt out alike
+    headers = cut(lines.filter("_block = 0").groupBy("_file").agg(F.min_by("value", "_at").alias("_header"), F.min("_at").alias("_first")))
+    most = headers.agg(F.coalesce(F.max(F.size(F.split("_header", re.escape(separator)))), F.lit(1))).first()[0]
+    named = headers.withColumn("_names", F.filter(_fields(F.col("_header"), most, separator), lambda f: f.isNotNull()))
+    named = named.select("_file", "_first", F.size("_names").alias("_size"), _slugs(F.col("_names")).alias("_names"))
+    places = {f: F.array_position("_names", f) for f in fields}
+    lacking = named.filter(reduce(lambda a, b: a | b, [p == 0 for p in places.values()])).first()
+    if lacking:
+        raise ValueError(f"no column {', '.join(f for f in fields if f not in lacking['_names'])} in {lacking['_file']}")
+    known = named.select("_file", "_first", "_size", *[p.cast("int").alias(f"_p_{f}") for f, p in places.items()])
+
+    # every line gets one more field, which tells how many there were; in an open quotation it is part of another
+    records = lines.withColumn("_all", _fields(F.concat("value", F.lit(separator + END)), most + 1, separator)).join(known, "_file")
+    ended = F.array_position("_all", END)
+    whole = (ended > F.col("_size")) | ((ended == 0) & ~F.contains(F.concat_ws("", "_all"), F.lit(END)))
+    kept = records.filter(whole & (F.col("_at") != F.col("_first")))
+    return kept.select(*[F.coalesce(F.trim(F.element_at("_all", F.col(f"_p_{f}"))), F.lit("")).alias(f) for f in fields])
 
 
 def ndjson(spark: SparkSession, path, schema) -> DataFrame:

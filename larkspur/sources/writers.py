@@ -7,10 +7,17 @@ and nothing else.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.operators.joins import full_on
+from larkspur.operators.ordered import attach
 from larkspur.session import cut
+from larkspur.sources.files import Files
+from larkspur.sources.tables import Stored
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -92,9 +99,19 @@ def retain(spark: SparkSession, path: str, partition: str, as_of: Column, days:
     return spark.read.parquet(path).filter(~expired(partition, as_of, days))
 
 
-def rewrite_retained(spark: SparkSession, path: str, target: str, partition: str, as_of: Column, days: int) -> None:
-    """Write the surviving partitions to a new folder."""
-    write_partitioned(retain(spark, path, partition, as_of, days), target, partition)
+def expire_partitions(spark: SparkSession, path: str, partition: str, as_of: Column, days: int) -> list[str]:
+    """Drop the folders of a partitioned table whose date is more than ``days`` before ``as_of``; the others are not touched.
+
+    Returns the dates that went. Rows without date stay. A reader that had listed the table before may miss files that it was still to read.
+    """
+    oldest = spark.range(1).select(F.date_sub(as_of, days).cast("string")).first()[0]
+    files, gone = Files(spark, path), []
+    for name in files.names():
+        column, _, value = name.partition("=")
+        if column == partition and re.fullmatch(r"\d{4}-\d\d-\d\d", value) and value < oldest:
+            files.delete(name)
+            gone.append(value)
+    return gone
 
 
 def refresh_aggregate(stored: DataFrame | None, source: DataFrame, keys, measures, partition: str, changed=None) -> DataFrame:
@@ -110,6 +127,37 @@ def refresh_aggregate(stored: DataFrame | None, source: DataFrame, keys, measure
     return stored.filter(~F.col(partition).isin(*changed)).unionByName(totals)
 
 
+def apply_changes(stored: DataFrame, changes: DataFrame, source: DataFrame, keys, sums: dict, lows: dict, highs: dict, sign: str = "_sign", count: str = "n") -> DataFrame:
+    """A stored aggregate after rows were inserted into its source (``sign`` 1) or deleted from it (-1).
+
+    ``sums``, ``lows`` and ``highs`` map the aggregate's columns to columns of the rows, which for sums are exact; ``count`` is the number of rows of a group. Counts
+    and sums add. A smallest or largest value is looked up in ``source``, the rows as they are now, only for groups that lost a row which held it; a group without
+    rows goes. Nulls in a summed column count as 0, and an updated row is a deleted and an inserted one.
+    """
+    keys = list(keys)
+    came, went = F.col(sign) > 0, F.col(sign) < 0
+    delta = changes.groupBy(*keys).agg(
+        F.sum(sign).alias("_d_n"), *[F.sum(F.col(c) * F.col(sign)).alias(f"_d_{a}") for a, c in sums.items()],
+        *[F.min(F.when(came, F.col(c))).alias(f"_in_{a}") for a, c in lows.items()], *[F.min(F.when(went, F.col(c))).alias(f"_out_{a}") for a, c in lows.items()],
+        *[F.max(F.when(came, F.col(c))).alias(f"_in_{a}") for a, c in highs.items()], *[F.max(F.when(went, F.col(c))).alias(f"_out_{a}") for a, c in highs.items()],
+    )
+    both = cut(full_on(stored, delta, keys))
+    zero = F.lit(0)
+    lost = [F.col(f"_out_{a}") <= F.col(a) for a in lows] + [F.col(f"_out_{a}") >= F.col(a) for a in highs]
+    left = F.coalesce(count, zero) + F.coalesce("_d_n", zero)
+    touched = reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in lost], F.lit(False))
+    marked = both.withColumns({"_touched": touched, count: left}).filter(F.col(count) > 0)
+    exact = {a: (F.coalesce(a, zero) + F.coalesce(f"_d_{a}", zero)).cast(stored.schema[a].dataType).alias(a) for a in sums}
+    moved = {a: F.least(a, f"_in_{a}").alias(a) for a in lows} | {a: F.greatest(a, f"_in_{a}").alias(a) for a in highs}
+    kept = marked.filter(~F.col("_touched")).select(*keys, *[(exact | moved).get(c, F.col(c)) for c in stored.columns if c not in keys])
+    # only the rows of touched groups are read again
+    again = marked.filter("_touched").select(*keys, count, *exact.values())
+    seen = attach(again.withColumn("_there", F.lit(1)).select(*keys, "_there"), source, keys).groupBy(*keys).agg(
+        *[F.min(c).alias(a) for a, c in lows.items()], *[F.max(c).alias(a) for a, c in highs.items()]
+    )
+    return kept.unionByName(attach(again, seen, keys).select(*kept.columns))
+
+
 def read_back(spark: SparkSession, path: str, expected: int, fmt: str = "parquet", **options) -> DataFrame:
     """Read what was written and compare the number of rows."""
     written = spark.read.format(fmt).options(**options).load(path)
@@ -124,7 +172,6 @@ def merge_by_key(stored: DataFrame, changes: DataFrame, keys) -> DataFrame:
     return stored.join(changes.select(*keys).distinct(), list(keys), "left_anti").unionByName(changes)
 
 
-def save_merged(stored_path: str, changes: DataFrame, keys) -> None:
-    """Merge into a stored folder; the merged rows are on disk before the old ones go."""
-    merged = merge_by_key(changes.sparkSession.read.parquet(stored_path), changes, keys)
-    cut(merged).write.parquet(stored_path, mode="overwrite")
+def save_merged(stored: Stored, changes: DataFrame, keys) -> DataFrame:
+    """Merge into a stored table, as a new version of it."""
+    return stored.change(lambda rows: merge_by_key(rows, changes, keys))

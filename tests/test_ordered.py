@@ -52,6 +52,43 @@ def test_ranks_and_running_sum(rows, keys, order):
     same(ordered.running_sum(some, keys, order, "w", "s", LIMIT), some.withColumn("s", F.sum("w").over(window)))
 
 
+@pytest.mark.parametrize("keys", KEYS)
+@pytest.mark.parametrize("back", [1, 7, 55])
+@pytest.mark.parametrize("limit", [10, 10_000])
+def test_rolling(rows, keys, back, limit):
+    """Also where a frame reaches over more rows than a task should hold."""
+    window = ordered.plain_window(keys, ["v", "id"]).rowsBetween(-back, -1)
+    columns = {"m": F.avg("tied"), "s": F.stddev_samp("tied"), "n": F.count("v"), "low": F.min("id")}
+    rounded = lambda df: df.withColumns({"m": F.round("m", 9), "s": F.round("s", 9)})
+    found = ordered.rolling(rows, keys, ["v", "id"], back, columns, limit)
+    same(rounded(found), rounded(rows.select("*", *[c.over(window).alias(a) for a, c in columns.items()])))
+
+
+def test_rolling_spreads_one_key(spark):
+    table = spark.range(5_000).withColumn("k", F.lit("only"))
+    blocks = ordered.rolling(table, ["k"], ["id"], 3, {"m": F.avg("id")}, 100)
+    assert "_block" in blocks._jdf.queryExecution().toString() and blocks.columns == ["id", "k", "m"]
+    assert blocks.filter("id >= 3 AND m <> id - 2").isEmpty() and blocks.count() == 5_000
+
+
+def jobs_of(spark, group, make):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        made = make()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), made
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_few_jobs_before_the_result(spark, rows):
+    """A table that fits a task is counted, and no more."""
+    rank_jobs, _ = jobs_of(spark, "rank", lambda: ordered.rank(rows, ["k"], ["tied"]))
+    shared = ordered.measure(rows, [])
+    tile_jobs, _ = jobs_of(spark, "tiles", lambda: [ordered.ntile(rows, 5, [c, "id"], measured=shared) for c in ("v", "tied", "id")])
+    assert rank_jobs <= 2 and tile_jobs == 0
+    assert ordered.measure(rows, ["k"]) == (900, 900) and ordered.measure(rows, ["k"], 500) == (400, 900)
+
+
 @pytest.mark.parametrize("n", [1, 7, 2000])
 def test_ntile(rows, n):
     order = ["tied", "id"]

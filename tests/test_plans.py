@@ -1,13 +1,16 @@
 """Order tables, history, routing, joins and layout on small inputs."""
 
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from larkspur.operators import joins, layout, routing
 from larkspur.plans import facilities, forecast, history, lineage, marts, orders, staging
-from larkspur.sources import readers, writers
+from larkspur.session import cut
+from larkspur.sources import readers, tables, writers
 
 
 def order_frame(spark, rows):
@@ -19,9 +22,9 @@ def cleaned(spark):
         order_frame(
             spark,
             [
-                (1, "C1", "bengaluru", "Toys", 1, 60000.0, "2024-01-15", "completed"),
-                (1, "C1", "bengaluru", "Toys", 1, 60000.0, "2024-01-15", "completed"),
-                (2, "C2", "Mumbai", "Toys", 3, 5000.0, "2024-06-15", None),
+                (1, "C1", "lisbon", "Toys", 1, 60000.0, "2024-01-15", "completed"),
+                (1, "C1", "lisbon", "Toys", 1, 60000.0, "2024-01-15", "completed"),
+                (2, "C2", "Porto", "Toys", 3, 5000.0, "2024-06-15", None),
                 (3, "C9", None, "Books", None, 10.0, "bad", "completed"),
                 (None, "C1", "x", "Toys", 1, 1.0, "2024-01-15", "completed"),
             ],
@@ -32,7 +35,7 @@ def cleaned(spark):
 def test_clean(spark):
     rows = {r.order_id: r for r in cleaned(spark).collect()}
     assert set(rows) == {1, 2, 3}
-    assert (rows[1].city, rows[2].status, rows[3].quantity) == ("BENGALURU", "unknown", 0)
+    assert (rows[1].city, rows[2].status, rows[3].quantity) == ("LISBON", "unknown", 0)
     assert rows[1].order_date == dt.date(2024, 1, 15) and rows[3].order_date is None
 
 
@@ -127,13 +130,19 @@ def test_dimension_and_increment(spark):
     assert {r.age_bucket for r in whole.collect()} == {"18-25", "56+"}
 
 
-def test_history_file_can_replace_itself(spark, tmp_path):
-    path = str(tmp_path / "history")
-    source = people(spark, [(1, "a", "x", 20)])
-    history.save(history.first_snapshot(source, "customer_id", T1), path)
-    moved = people(spark, [(1, "b", "x", 20)])
-    history.save(history.snapshot(spark.read.parquet(path), moved, "customer_id", ["email"], T2), path)
-    assert spark.read.parquet(path).count() == 2
+def test_stored_history_is_made_from_itself(spark, tmp_path, monkeypatch):
+    stored = tables.Stored(spark, str(tmp_path / "history"))
+    source, moved = people(spark, [(1, "a", "x", 20)]), people(spark, [(1, "b", "x", 20)])
+    assert history.look(stored, source, "customer_id", ["email"], T1).count() == 1
+    # lost between writing the new version and naming it: the old one stands, and the next look finds it
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(tables.Files, "write_new", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        history.look(stored, moved, "customer_id", ["email"], T2)
+    assert [v.valid_to for v in stored.read().collect()] == [None]
+    early = stored.read()
+    assert history.look(stored, moved, "customer_id", ["email"], T2).count() == 2
+    assert history.look(stored, moved, "customer_id", ["email"], T3).count() == 2
+    assert early.count() == 1  # frames over an older version still work
 
 
 def test_as_of_version_is_half_open(spark):
@@ -166,19 +175,49 @@ def test_range_join(spark):
         "name string, lo date, hi date",
     )
     expected = points.join(ranges, F.col("day").between(F.col("lo"), F.col("hi")))
-    for grain in ("day", "week", "month", "year"):
-        found = joins.range_join(points, ranges, "day", "lo", "hi", grain)
+    for cells in (None, 1, 2, 40):
+        found = joins.range_join(points, ranges, "day", "lo", "hi", cells)
+        assert found.columns == ["day", "name", "lo", "hi"]
         assert sorted(map(tuple, found.select("day", "name").collect())) == sorted(map(tuple, expected.select("day", "name").collect()))
+    assert joins.range_join(points.limit(0), ranges, "day", "lo", "hi").count() == 0
 
 
 def test_range_join_with_open_ends(spark):
-    points = spark.createDataFrame([(dt.date(2020, 1, d),) for d in range(1, 29)], "day date")
-    ranges = spark.createDataFrame([("open", dt.date(2020, 1, 10), dt.date(9999, 12, 31)), ("one", dt.date(2020, 1, 5), dt.date(2020, 1, 5))], "name string, lo date, hi date")
-    for grain in ("day", "month"):
-        found = joins.range_join(points, ranges, "day", "lo", "hi", grain).groupBy("name").count()
+    points = spark.createDataFrame([(dt.date(2020, 1, d),) for d in range(1, 29)] + [(None,)], "day date")
+    ranges = spark.createDataFrame([("open", dt.date(2020, 1, 10), dt.date(9999, 12, 31)), ("one", dt.date(2020, 1, 5), dt.date(2020, 1, 5)), ("none", None, dt.date(2020, 1, 5))], "name string, lo date, hi date")
+    for cells in (None, 5):
+        found = joins.range_join(points, ranges, "day", "lo", "hi", cells).groupBy("name").count()
         assert {r["name"]: r["count"] for r in found.collect()} == {"open": 19, "one": 1}
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "decimal(20,3)", "bigint"])
+def test_range_join_of_other_types(spark, kind):
+    base = spark.range(400)
+    value = lambda c: (F.timestamp_seconds(c * 7) if kind == "timestamp" else F.timestamp_seconds(c * 7).cast(kind) if "time" in kind else c.cast(kind))
+    points = base.select(value(F.col("id") % 97).alias("x"), "id")
+    ranges = base.limit(60).select(F.col("id").alias("r"), value(F.col("id")).alias("lo"), value(F.col("id") + F.col("id") % 5 - 1).alias("hi"))
+    want = points.join(ranges, F.col("x").between(F.col("lo"), F.col("hi")))
+    found = joins.range_join(points, ranges, "x", "lo", "hi", 12)
+    assert found.exceptAll(want).count() == 0 and found.count() == want.count() > 0
+
+
+def test_range_join_deals_out_a_busy_month(spark):
+    """A third of the points in one month, half of those on one day: no task has more than twice the median."""
+    day = F.when(F.col("id") % 6 == 0, F.lit(45)).when(F.col("id") % 6 == 1, 31 + F.col("id") % 28).otherwise(F.col("id") * 31 % 3650)
+    points = spark.range(120_000).select(F.date_add(F.lit(dt.date(2020, 1, 1)), day.cast("int")).alias("day"))
+    ranges = spark.range(500).select(F.col("id").alias("r"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") * 7).cast("int")).alias("lo")).withColumn("hi", F.date_add("lo", 6))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.range_join(points, ranges, "day", "lo", "hi")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == points.filter(F.col("day") < dt.date(2029, 8, 1)).join(ranges, F.col("day").between(F.col("lo"), F.col("hi"))).count()
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 # --- routing, layout, sources -------------------------------------------------------
 
 
@@ -250,6 +289,78 @@ def test_clustered_write_prunes(spark, tmp_path):
         writers.read_back(spark, path, 1)
 
 
+def test_each_file_has_its_own_header(spark, tmp_path):
+    """Other columns, another order, the header's text as a record, quoted separators, empty and headless files."""
+    files = {
+        "a.csv": 'Key,Name,Brand\n1,"Anna, the first",x\nKey,Name,Brand\n2,short\n3,Cara,z,more\n4,"open,y\n',
+        "b.csv": "Size,Brand,KEY,name\n9,w,5,Dora\n9,w,6\n,,,\n",
+        "c.csv": "brand,Other Field,key,2nd,name\nv,o,7,2,Emil\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    rows = readers.delimited(spark, str(tmp_path), ["key", "name", "brand"])
+    assert rows.columns == ["key", "name", "brand"]
+    assert sorted(map(tuple, rows.collect())) == sorted([
+        ("1", "Anna, the first", "x"), ("Key", "Name", "Brand"), ("3", "Cara", "z"), ("5", "Dora", "w"), ("", "", ""), ("7", "Emil", "v"),
+    ])
+    (tmp_path / "d.csv").write_text("key,brand\n1,x\n")
+    with pytest.raises(ValueError, match="name.*d.csv"):
+        readers.delimited(spark, str(tmp_path), ["key", "name", "brand"])
+
+
+def test_headers_of_many_splits(spark, tmp_path):
+    """A file in several splits has one header; its lines stay whole."""
+    for part, names in (("x", "a,b"), ("y", "b,a")):
+        (tmp_path / f"{part}.csv").write_text(names + "\n" + "".join(f"{i},{part}{i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers.delimited(spark, str(tmp_path), ["a", "b"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, rows)) == sorted([(str(i), f"x{i}") for i in range(5000)] + [(f"y{i}", str(i)) for i in range(5000)])
+
+
+def test_expired_folders_go_and_others_are_not_touched(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(30).select("id", F.when(F.col("id") < 28, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))).alias("d"))
+    writers.write_partitioned(days, path, "d")
+    before = {p: (p.stat().st_mtime_ns, p.stat().st_ino) for p in (tmp_path / "t").rglob("*.parquet")}
+    gone = writers.expire_partitions(spark, path, "d", F.lit("2024-01-30").cast("date"), 10)
+    assert gone == [f"2024-01-{d:02}" for d in range(1, 20)]
+    after = {p: (p.stat().st_mtime_ns, p.stat().st_ino) for p in (tmp_path / "t").rglob("*.parquet")}
+    assert after == {p: s for p, s in before.items() if p in after} and len(after) == len(before) - 19
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [*range(19, 30)]  # those without a date stay
+    assert writers.expire_partitions(spark, path, "d", F.lit("2024-01-30").cast("date"), 10) == []
+
+
+def test_aggregate_kept_up_by_signed_rows(spark):
+    draw = random.Random(11)
+    schema, keys = "k int, x decimal(38,10), v double", ["k"]
+    whole = [F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"), F.min("v").alias("low"), F.max("v").alias("high")]
+    made = lambda n: [(draw.choice([None, 1, 2, 3, 4]), Decimal(draw.randint(-50, 50)), draw.choice([None, float(draw.randint(0, 9))])) for _ in range(n)]
+    rows = made(30)
+    stored = cut(spark.createDataFrame(rows, schema).groupBy(*keys).agg(*whole))
+    for step in range(5):
+        came, went = made(6), draw.sample(rows, 9 if step < 3 else len(rows) - 2)
+        for row in went:
+            rows.remove(row)
+        rows += came
+        changes = spark.createDataFrame([(*r, 1) for r in came] + [(*r, -1) for r in went], schema + ", _sign int")
+        source = spark.createDataFrame(rows, schema)
+        stored = cut(writers.apply_changes(stored, changes, source, keys, {"s": "x"}, {"low": "v"}, {"high": "v"}))
+        want = source.groupBy(*keys).agg(*whole)
+        assert sorted(map(tuple, stored.select("k", "n", "s", "low", "high").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_only_touched_groups_are_read_again(spark, monkeypatch):
+    """A source that knows only the groups whose extremes went is enough."""
+    stored = spark.createDataFrame([(1, 2, 1.0, 9.0), (2, 2, 1.0, 9.0)], "k int, n long, low double, high double")
+    changes = spark.createDataFrame([(1, 1.0, -1), (2, 5.0, -1), (2, 0.5, 1), (3, 4.0, 1)], "k int, v double, _sign int")
+    source = spark.createDataFrame([(1, 9.0)], "k int, v double")
+    found = writers.apply_changes(stored, changes, source, ["k"], {}, {"low": "v"}, {"high": "v"})
+    assert sorted(map(tuple, found.select("k", "n", "low", "high").collect())) == [(1, 1, 9.0, 9.0), (2, 2, 0.5, 9.0), (3, 1, 4.0, 4.0)]
+
+
 def test_stored_aggregate_and_merge(spark, tmp_path):
     src = spark.createDataFrame([(1, 10), (1, 5), (2, 7)], "d int, x int")
     totals = [F.sum("x").alias("s")]
@@ -257,10 +368,10 @@ def test_stored_aggregate_and_merge(spark, tmp_path):
     later = src.unionByName(spark.createDataFrame([(2, 1)], "d int, x int"))
     fresh = writers.refresh_aggregate(stored, later, ["d"], totals, "d", changed=[2])
     assert sorted(map(tuple, fresh.collect())) == [(1, 15), (2, 8)]
-    path = str(tmp_path / "m")
-    writers.overwrite(stored, path)
-    writers.save_merged(path, spark.createDataFrame([(2, 9), (3, 1)], "d int, s long"), ["d"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 15), (2, 9), (3, 1)]
+    kept = tables.Stored(spark, str(tmp_path / "m"))
+    kept.replace(stored)
+    writers.save_merged(kept, spark.createDataFrame([(2, 9), (3, 1)], "d int, s long"), ["d"])
+    assert sorted(map(tuple, kept.read().collect())) == [(1, 15), (2, 9), (3, 1)]
 
 
 def test_lineage_counts(spark, tmp_path):
@@ -305,6 +416,57 @@ def test_regression_metrics(spark):
     assert round(m.r_squared, 6) == round(1 - (2 / 3) / (8 / 3), 6) and round(m.mape, 6) == 25.0
 
 
+def test_stumps_against_plain_python(spark):
+    draw = random.Random(4)
+    rows = [(draw.choice([None, draw.random() * 10]), float(draw.randint(0, 5)), 1.0, draw.randint(0, 40)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, (1.0, 1.0, 1.0, None)], "a double, b double, c double, y int")
+    model = forecast.train_stumps(df, ["a", "b", "c"], "y", rounds=5, bins=7)
+    ends = [(min(v), max(v)) for v in ([r[i] for r in rows if r[i] is not None] for i in range(3))]
+
+    def bin_of(x, i):
+        low, high = ends[i]
+        return 0 if x is None or high <= low else int(min(max((x - low) * 7 // (high - low), 0), 6))
+
+    target = [r[3] * 1000 for r in rows]
+    said = [sum(target) // len(rows)] * len(rows)
+    binned = [[bin_of(r[i], i) for i in range(3)] for r in rows]
+    splits = []
+    for _ in range(5):
+        best = None
+        for f in range(3):
+            for k in range(7):
+                left = [t - p for t, p, b in zip(target, said, binned) if b[f] <= k]
+                right = [t - p for t, p, b in zip(target, said, binned) if b[f] > k]
+                if left and right and any(b[f] == k for b in binned):
+                    gain = sum(left) ** 2 / len(left) + sum(right) ** 2 / len(right)
+                    if best is None or gain > best[0]:
+                        best = (gain, f, k, sum(left) * 3 // (len(left) * 10), sum(right) * 3 // (len(right) * 10))
+        splits.append(best[1:])
+        said = [p + (best[3] if b[best[1]] <= best[2] else best[4]) for p, b in zip(said, binned)]
+    assert list(model.splits) == splits
+    got = model.transform(df.limit(300)).select("prediction").collect()
+    assert [round(r.prediction * 1000) for r in got] == said
+    errors = lambda p: sum((t - x) ** 2 for t, x in zip(target, p))
+    assert errors(said) < errors([sum(target) // len(rows)] * len(rows))
+    assert forecast.train_stumps(df.filter("y > 99"), ["a"], "y").transform(df).select("prediction").first().prediction == 0
+
+
+def test_marts_do_not_expand(spark):
+    """Distinct things are counted as rows, not by a copy of every order or click per count."""
+    orders = spark.createDataFrame([], "order_id long, product_id long, customer_id long, order_date date, order_status string, quantity long, total_amount double, unit_price double")
+    clicks = spark.createDataFrame([], "event_date date, session_id string, user_id long, event_type string, device_type string")
+    products = spark.createDataFrame([], "product_id long, product_sk string, product_name string, category string, category_display string, price double, cost_price double, margin double, "
+        "margin_pct double, stock_quantity long, stock_status string, is_available boolean, supplier string, rating double, review_count long")
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(marts, "cut", lambda df: seen.append(df) or df)
+        seen.append(marts.product_performance(products, orders))
+    seen.append(marts.funnel(clicks, orders))
+    assert len(seen) == 3
+    for df in seen:
+        assert "Expand" not in df._jdf.queryExecution().toString()
+
+
 def test_split_is_repeatable(spark):
     df = spark.range(1000)
     sizes = [part.count() for part in forecast.split(df, ["id"])]
