@@ -22,7 +22,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of texts encoded and decoded again."""
     path = public_tokenizers.path(TOKENIZER)
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

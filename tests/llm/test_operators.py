@@ -90,6 +90,18 @@ def test_bpe_odd_rows(odd, empty):
     out = bpe.decode(bpe.encode(odd, PATH), PATH).collect()
     assert sorted(r.decoded for r in out) == sorted((r.text or "") for r in odd.collect())
     assert bpe.decode(bpe.encode(empty, PATH), PATH).count() == 0
+    assert sorted(map(repr, bpe.round_trip(odd, PATH).collect())) == sorted(map(repr, out)) and bpe.round_trip(empty, PATH).count() == 0
+
+
+def test_decoding_goes_by_few_tokens(monkeypatch):
+    monkeypatch.setattr(bpe, "DECODED_TOKENS", 3)
+    ids = [[0, 1], [], [2, 3, 4, 5], [6], [7, 8], []]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+    spelled = {i: bytes([97 + i]) for i in range(9)}
+    parts = list(bpe._texts([batch, batch.slice(1, 3), batch.slice(0, 0)], spelled))
+    assert [p.num_rows for p in parts[:3]] == [2, 1, 3]
+    assert [x for p in parts for x in p.column(2).to_pylist()] == ["ab", "", "cdef", "g", "hi", "", "", "cdef", "g"]
+    assert [x for p in parts for x in p.column(1).to_pylist()] == ids + ids[1:4]
 
 
 # --- 2 --------------------------------------------------------------------------
