@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join partition even when that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python workers take batches by size, whatever the length of the rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # the state of streams lives on disk, so it may exceed memory
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
