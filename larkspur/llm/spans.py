@@ -21,6 +21,8 @@ from larkspur.session import cut
 
 #: Words from which a sentence is a span of its own.
 LONG_WORDS = 50
+#: A span with more than this part of all places has its places spread over several tasks.
+HOT_PART = 1_000
 
 #: A sentence ends after a full stop, question or exclamation mark (or its full-width form) before white space, or at a line feed.
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?。！？]+(?=\s|$)\s*|\n+|$)", re.S)
@@ -55,23 +57,25 @@ def _bounds(size: np.ndarray, owner: np.ndarray, run: int, least_words: int, lon
     return np.concatenate([here[forward], start[backward], alone]), np.concatenate([end[forward], here[backward] + 1, alone + 1])
 
 
+def _worded(texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sentences of each text; of those with words the two keys, the number of words and whose they are."""
+    parts = [sentences(x) for x in texts]
+    flat = [s for p in parts for s in p]
+    of = arrays.words(*arrays.utf8(pa.array(flat, pa.string())), arrays.ALNUM)
+    k1, k2 = arrays.keys(of)
+    size, owner = np.diff(of.bounds), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    some = size > 0
+    return parts, k1[some].view(np.uint64), k2[some].view(np.uint64), size[some], owner[some]
+
+
 def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_words: int | None) -> Iterator[pa.RecordBatch]:
-    """(doc_id, at, n, k1, k2) for each span of ``n`` sentences with words; see ``remove_repeats``.
+    """(doc_id, row, at, n, k1, k2) for each span of ``n`` sentences with words; see ``remove_repeats``.
 
     Sentences without words neither count nor break a run; ``at`` counts sentences with words.
     """
     for batch in batches:
-        for piece in arrays.pieces(batch, 1):
-            parts = [sentences(x or "") for x in piece.column(1).to_pylist()]
-            flat = [s for p in parts for s in p]
-            if not flat:
-                continue
-            of = arrays.words(*arrays.utf8(pa.array(flat, pa.string())), arrays.ALNUM)
-            k1, k2 = arrays.keys(of)
-            size = np.diff(of.bounds)
-            owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            some = size > 0
-            k1, k2, size, owner = k1[some].view(np.uint64), k2[some].view(np.uint64), size[some], owner[some]
+        for piece in arrays.pieces(batch, 2):
+            parts, k1, k2, size, owner = _worded(piece.column(2).to_pylist())
             start, end = _bounds(size, owner, run, least_words, long_words)
             if len(start) == 0:
                 continue
@@ -82,50 +86,82 @@ def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_w
                 live = np.flatnonzero(n > i)
                 h1[live] = arrays.mix(h1[live] ^ k1[start[live] + i]) * np.uint64(0x9E3779B97F4A7C15)
                 h2[live] = arrays.mix(h2[live] ^ k2[start[live] + i]) * np.uint64(0xC2B2AE3D27D4EB4F)
+            rows = pa.array(owner[start])
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0).take(pa.array(owner[start])), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                ["doc_id", "at", "n", "k1", "k2"],
+                [piece.column(0).take(rows), piece.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                ["doc_id", "row", "at", "n", "k1", "k2"],
             )
 
 
-def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strip(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_words: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, found) without the sentences of the spans ``found``; null stands for all spans of the text."""
     for batch in batches:
         n, gone, out = [], [], []
         for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts = sentences(text)
-            worded = np.flatnonzero(np.diff(arrays.words(*arrays.utf8(pa.array(parts, pa.string())), arrays.ALNUM).bounds) > 0) if parts else []
+            parts, _, _, size, owner = _worded([text])
+            parts = parts[0]
+            worded = np.flatnonzero(np.diff(arrays.words(*arrays.utf8(pa.array(parts, pa.string())), arrays.ALNUM).bounds) > 0) if parts else np.zeros(0, int)
+            ends = zip(*_bounds(size, owner, run, least_words, long_words)) if found is None else ((s["at"], s["at"] + s["n"]) for s in found)
             n.append(len(worded))
-            covered = {int(x) for s in found for x in worded[s["at"] : s["at"] + s["n"]]}
+            covered = {int(x) for a, b in ends for x in worded[a:b]}
             gone.append(len(covered))
             out.append("".join(p for i, p in enumerate(parts) if i not in covered) if covered else text)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(out, pa.string())], ["doc_id", "n_sentences", "n_removed", "text"])
 
 
+def _rows(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(doc_id, row, text); rows with one id are told apart by a hash of their text."""
+    told = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return df.select(F.col(f"`{id}`").alias("doc_id"), F.xxhash64(told).alias("row"), told.alias("text"))
+
+
 def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
-    """(doc_id, at, n) of every span of n sentences whose words stand at an earlier place (doc_id, at) too."""
+    """(doc_id, row, at, n) of every span of n sentences whose words stand at an earlier place (doc_id, row, at) too; ``row`` is the xxhash64 of the text.
+
+    Equal rows with one id have the same places. Places of a span that very many texts share are dealt to several tasks.
+    """
     kind = df.schema[id].dataType.simpleString()
-    docs = df.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    spans = cut(docs.mapInArrow(partial(_spans, run=run, least_words=least_words, long_words=long_words), f"doc_id {kind}, at int, n int, k1 long, k2 long"))
-    place = F.struct("doc_id", "at")
-    first = spans.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1").drop("places")
-    return spans.join(first, ["k1", "k2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "at", "n")
+    spans = cut(_rows(df, id, text).mapInArrow(partial(_spans, run=run, least_words=least_words, long_words=long_words), f"doc_id {kind}, row long, at int, n int, k1 long, k2 long"))
+    place = F.struct("doc_id", "row", "at")
+    first = cut(spans.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1"))
+    total = spans.count()
+    # fewer than HOT_PART rows
+    hot = first.where(F.col("places") * HOT_PART > total).select("k1", "k2", (F.col("places") * HOT_PART / max(total, 1)).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = spans.join(F.broadcast(hot), ["k1", "k2"], "left").withColumn("_part", (F.monotonically_increasing_id() % parts).cast("int")).drop("_parts")
+    right = first.drop("places").join(F.broadcast(hot), ["k1", "k2"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return left.join(right, ["k1", "k2", "_part"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "row", "at", "n")
 
 
 def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
-    """One row (doc_id, n_sentences, n_removed, text) per document, without the repeated sentences.
+    """One row (doc_id, n_sentences, n_removed, text) per row of ``df``, without the repeated sentences.
 
     A span is ``run`` consecutive sentences with at least ``least_words`` words together. With ``long_words`` it takes as many more
     sentences as it needs for ``least_words``, so that every repeated run of ``run`` or more sentences with as many words is
     covered whole, and a sentence of ``long_words`` words or more is a span too. Words are compared with
-    A-Z as a-z and without punctuation. The first place of a span, by (doc_id, position), stays; sentences covered by any
+    A-Z as a-z and without punctuation. The first place of a span stays, by id (null first), then by the hash of the text, then by position; sentences covered by any
     other place go, in the same document too. Null reads as empty and comes back as empty text. Texts with fewer
-    sentences are not changed. Rows with the same id share their removals, nulls come first. Other columns are not read; an empty
+    sentences are not changed. Texts that share an id lose their own repeats only; of equal rows one keeps what stands first in it. Other columns are not read; an empty
     table gives an empty one.
     """
-    spans = repeated_spans(df, id, text, run, least_words, long_words).distinct()
-    found = spans.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("found"))  # three times as many as a text has sentences at most
-    docs = df.select(F.col(f"`{id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    joined = docs.join(found.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    return joined.select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<at:int,n:int>>")).alias("found")).mapInArrow(
-        _strip, f"doc_id {df.schema[id].dataType.simpleString()}, n_sentences int, n_removed int, text string"
-    )
+    how = {"run": run, "least_words": least_words, "long_words": long_words}
+    kind = df.schema[id].dataType.simpleString()
+    spans = repeated_spans(df, id, text, **how).distinct()
+    found = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "n")).alias("found"))  # three times as many as a text has sentences at most
+    docs = _rows(df, id, text)
+    again = cut(docs.groupBy("doc_id", "row").count().where("count > 1").drop("count"))
+    copies = None
+    if not again.isEmpty():
+        key = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
+        known = again.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
+        equal = cut(docs.join(known, key, "left_semi").withColumn("_at", F.monotonically_increasing_id()))
+        first = equal.groupBy("doc_id", "row").agg(F.min("_at").alias("_at")).select("_at")
+        # a further copy has no span that isn't in the first
+        copies = equal.join(first, "_at", "left_anti").select("doc_id", "text", F.lit(None).cast("array<struct<at:int,n:int>>").alias("found"))
+        docs = docs.join(known, key, "left_anti").unionByName(equal.join(first, "_at", "left_semi").drop("_at"))
+    key = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
+    joined = docs.join(found.withColumnsRenamed({"doc_id": "of", "row": "of_row"}), key, "left")
+    rows = joined.select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<at:int,n:int>>")).alias("found"))
+    if copies is not None:
+        rows = rows.unionByName(copies)
+    return rows.mapInArrow(partial(_strip, **how), f"doc_id {kind}, n_sentences int, n_removed int, text string")

@@ -141,7 +141,7 @@ def test_spans_cover_short_and_single_sentences(spark):
     docs = [(i, " ".join([*before, *passages[i % len(sizes)], *after])) for i, (before, after) in enumerate(frames)]
     short = [sentence(6), sentence(6)]  # too few words for a span
     docs += [(100 + i, " ".join([sentence(30), *short, sentence(30)])) for i in range(2)] + [(200, " ".join([sentence(4), sentence(49)])), (None, None)]
-    docs += [(200, docs[0][1])]  # a shorter and a longer text with one id
+    docs += [(200, docs[0][1])]  # a text of its own and a copy with one id
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     out = collections.defaultdict(list)
     for r in spans.remove_repeats(df, long_words=spans.LONG_WORDS).collect():
@@ -150,7 +150,60 @@ def test_spans_cover_short_and_single_sentences(spark):
         expected = docs[i][1] if i < len(sizes) else " ".join([*before, *after])
         assert [r.text for r in out[i]] == [expected]
     assert [r.n_removed for i in (100, 101) for r in out[i]] == [0, 0] and out[None][0].text == ""
-    assert sorted(r.n_sentences for r in out[200]) == [2, 13] and max(r.n_removed for r in out[200]) == 13
+    assert sorted((r.n_sentences, r.n_removed) for r in out[200]) == [(2, 0), (13, 13)]
+
+
+def spans_of(size):
+    """The spans of the query's own mode among the sentences of one text: the shortest runs of two or more with 20 words, and long sentences."""
+    out = set()
+    for i in range(len(size)):
+        for j in range(i + 2, len(size) + 1):
+            if sum(size[i:j]) >= 20:
+                out.add((i, j))
+                break
+        for k in range(i - 1, -1, -1):
+            if sum(size[k : i + 1]) >= 20:
+                out.add((k, i + 1))
+                break
+        if size[i] >= 50:
+            out.add((i, i + 1))
+    return out
+
+
+def test_spans_of_the_query_against_brute_force(spark):
+    """Short and long sentences, shared and null ids, equal rows."""
+    rng = random.Random(12)
+    pool = [" ".join(f"w{rng.randrange(60)}" for _ in range(n)) + "." for n in (1, 3, 5, 9, 14, 21, 50, 55) for _ in range(3)]
+    docs = [(rng.choice([None, *range(25)]), " ".join(rng.choices(pool, k=rng.randint(0, 9)))) for _ in range(60)]
+    docs += rng.sample(docs, 12) + [(None, None), (3, None)]
+    words = lambda s: tuple(re.findall(rb"[0-9a-z\x80-\xff]+", lowered(s)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = [(r.doc_id, r.text, r.h) for r in df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    seen, want = {}, []
+    for number, (doc, text, h) in enumerate(rows):
+        parts = [w for w in map(words, spans.sentences(text)) if w]
+        again, gone = number > 0 and rows[number - 1] == rows[number], set()
+        for a, b in sorted(spans_of([len(w) for w in parts])):
+            earlier = seen.setdefault(tuple(parts[a:b]), (number, a, b))
+            if again or earlier != (number, a, b):
+                gone |= set(range(a, b))
+        want.append((doc, len(parts), len(gone), [w for i, w in enumerate(parts) if i not in gone]))
+    got = [(r.doc_id, r.n_sentences, r.n_removed, [w for w in map(words, spans.sentences(r.text)) if w]) for r in spans.remove_repeats(df, long_words=spans.LONG_WORDS).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
+
+
+def test_no_text_is_lost_by_a_shared_id(spark):
+    text = lambda k: " ".join(f"a{k}x{i} b c d e f g h i j k." for i in range(3))
+    rows = [(1, text(1)), (7, text(1)), (7, text(2)), (8, text(3)), (8, text(3)), (None, text(4)), (None, text(4)), (None, text(5))]
+    out = [(r.doc_id, r.n_removed, r.text) for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), long_words=spans.LONG_WORDS).collect()]
+    assert sorted(map(repr, out)) == sorted(map(repr, [(1, 0, text(1)), (7, 3, ""), (7, 0, text(2)), (8, 0, text(3)), (8, 3, ""), (None, 0, text(4)), (None, 3, ""), (None, 0, text(5))]))
+
+
+def test_a_hot_span_is_dealt_to_several_tasks(spark):
+    line = "one two three four five six seven eight nine ten. " * 2
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, line).otherwise(F.lit("short.")).alias("text"))
+    assert spans.remove_repeats(df, long_words=spans.LONG_WORDS).where("n_removed = 2").count() == 1499
 
 
 def test_spans_odd_rows(odd, empty):
