@@ -80,7 +80,7 @@ def fiscal_year_dates(dimension: DataFrame, year_end_month: int = 12, week_start
     whole_weeks = days.join(
         dimension.select(F.col("date_day").alias("_first")), F.col("week_start_date") == F.col("_first"), "left_semi"
     )
-    placed = range_join(whole_weeks, years, "date_day", "fiscal_year_start_date", "fiscal_year_end_date", "year")
+    placed = range_join(whole_weeks, years, "date_day", "fiscal_year_start_date", "fiscal_year_end_date")
     weeks_in = F.floor(F.date_diff("week_start_date", "fiscal_year_start_date") / 7)
     return placed.select(
         "date_day", "fiscal_year_number", "fiscal_year_start_date", "fiscal_year_end_date", "week_start_date",
