@@ -70,13 +70,37 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _paths(branches: DataFrame) -> DataFrame:
-    """(conv, run, path) from (conv, run, path, up): each path after those of all runs above it, by pointer doubling."""
-    while not branches.where("up IS NOT NULL").isEmpty():
-        above = branches.select(F.col("conv").alias("c"), F.col("run").alias("r"), F.col("path").alias("before"), F.col("up").alias("next"))
-        joined = branches.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("r")), "left")
-        branches = cut(joined.select("conv", "run", F.concat(F.coalesce("before", F.array().cast("array<long>")), "path").alias("path"), F.col("next").alias("up")))
-    return branches.select("conv", "run", "path")
+def running_max(df: DataFrame, keys, order, value: str, alias: str, max_rows: int | None = None) -> DataFrame:
+    """Largest value so far per key, current row included; null before the first value. The order has to be total."""
+    return ordered.running(df, keys, order, {alias: F.col(value)}, F.max, F.greatest, max_rows)
+
+
+def _toured(runs: DataFrame) -> DataFrame:
+    """(conv, run, offset, branch) of runs (conv, run, start, n, up, parent): messages that come before a run in reply order, and runs above it.
+
+    The tour of a conversation's tree enters a run, goes through the runs that branch off it, the deepest branch first, and leaves it. What is left of the
+    tour after each step is summed by pointer doubling over the tour's list: two numbers a step, however deep the tree.
+    """
+    kids = cut(runs.where("run > 0"))
+    after = F.struct((-F.col("parent")).alias("m"), "start")
+    first = kids.groupBy("conv", "up").agg(F.min_by("run", after).alias("child"))
+    aside = ordered.neighbour(kids.withColumn("back", -F.col("parent")), ["conv", "up"], ["back", "start"], "run", -1, "aside")
+    known = runs.join(first.withColumnRenamed("up", "run"), ["conv", "run"], "left").join(aside.select("conv", "run", "aside"), ["conv", "run"], "left")
+    enter, leave = F.col("run") * 2, F.col("run") * 2 + 1
+    home = F.when(F.col("run") > 0, F.col("up") * 2 + 1)
+    steps = F.array(
+        F.struct(enter.alias("step"), F.coalesce(F.col("child") * 2, leave).alias("next"), F.col("n").alias("w"), F.lit(1).cast("long").alias("d")),
+        F.struct(leave.alias("step"), F.coalesce(F.col("aside") * 2, home).alias("next"), F.lit(0).cast("long").alias("w"), F.lit(-1).cast("long").alias("d")),
+    )
+    tour = cut(known.select("conv", F.inline(steps)))
+    while not tour.where("next IS NOT NULL").isEmpty():
+        further = tour.select("conv", F.col("step").alias("next"), F.col("next").alias("then"), F.col("w").alias("w2"), F.col("d").alias("d2"))
+        joined = tour.join(further, ["conv", "next"], "left")
+        zero = F.lit(0).cast("long")
+        tour = cut(joined.select("conv", "step", F.col("then").alias("next"), (F.col("w") + F.coalesce("w2", zero)).alias("w"), (F.col("d") + F.coalesce("d2", zero)).alias("d")))
+    whole = tour.where("step = 0").select("conv", F.col("w").alias("whole"))
+    entered = tour.where("step % 2 = 0").join(whole, "conv")
+    return entered.select("conv", F.expr("step div 2").alias("run"), (F.col("whole") - F.col("w")).alias("offset"), (-F.col("d")).cast("int").alias("branch"))
 
 
 def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -89,8 +113,8 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     depth first, answers to one message by turn; ``branch`` counts the quotes on the way that left the flow of turns.
 
     Messages of a conversation are taken by (turn, role, text), nulls first; equal rows are messages of their own. Rows without
-    conversation id are one conversation. Null text is empty. Other columns are not read; an empty table gives an
-    empty one. Work is by message and passage, never by whole conversation.
+    conversation id are one conversation. Null text is empty; a message is parsed whole, so a task holds an Arrow batch or one long message. Other columns
+    are not read; an empty table gives an empty one. Work is by message, passage and branch, never by whole conversation, and a message carries numbers only.
     """
     conv = F.when(F.col(f"`{conversation}`").isNull(), "-").otherwise(F.concat(F.lit("="), F.col(f"`{conversation}`").cast("string")))
     rows = df.select(
@@ -98,7 +122,9 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     )
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     parsed = rows.mapInArrow(_parsed, f"{kinds}, own string, units array<string>, quoted array<struct<level:int,unit:string>>")
-    messages = cut(ordered.row_number(cut(parsed), ["conv"], ["turn", "role", "text"], "at"))
+    # equal rows have a place of their own too, so that a conversation of equal rows can be cut into segments
+    parsed = cut(parsed.withColumn("_row", F.monotonically_increasing_id()))
+    messages = cut(ordered.row_number(parsed, ["conv"], ["turn", "role", "text", "_row"], "at").drop("_row"))
 
     had = messages.select("conv", F.explode("units").alias("unit"), "at", F.lit(None).cast("int").alias("level"))
     asked = messages.select("conv", F.explode("quoted").alias("q"), "at").select("conv", "q.unit", "at", "q.level")
@@ -106,7 +132,7 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     known = had.join(cut(asked.select("conv", "unit").distinct()), ["conv", "unit"], "left_semi")
     rows = known.unionByName(asked).withColumns({"own": F.col("level").isNull(), "place": F.when(F.col("level").isNull(), F.col("at"))})
     # a message's quotes come before its own units; the latest place is the largest
-    found = ordered.running_max(cut(rows), ["conv", "unit"], ["at", "own"], "place", "source")
+    found = running_max(cut(rows), ["conv", "unit"], ["at", "own"], "place", "source")
     votes = found.where("level IS NOT NULL AND source IS NOT NULL").groupBy("conv", "at", "source").agg(F.min("level").alias("level"), F.count("*").alias("n"))
     quoted = votes.groupBy("conv", "at").agg(F.max_by("source", F.struct(-F.col("level"), "n", "source")).alias("source"))
 
@@ -117,10 +143,11 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     linked = cut(ordered.prefix_sums(linked, ["conv"], ["at"], {"run": F.col("leaves")}))
     above = linked.select(F.col("conv").alias("c"), F.col("at").alias("a"), F.col("run").alias("up"), F.col("turn").alias("reply_to"))
     linked = linked.join(above, (F.col("conv") == F.col("c")) & (F.col("parent") == F.col("a")), "left").drop("c", "a")
-    branch = linked.where("leaves = 1").select(
-        "conv", "run", F.array(F.lit(1).cast("long"), -F.col("parent"), F.col("at")).alias("path"), F.when(F.col("up") > 0, F.col("up")).alias("up")
+    # only conversations that branch have an order of their own
+    branched = linked.groupBy("conv", "run").agg(
+        F.min("at").alias("start"), F.count("*").alias("n"), F.max(F.when(F.col("leaves") == 1, F.col("up"))).alias("up"), F.max(F.when(F.col("leaves") == 1, F.col("parent"))).alias("parent")
     )
-    path = F.coalesce("path", F.array().cast("array<long>"))
-    placed = linked.join(_paths(cut(branch)), ["conv", "run"], "left").withColumn("key", F.concat(path, F.array(F.lit(0).cast("long"), F.col("at"))))
-    placed = ordered.row_number(cut(placed), ["conv"], ["key"], "position")
-    return placed.select("conv_id", "position", "turn", "role", F.col("own").alias("text"), "reply_to", (F.size(path) / 3).cast("int").alias("branch"))
+    runs = cut(branched.join(linked.where("run > 0").select("conv").distinct(), "conv", "left_semi"))
+    placed = linked.join(_toured(runs).join(runs.select("conv", "run", "start"), ["conv", "run"]), ["conv", "run"], "left")
+    position = F.coalesce(F.col("offset") + F.col("at") - F.col("start") + 1, F.col("at"))
+    return placed.select("conv_id", position.cast("long").alias("position"), "turn", "role", F.col("own").alias("text"), "reply_to", F.coalesce("branch", F.lit(0)).alias("branch"))

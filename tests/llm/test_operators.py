@@ -524,18 +524,81 @@ def test_quotations_of_a_hot_line(spark, monkeypatch):
     talk = [(None, i, "a", f"> thanks\nanswer {i}" if i % 7 == 6 else f"> line {i - 3}\nthanks" if i % 5 == 4 else f"thanks\nline {i}") for i in range(120)]
     df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
     seen = []
-    running_max = quotes.ordered.running_max
-    monkeypatch.setattr(quotes.ordered, "running_max", lambda rows, *more: seen.append(rows) or running_max(rows, *more))
+    running_max = quotes.running_max
+    monkeypatch.setattr(quotes, "running_max", lambda rows, *more: seen.append(rows) or running_max(rows, *more))
     plain = sorted(rows_of(quotes.reply_ordered(df)))
     asked = {r.unit for r in seen[0].where("level IS NOT NULL").collect()}
     assert {r.unit for r in seen[0].where("level IS NULL").collect()} <= asked and quotes._unit("thanks") in asked
-    monkeypatch.setattr(quotes.ordered, "running_max", lambda *more: running_max(*more, 10))
+    monkeypatch.setattr(quotes, "running_max", lambda *more: running_max(*more, 10))
     assert sorted(rows_of(quotes.reply_ordered(df))) == plain
     turns = {r[2]: r[5] for r in plain}
     lately = lambda i: max(j for j in range(i) if talk[j][3].endswith("thanks") or talk[j][3].startswith("thanks"))
     assert all(turns[i] == lately(i) for i in range(6, 120, 7))
 
 
+def brute_order(talk):
+    """(position, reply_to, branch) of the messages (own, units, quoted) of one conversation, by walking its tree."""
+    parents, leaves = [None], [False]
+    for i, (_, _, quoted) in enumerate(talk):
+        if i == 0:
+            continue
+        votes = collections.defaultdict(list)
+        for level, unit in quoted:
+            had = [j for j in range(i) if unit in talk[j][1]]
+            if had:
+                votes[had[-1]].append(level)
+        best = max(votes, key=lambda j: (-min(votes[j]), len(votes[j]), j), default=i - 1)
+        parents.append(best)
+        leaves.append(best != i - 1)
+    children = collections.defaultdict(list)
+    for i, p in enumerate(parents):
+        children[p].append(i)
+    out, stack = {}, [(0, 0)]
+    while stack:
+        i, branch = stack.pop()
+        out[i] = (len(out) + 1, parents[i], branch)
+        stack += [(c, branch + leaves[c]) for c in reversed(children[i])]
+    return out
+
+
+@pytest.mark.parametrize("max_rows", [None, 6])
+def test_quotations_against_brute_force(spark, monkeypatch, max_rows):
+    """Random threads with quotes of quotes, of passages, of repeated lines and of nothing; also where conversations are cut into segments."""
+    rng = random.Random(21)
+    said, rows = {}, []
+    for c in (None, *range(14)):
+        texts = []
+        for turn in range(rng.randint(1, 24)):
+            lines_ = [f"line {rng.randrange(40)} of c{c}" for _ in range(rng.randint(0, 3))]
+            if texts and rng.random() < 0.5:
+                source = rng.choice(texts)
+                lines_ = [f"> {x}" for x in source.split("\n")[: rng.randint(1, 4)]] + lines_
+                if rng.random() < 0.3:
+                    lines_ = ["somebody wrote:", *lines_]
+            texts.append("\n".join(lines_) if rng.random() < 0.95 else None)
+            texts[-1] = texts[-1] or ""
+            rows.append((c, turn, "u", texts[-1]))
+        said[c] = [quotes.parse(t) for t in texts]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    if max_rows:
+        monkeypatch.setattr(quotes.ordered, "rows_per_task", lambda *_: max_rows)
+    got = collections.defaultdict(dict)
+    for r in quotes.reply_ordered(df).collect():
+        got[r.conv_id][r.turn] = (r.position, r.reply_to, r.branch)
+        assert r.text == said[r.conv_id][r.turn][0]
+    want = {c: brute_order(talk) for c, talk in said.items()}
+    assert got == want and max(b for w in want.values() for _, _, b in w.values()) >= 2
+
+
+def test_quotations_of_a_deep_thread(spark):
+    """Every message quotes the one two before it: as many branches as messages, numbered without paths; null turns come first."""
+    talk = [(1, None, "a", "an early one")] + [(1, i, "a", f"> m{i - 2}\nm{i}" if i > 1 else f"m{i}") for i in range(300)]
+    out = {r.turn: r for r in quotes.reply_ordered(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(out) == 301 and out[None].position == 1
+    want = brute_order([quotes.parse(t) for *_, t in talk])
+    assert {(-1 if k is None else k) + 1: (r.position, r.branch) for k, r in out.items()} == {i: (p, b) for i, (p, _, b) in want.items()}
+
+
 def test_quotations_keep_every_message(spark):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet")
     out = quotes.reply_ordered(table).collect()
