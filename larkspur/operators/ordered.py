@@ -126,11 +126,6 @@ def prefix_sums(df: DataFrame, keys, order, sums: dict, max_rows: int | None = N
     return running(df, keys, order, sums, F.sum, lambda own, before: own + F.coalesce(before, F.lit(0)), max_rows, measured)
 
 
-def running_max(df: DataFrame, keys, order, value: str, alias="running_max", max_rows=None) -> DataFrame:
-    """Largest value so far per key, current row included; null before the first value. The order has to be total."""
-    return running(df, keys, order, {alias: F.col(value)}, F.max, F.greatest, max_rows)
-
-
 def running(df: DataFrame, keys, order, values: dict, total, plus, max_rows: int | None = None, measured: tuple[int, int] | None = None) -> DataFrame:
     """Running aggregates ``total`` of ``values``, current row included; ``plus`` puts a segment's own and the earlier segments' together. The order has to be total."""
     keys = list(keys)
