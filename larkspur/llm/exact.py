@@ -72,6 +72,10 @@ class ContentTable:
                     slot = (slot + 1) & mask
                 self.slots[slot] = i
 
+    def find(self, hashed: int, content: bytes) -> list | None:
+        entry = self.slots[self.place(hashed, content)]
+        return self.members[entry] if entry >= 0 else None
+
     def __iter__(self) -> Iterator[tuple[bytes, list]]:
         return zip(self.contents, self.members)
 
@@ -128,24 +132,61 @@ def _read(file) -> Iterator[tuple[int, bytes, list]]:
         yield int.from_bytes(head[:16], "little"), content, list(batched(numbers, width))
 
 
+def _one_by_one(records: Iterable[tuple[int, bytes, tuple]], limit: int, files: int = FILES, level: int = 0) -> Iterator[tuple]:
+    """What ``_local`` gives out: rows as they come, and each distinct text once at the end, with the row that stays and the number of copies.
+
+    A record's member is (0, has id, id, row, 0, 0), or what is known of a text whose rows are out already: (1, has id, id, row, uid, copies). The table holds
+    that much a text, whatever the number of its copies.
+    """
+    table, spilled = ContentTable(), []
+    last = (level + 1) * BITS >= HASH_BITS // 2
+    try:
+        for h, content, member in records:
+            if spilled:
+                _spill(spilled, level, h, content, [member])
+                continue
+            known, has, id, row, uid, copies = member
+            entry = table.find(h, content)
+            if entry is None:
+                entry = [[1, has, id, row, uid if known else row, 0], hashlib.sha256(content).hexdigest()]
+                table.add(h, content, entry)
+            held, digest = entry
+            if not known:
+                yield id if has else None, row, held[4], digest, None, None, None, None, None
+            held[1:4] = max(held[1:4], [has, id, row])
+            held[5] += copies if known else 1
+            if table.bytes > limit and not last and len(table.contents) > 1:
+                spilled = [tempfile.TemporaryFile(buffering=1 << 16) for _ in range(files)]
+                for k, text, (summary, _) in table.entries():
+                    _spill(spilled, level, k, text, [tuple(summary)])
+                table = ContentTable()
+        for content, ((_, has, id, row, uid, copies), digest) in table:
+            yield None, None, uid, digest, content.decode(), bool(has), id, row, copies
+        for i, file in enumerate(spilled):
+            file.seek(0)
+            yield from _one_by_one(((h, content, members[0]) for h, content, members in _read(file)), limit, files, level + 1)
+            file.close()
+            spilled[i] = None
+    finally:
+        for file in spilled:
+            if file is not None:
+                file.close()
+
+
 def _local(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document; the first of each distinct text of the task carries the text and what is to be known of its copies."""
+    """A row for each document, and one for each distinct text of the task, with the text and what is to be known of its copies."""
     number = count(TaskContext.get().partitionId() << 33)
 
     def records():
         for batch in batches:
             for id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield (text or "").encode().translate(LOWER), (id is not None, id or 0, next(number))
+                content = (text or "").encode().translate(LOWER)
+                yield xxhash.xxh3_128_intdigest(content), content, (0, int(id is not None), id or 0, next(number), 0, 0)
 
     rows, size = [], 0
-    for content, members in groups(hashed(records()), limit):
-        digest = hashlib.sha256(content).hexdigest()
-        (has, *last), uid = max(members), members[0][2]
-        top = (bool(has), *last)
-        for i, (has, id, row) in enumerate(members):
-            own = (content.decode(), *top, len(members)) if i == 0 else (None,) * 5
-            rows.append((id if has else None, row, uid, digest, *own))
-        size += len(content) + 200 * len(members)
+    for row in _one_by_one(records(), limit):
+        rows.append(row)
+        size += 200 + len(row[4] or "")
         if size > 8 << 20:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), LOCAL)], schema=LOCAL)
             rows, size = [], 0
@@ -199,6 +240,6 @@ def deduplicate(df: DataFrame, id: str = "doc_id", text: str = "text", limit: in
     )
     texts = local.where("content IS NOT NULL").select("content", "has", "id", "last", "copies", "uid")
     merged = texts.repartition(F.xxhash64("content")).mapInArrow(partial(_merged, limit=limit), "uid long, keep_id long, keep_row long, group_size long")
-    return local.select("doc_id", "row", "uid", "text_sha256").join(merged, "uid").select(
+    return local.where("content IS NULL").select("doc_id", "row", "uid", "text_sha256").join(merged, "uid").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"
     )

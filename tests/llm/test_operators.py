@@ -310,6 +310,46 @@ def test_exact_dedup_odd_rows(odd, empty):
     assert exact.deduplicate(empty).count() == 0
 
 
+@pytest.mark.parametrize("limit", [exact.TABLE_BYTES, 3_000, 300])
+def test_copies_take_no_memory(limit):
+    """Rows come out as they are read, before the next is asked for; a text's copies are one entry, also after spilling."""
+    rng = random.Random(1)
+    texts = [f"text {i}" * 10 for i in range(40)] + ["hot"]
+    read, seen, out = [], collections.defaultdict(list), []
+
+    def records():
+        for row in range(60_000):
+            text = "hot" if row % 3 else rng.choice(texts)
+            seen[text].append((int(row % 5 > 0), (row * 7919) % 1000 if row % 5 else 0, row))
+            read.append(row)
+            yield exact.xxhash.xxh3_128_intdigest(text.encode()), text.encode(), (0, *seen[text][-1], 0, 0)
+
+    waiting = 0
+    for made in exact._one_by_one(records(), limit):
+        out.append(made)
+        waiting = max(waiting, len(read) - len(out))
+    rows = [r for r in out if r[4] is None]
+    known = {r[4]: r for r in out if r[4] is not None}
+    assert len(rows) == 60_000 and sorted(r[1] for r in rows) == list(range(60_000))
+    assert {t: (int(k[5]), k[6], k[7], k[8]) for t, k in known.items()} == {t: (*max(v), len(v)) for t, v in seen.items()}
+    uids = collections.defaultdict(set)
+    for r in rows:
+        uids[r[3]].add(r[2])
+    assert all(uids[k[3]] == {k[2]} for k in known.values()) and len({k[2] for k in known.values()}) == len(known)
+    assert limit < 5_000 or waiting <= 1
+
+
+def test_a_million_copies_stay_below_the_limit():
+    import tracemalloc
+
+    records = ((k, b"one" if k else b"two", (0, 1, i, i, 0, 0)) for i in range(1_000_000) for k in (i % 2,))
+    tracemalloc.start()
+    rows = sum(1 for _ in exact._one_by_one(records, 1 << 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1_000_002 and peak < 1 << 20
+
+
 def test_open_addressing_compares_content():
     table = exact.ContentTable(4)
     for i in range(200):
