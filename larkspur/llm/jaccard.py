@@ -3,7 +3,8 @@
 A document of n shingles that asks for k matches takes the first
 ``n - least(n) + k`` of them, rarest first; two linked documents share at least
 min(k, k') of the tokens that both prefixes hold at that depth. Longer prefixes
-cost more postings but let fewer pairs through. Each document picks its k by
+cost more postings but let fewer pairs through: how many fewer is measured on the
+members of a sample of posting lists, by the length of the list. Each document picks its k by
 estimated cost: the postings its prefix would meet, and the verifications of
 the sets that share k of its tokens.
 """
@@ -22,13 +23,14 @@ from larkspur.llm import arrays, graph, setjoin
 from larkspur.llm.setjoin import Rule
 from larkspur.session import cut
 
-#: Match counts a document may choose from.
-DEPTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
+#: Match counts a document may choose from; the first is 1.
+DEPTHS = (1, 2, 3, 4, 6, 8)
 #: What a met posting costs, which is joined, moved and counted; in shingles compared.
 POSTING_COST = 4
+#: Postings of the lists that overlaps are measured on, about, and members taken from a list. Only the choice of depths depends on them, no link does.
+SAMPLED_POSTINGS, SAMPLED_MEMBERS = 8_192, 8
 
-
-POSTING = {"t": "long", "v": "long", "n": "long", "level": "int", "depth": "int", "place": "long", "centre": "double"}
+POSTING = {"t": "long", "v": "long", "n": "long", "level": "int", "place": "long", "df": "long", "centre": "double"}
 
 
 def _measure(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -40,10 +42,10 @@ def _measure(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(k1), pa.array(k2), pa.array(np.diff(bounds))], ["doc_id", "k1", "k2", "n"])
 
 
-def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Postings (t, v, n, level, depth, place, centre).
+def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule, deepest: int) -> Iterator[pa.RecordBatch]:
+    """Postings (t, v, n, level, place, df, centre) of the prefixes that ask for ``deepest`` matches.
 
-    Level is the smallest k whose prefix holds the token. Centre is the mean log of the set's token counts: of a group of near copies, the
+    Level is the smallest k whose prefix holds the token, df the number of sets that have it. Centre is the mean log of the set's token counts: of a group of near copies, the
     text that the others were made from has no tokens of its own and comes first.
     """
     for batch in setjoin.runs(batches):
@@ -56,30 +58,45 @@ def _prefixes(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
             own, tokens = df[bounds[i] : bounds[i + 1]], t[bounds[i] : bounds[i + 1]]
             place = size - len(own) + np.arange(len(own))  # after the tokens no other set has
             level = np.maximum(1, place - (size - rule.least(size)) + 1)
-            met = np.append(0, np.cumsum(own - 1))
-            reach = [int(np.searchsorted(level, k, "right")) for k in DEPTHS]
-            cost = [met[r] * POSTING_COST + size * _candidates(own[:r] - 1, k) for k, r in zip(DEPTHS, reach)]
-            ks = [j for j, k in enumerate(DEPTHS) if k <= rule.least(size)]
-            best = min(ks, key=lambda j: (cost[j], j))
-            r = reach[best]
-            out.append((tokens[:r], level[:r], np.full(r, v[i].as_py()), np.full(r, size), np.full(r, DEPTHS[best]), place[:r], np.full(r, np.log2(own).sum() / size)))
+            r = int(np.searchsorted(level, deepest, "right"))
+            out.append((tokens[:r], np.full(r, v[i].as_py()), np.full(r, size), level[:r], place[:r], own[:r], np.full(r, np.log2(own).sum() / size)))
         if out:
-            t_, level, v_, n_, depth, place, centre = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(t_), pa.array(v_), pa.array(n_), pa.array(level.astype(np.int32)), pa.array(depth.astype(np.int32)), pa.array(place), pa.array(centre)], list(POSTING))
+            t_, v_, n_, level, place, df_, centre = (np.concatenate(x) for x in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t_, v_, n_, level.astype(np.int32), place, df_, centre)], list(POSTING))
+
+
+def _overlaps(postings: DataFrame, depths: tuple[int, ...]) -> DataFrame:
+    """(size, hits, s1, s2, ...) by the log of a list's length: of pairs of members of one list, the mean number of tokens that both first prefixes share, and the part
+    that shares as many tokens as each depth asks for."""
+    every = max(1, postings.count() // SAMPLED_POSTINGS)
+    taken = (F.col("level") == 1) & (F.pmod(F.xxhash64("t"), F.lit(every)) == 0) & (F.pmod(F.xxhash64("v", "t"), F.col("df")) < SAMPLED_MEMBERS)
+    members = postings.where(taken).select("t", "v", F.floor(F.log2("df")).cast("int").alias("size"))
+    pairs = cut(members.join(members.select("t", F.col("v").alias("w")), "t").where("v < w").select("v", "w", "size").distinct())
+    own = postings.select("v", "t", "level")
+    shared = pairs.join(own, "v").join(own.select(F.col("v").alias("w"), "t", F.col("level").alias("w_level")), ["w", "t"])
+    counts = shared.groupBy("v", "w", "size").agg(*[F.count_if((F.col("level") <= k) & (F.col("w_level") <= k)).alias(f"h{k}") for k in depths])
+    return counts.groupBy("size").agg(F.avg("h1").alias("hits"), *[F.avg((F.col(f"h{k}") >= k).cast("double")).alias(f"s{k}") for k in depths])
 
 
-def _candidates(others: np.ndarray, k: int) -> float:
-    """Estimated number of sets that share k tokens or more, from the tokens' counts.
+def chosen(postings: DataFrame, rule: Rule, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
+    """``postings`` with the depth their set asks for, without those that are deeper.
 
-    At most the k-th largest count if the lists hold the same sets, and never more than all counts over k.
+    A depth costs the postings that its prefix meets and the sets that are expected to share so many tokens: the first prefix's postings over the hits that a
+    partner takes, times the part of such partners that the sample found to share as many. List lengths that the sample doesn't have count as if no partner went.
     """
-    if len(others) < k:
-        return 0.0
-    return min(float(np.partition(others, len(others) - k)[len(others) - k]), float(others.sum()) / k)
+    seen = F.broadcast(_overlaps(postings, depths))  # a row per log of a length, 64 at most
+    rows = postings.withColumn("size", F.floor(F.log2("df")).cast("int")).join(seen, "size", "left")
+    others = F.col("df") - 1
+    met = [F.sum(F.when(F.col("level") <= k, others).otherwise(0)).alias(f"m{k}") for k in depths]
+    partners = [F.sum(F.when(F.col("level") == 1, others * F.coalesce(f"s{k}", F.lit(1.0)) / F.greatest(F.coalesce("hits", F.lit(1.0)), F.lit(1.0))).otherwise(0)).alias(f"p{k}") for k in depths]
+    costs = [F.when((F.lit(100 * k) <= F.col("n") * rule.percent), F.struct((F.col(f"m{k}") * POSTING_COST + F.col("n") * F.col(f"p{k}")).alias("cost"), F.lit(k).alias("k"))) for k in depths]
+    best = F.array_min(F.array_compact(F.array(*costs)))["k"]
+    deeper = rows.groupBy("v", "n").agg(*met, *partners).select("v", F.coalesce(best, F.lit(1)).alias("depth")).where("depth > 1")
+    return postings.join(deeper, "v", "left").withColumn("depth", F.coalesce("depth", F.lit(1))).where("level <= depth")
 
 
 def _enough(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Of joined postings (v, w and their levels, depths), the pairs with the matches their depths ask for."""
+    """Of joined postings (v, w and their levels, depths), the pairs with the matches their depths ask for; a pair may be met in both orders."""
     k = F.least("depth", "w_depth")
     hit = (F.col("level") <= k) & (F.col("w_level") <= k)
     counted = pairs.groupBy("v", "w").agg(F.sum(hit.cast("int")).alias("hits"), F.first(k).alias("k"))
@@ -98,7 +115,7 @@ def _renamed(postings: DataFrame, *more: str) -> DataFrame:
     return postings.select("t", *(F.col(c).alias(c if c == "v" else f"w_{c}") for c in ("n", "level", "depth", "place", *more)), F.col("v").alias("w"))
 
 
-def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
+def _links(sets: DataFrame, rule: Rule, rounds: int = 2, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
     """Enough links (v, w) among ``sets`` to connect all that are connected.
 
     In the first rounds every set is compared with one candidate only: of the
@@ -108,8 +125,9 @@ def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
     link between two groups is lost.
     """
     postings = cut(
-        setjoin.rarity(sets).mapInArrow(partial(_prefixes, rule=rule), ", ".join(f"{c} {k}" for c, k in POSTING.items()))
+        setjoin.rarity(sets).mapInArrow(partial(_prefixes, rule=rule, deepest=depths[-1]), ", ".join(f"{c} {k}" for c, k in POSTING.items()))
     )
+    postings = cut(chosen(postings, rule, depths).drop("df"))
     links, root = None, None
     for number in range(rounds + 1):
         labelled = postings.withColumn("root", F.col("v"))
@@ -130,7 +148,8 @@ def _links(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
             met = listed.where("root <> most").join(other, "t").where(
                 (F.col("root") != F.col("w_root")) & ((F.col("w_root") == F.col("w_most")) | (F.col("v") < F.col("w"))) & _may_link(rule)
             )
-            pairs = _enough(met, rule)
+            # one token may put a pair in one order and the next in the other
+            pairs = _enough(met.withColumns({"v": F.least("v", "w"), "w": F.greatest("v", "w")}), rule)
         found = setjoin.linked(pairs, sets, rule)
         links = cut(found if links is None else links.unionByName(found))
         root = graph.components(links.select(F.col("v").alias("a"), F.col("w").alias("b")))

@@ -442,6 +442,57 @@ def test_jaccard_components_against_brute_force(spark, seed):
     assert got == {i: (len(s), root(i)) for i, s in sets.items()}
 
 
+def few_shared(n, words, size=150):
+    """Texts that share some shingles with very many others each, and near copies of a few of them."""
+    rng = random.Random(n)
+    texts = [[rng.randrange(words) for _ in range(size)] for _ in range(n)]
+    texts += [[*t[:60], 99, *t[60:]] for t in texts[:20]]
+    return [(i, " ".join(f"w{x}" for x in t)) for i, t in enumerate(texts)]
+
+
+def sets_of(spark, data, rule=jaccard.Rule()):
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    rows = [(i, len(s), sorted(hash(x) for x in s)) for i, s in ((i, shingle_set(t)) for i, t in data)]
+    return df, spark.createDataFrame(rows, "v long, n long, tokens array<long>")
+
+
+def test_depths_are_chosen_by_measured_overlaps(spark, monkeypatch):
+    """Lists whose members share one token ask for longer prefixes, lists of near copies don't; fewer pairs are verified and no link is lost."""
+    data = few_shared(400, 7)
+    _, sets = sets_of(spark, data)
+    sets = jaccard.cut(sets)
+    verified, linked = [], setjoin.linked
+    monkeypatch.setattr(setjoin, "linked", lambda pairs, *more: verified.append(pairs.count()) or linked(pairs, *more))
+    roots = {}
+    for depths in (jaccard.DEPTHS, (1,)):
+        roots[depths] = sorted(map(tuple, jaccard._links(sets, jaccard.Rule(), depths=depths).collect()))
+        verified.append(None)
+    deep, plain = verified[:3], verified[4:7]
+    assert roots[jaccard.DEPTHS] == roots[(1,)] == [(400 + i, i) for i in range(20)]
+    assert sum(deep) < sum(plain) / 10 and plain[2] > 1000
+    rare = setjoin.rarity(sets).mapInArrow(jaccard.partial(jaccard._prefixes, rule=jaccard.Rule(), deepest=8), ", ".join(f"{c} {k}" for c, k in jaccard.POSTING.items()))
+    depths = collections.Counter(r.depth for r in jaccard.chosen(jaccard.cut(rare), jaccard.Rule()).select("v", "depth").distinct().collect())
+    assert sum(n for k, n in depths.items() if k > 1) > 100
+
+
+@pytest.mark.parametrize("seed", [1, 2, 5])
+def test_links_at_every_depth(spark, monkeypatch, seed):
+    """Whatever depths sets ask for, also unlike ones, the components are those of brute force."""
+    data = near_copies(seed)
+    sets = {i: shingle_set(t) for i, t in data}
+    want = {i: i for i in sets}
+    for a, b in combinations(sets, 2):
+        if similar(sets[a], sets[b]) and want[a] != want[b]:
+            low, high = sorted((want[a], want[b]))
+            want = {i: low if r == high else r for i, r in want.items()}
+    forced = lambda postings, rule, depths: postings.withColumn(
+        "depth", F.least(F.pmod(F.xxhash64("v"), F.lit(4)) * 2 + 1, F.ceil(F.col("n") * 0.75)).cast("int")
+    ).where("level <= depth")
+    monkeypatch.setattr(jaccard, "chosen", forced)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_jaccard_odd_rows(odd, empty):
     out = jaccard.near_duplicates(odd).collect()
     assert len(out) == odd.count()
