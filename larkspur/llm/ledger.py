@@ -18,10 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm import arrays
+from larkspur.llm.rowkeys import sieve
 from larkspur.session import cut
 
-#: Rows of 64 bits in each of the two filters that are broadcast: 4 MB at most.
-FILTER_SLOTS = 1 << 18
 #: A blob with more than this part of all places has its places spread over several tasks.
 HOT_PART = 1_000
 
@@ -91,17 +90,6 @@ def _bits(rules: tuple[Rule, ...], names: str) -> Column:
     return sum(seen[1:], seen[0])
 
 
-def _sieve(rows: DataFrame, blobs: DataFrame, alias: str) -> DataFrame:
-    """Adds ``alias``: whether the row's blob may be one of ``blobs``; false is certain. The table that is broadcast is of bounded size."""
-    hashed = F.xxhash64("blob")
-    bit = F.expr("CAST(shiftright(xxhash64(blob), 32) & 63 AS INT)")
-    own = blobs.select(F.pmod(hashed, F.lit(FILTER_SLOTS)).alias("_slot"), bit.alias("_bit"))
-    bits = own.groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
-    joined = rows.withColumns({"_slot": F.pmod(hashed, F.lit(FILTER_SLOTS)), "_bit": bit}).join(F.broadcast(bits), "_slot", "left")
-    hit = F.coalesce(F.expr("shiftright(_bits, _bit) & 1 = 1"), F.lit(False))
-    return joined.withColumn(alias, hit).drop("_slot", "_bit", "_bits")
-
-
 def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row (id, blob, spans) per row of ``versions``, after the ledger has been brought up to date.
 
@@ -126,7 +114,7 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, id:
     todo = blobs.where(F.col("seen") != every)
 
     # nobody else has it and the ledger doesn't know it: no join can tell more
-    marked = _sieve(_sieve(docs.select("blob", "text"), todo, "asked"), blobs.where("n > 1 OR seen > 0"), "shared").where("asked")
+    marked = sieve(sieve(docs.select("blob", "text"), todo, F.xxhash64("blob"), "asked"), blobs.where("n > 1 OR seen > 0"), F.xxhash64("blob"), "shared").where("asked")
     alone = marked.where("NOT shared").select("blob", F.lit(every).cast("long").alias("todo"), "text")
     several = marked.where("shared").join(todo.select("blob", (F.lit(every) - F.col("seen")).alias("todo")), "blob").dropDuplicates(["blob"]).select("blob", "todo", "text")
     kinds = "blob binary, todo long, findings array<struct<rule:string,start:int,end:int>>"

@@ -24,6 +24,8 @@ from larkspur.session import cut
 
 #: Posted tokens that one screening task should hold.
 BUCKET_TOKENS = 6_000_000
+#: Tokens that one entry of a posted row counts.
+MOST = (1 << 16) - 1
 #: Rows of 64 bits in the key filter that is broadcast: 4 MB at most.
 FILTER_SLOTS = 1 << 18
 
@@ -66,7 +68,8 @@ def _post(batches: Iterable[pa.RecordBatch], units: Units, rule: Rule, buckets:
     """One row for each piece of text and bucket: the prefixes' tokens that hash there.
 
     A token that two units of the piece share is counted here and posted once
-    for all of them, with weight two; so a token is posted once a piece at most.
+    for all of them, with weight two; so a token is posted once a piece at most. Units go by one of their keys, 8 bytes with 2 for the count: two that have it
+    in common would only be counted together, and pass the screen the sooner.
     """
     for batch in batches:
         for piece in arrays.pieces(batch, 0):
@@ -94,14 +97,20 @@ def _post(batches: Iterable[pa.RecordBatch], units: Units, rule: Rule, buckets:
             token, unit, bucket = token[order].astype(np.uint32), unit[order], bucket[order]
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
-            pair = np.stack([np.append(k1, 0), np.append(k2, 0)], axis=1)
+            key = np.append(k1, 0)
+            # one row for each unit in a bucket, or several if it has more tokens there than two bytes count
+            new = np.append(True, (unit[1:] != unit[:-1]) | (bucket[1:] != bucket[:-1])) if len(unit) else np.zeros(0, bool)
+            heads = np.flatnonzero(new)
+            heads = np.sort(np.concatenate([heads, *(np.arange(h + MOST, e, MOST) for h, e in zip(heads, np.append(heads[1:], len(unit))) if e - h > MOST)]).astype(np.int64)) if len(heads) else heads
+            counts, own = np.diff(np.append(heads, len(unit))), unit[heads]
+            at = np.searchsorted(heads, cuts)
             for b in np.flatnonzero(np.diff(cuts)):
-                own, counts = np.unique(unit[cuts[b] : cuts[b + 1]], return_counts=True)
-                anonymous = int(counts[-1]) if own[-1] == len(n) else 0
-                rows.append((int(b), pair[own].tobytes(), counts.astype(np.int32).tobytes(), token[cuts[b] : cuts[b + 1]].tobytes(), anonymous))
+                mine = slice(at[b], at[b + 1])
+                anonymous = int(counts[mine][own[mine] == len(n)].sum())
+                rows.append((int(b), key[own[mine]].tobytes(), counts[mine].astype(np.uint16).tobytes(), token[cuts[b] : cuts[b + 1]].tobytes(), anonymous))
             some = np.flatnonzero(local)
             if len(some):
-                rows.append((int(k1[0] % buckets), pair[some].tobytes(), local[some].astype(np.int32).tobytes(), b"", -1))
+                rows.append((int(k1[0] % buckets), key[some].tobytes(), local[some].astype(np.int64).tobytes(), b"", -1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
                 ["bucket", "units", "counts", "tokens", "anonymous"],
@@ -118,8 +127,8 @@ def _match(rows: pd.DataFrame) -> pd.DataFrame:
     out = []
     if len(posts):
         token = np.frombuffer(b"".join(posts["tokens"]), dtype=np.uint32)
-        counts = np.frombuffer(b"".join(posts["counts"]), dtype=np.int32)
-        pair = np.frombuffer(b"".join(posts["units"]), dtype=np.int64).reshape(-1, 2)
+        counts = np.frombuffer(b"".join(posts["counts"]), dtype=np.uint16).astype(np.int64)
+        key = np.frombuffer(b"".join(posts["units"]), dtype=np.int64)
         ends = np.cumsum([len(t) // 4 for t in posts["tokens"]])
         weight = np.ones(len(token), dtype=np.int8)
         for end, anonymous in zip(ends, posts["anonymous"]):
@@ -130,12 +139,12 @@ def _match(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.add.reduceat(weight[order].astype(np.int64), edge)
         shared = np.zeros(len(token), dtype=np.int64)
         shared[order] = np.repeat(total > 1, np.diff(np.append(edge, len(token))))
-        out.append((pair, arrays.segment_sums(shared, np.append(0, np.cumsum(counts)))))
+        out.append((key, arrays.segment_sums(shared, np.append(0, np.cumsum(counts)))))
     if len(counted):
-        out.append((np.frombuffer(b"".join(counted["units"]), dtype=np.int64).reshape(-1, 2), np.frombuffer(b"".join(counted["counts"]), dtype=np.int32)))
-    pair, shared = np.concatenate([p for p, _ in out]), np.concatenate([s for _, s in out])
-    some = (shared > 0) & (pair != 0).any(axis=1)
-    return pd.DataFrame({"k1": pair[some, 0], "k2": pair[some, 1], "shared": shared[some].astype(np.int64)})
+        out.append((np.frombuffer(b"".join(counted["units"]), dtype=np.int64), np.frombuffer(b"".join(counted["counts"]), dtype=np.int64)))
+    key, shared = np.concatenate([k for k, _ in out]), np.concatenate([s.astype(np.int64) for _, s in out])
+    some = (shared > 0) & (key != 0)
+    return pd.DataFrame({"k1": key[some], "shared": shared[some]})
 
 
 def screen(df: DataFrame, text: str, classes: DataFrame, units: Units, rule: Rule) -> DataFrame:
@@ -151,12 +160,12 @@ def screen(df: DataFrame, text: str, classes: DataFrame, units: Units, rule: Rul
     counts = (
         text_only(df, text)
         .mapInArrow(post, "bucket int, units binary, counts binary, tokens binary, anonymous int")
-        .groupBy("bucket").applyInPandas(_match, "k1 long, k2 long, shared long")
-        .groupBy("k1", "k2").agg(F.sum("shared").alias("shared"))
+        .groupBy("bucket").applyInPandas(_match, "k1 long, shared long")
+        .groupBy("k1").agg(F.sum("shared").alias("shared"))
     )
     # a partner may be as small as least(n), and then fewer matches are demanded of it
     need = F.ceil(F.ceil(F.col("n") * rule.percent / 100) / 8)
-    return classes.join(counts, ["k1", "k2"]).where((F.col("shared") >= need) & (F.col("n") > 0)).drop("shared")
+    return classes.join(counts, "k1").where((F.col("shared") >= need) & (F.col("n") > 0)).drop("shared")
 
 
 def _content(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:

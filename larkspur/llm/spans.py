@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm import arrays
+from larkspur.llm.rowkeys import apart, keyed, same_row, sieve
 from larkspur.session import cut
 
 #: Words from which a sentence is a span of its own.
@@ -109,19 +110,13 @@ def _strip(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_w
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(out, pa.string())], ["doc_id", "n_sentences", "n_removed", "text"])
 
 
-def _rows(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc_id, row, text); rows with one id are told apart by a hash of their text."""
-    told = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return df.select(F.col(f"`{id}`").alias("doc_id"), F.xxhash64(told).alias("row"), told.alias("text"))
-
-
 def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
     """(doc_id, row, at, n) of every span of n sentences whose words stand at an earlier place (doc_id, row, at) too; ``row`` is the xxhash64 of the text.
 
     Equal rows with one id have the same places. Places of a span that very many texts share are dealt to several tasks.
     """
     kind = df.schema[id].dataType.simpleString()
-    spans = cut(_rows(df, id, text).mapInArrow(partial(_spans, run=run, least_words=least_words, long_words=long_words), f"doc_id {kind}, row long, at int, n int, k1 long, k2 long"))
+    spans = cut(keyed(df, id, text).mapInArrow(partial(_spans, run=run, least_words=least_words, long_words=long_words), f"doc_id {kind}, row long, at int, n int, k1 long, k2 long"))
     place = F.struct("doc_id", "row", "at")
     first = cut(spans.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1"))
     total = spans.count()
@@ -147,21 +142,13 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", run: i
     how = {"run": run, "least_words": least_words, "long_words": long_words}
     kind = df.schema[id].dataType.simpleString()
     spans = repeated_spans(df, id, text, **how).distinct()
-    found = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "n")).alias("found"))  # three times as many as a text has sentences at most
-    docs = _rows(df, id, text)
-    again = cut(docs.groupBy("doc_id", "row").count().where("count > 1").drop("count"))
-    copies = None
-    if not again.isEmpty():
-        key = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
-        known = again.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
-        equal = cut(docs.join(known, key, "left_semi").withColumn("_at", F.monotonically_increasing_id()))
-        first = equal.groupBy("doc_id", "row").agg(F.min("_at").alias("_at")).select("_at")
-        # a further copy has no span that isn't in the first
-        copies = equal.join(first, "_at", "left_anti").select("doc_id", "text", F.lit(None).cast("array<struct<at:int,n:int>>").alias("found"))
-        docs = docs.join(known, key, "left_anti").unionByName(equal.join(first, "_at", "left_semi").drop("_at"))
-    key = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
-    joined = docs.join(found.withColumnsRenamed({"doc_id": "of", "row": "of_row"}), key, "left")
-    rows = joined.select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<at:int,n:int>>")).alias("found"))
-    if copies is not None:
-        rows = rows.unionByName(copies)
+    found = cut(spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "n")).alias("found")))  # three times as many as a text has sentences at most
+    docs, copies = apart(keyed(df, id, text))
+    # only texts that may lose something are joined
+    marked = sieve(docs, found, F.xxhash64("doc_id", "row"), "asked")
+    joined = marked.where("asked").join(found.withColumnsRenamed({"doc_id": "of", "row": "of_row"}), same_row(), "left")
+    none = F.array().cast("array<struct<at:int,n:int>>")
+    rows = joined.select("doc_id", "text", F.coalesce("found", none).alias("found")).unionByName(marked.where("NOT asked").select("doc_id", "text", none.alias("found")))
+    if copies is not None:  # a further copy has no span that isn't in the first
+        rows = rows.unionByName(copies.select("doc_id", "text", F.lit(None).cast("array<struct<at:int,n:int>>").alias("found")))
     return rows.mapInArrow(partial(_strip, **how), f"doc_id {kind}, n_sentences int, n_removed int, text string")

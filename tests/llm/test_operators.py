@@ -526,6 +526,21 @@ def test_lines_against_brute_force(spark):
         assert result[i].text == "\n".join(kept) and result[i].n_removed == sum(expected[(i, n)] for n in range(result[i].n_lines))
 
 
+def test_no_line_is_lost_by_a_shared_id(spark):
+    a, b, c = ("\n".join(f"{x} line {i} of words that nobody else has in this order {x}{i}" for i in range(2)) for x in "abc")
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, c), (None, "lone words\n\n"), (None, "lone words\n\n"), (None, "quite other words\nof which nobody knows")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted((repr(r.doc_id), r.n_removed, r.text) for r in lines.without_repeats(df).collect())
+    texts = collections.defaultdict(list)
+    for i, n, text in out:
+        texts[i].append((n, text))
+    assert texts["1"] == [(0, a)] and texts["7"] == [(0, b), (2, "")] and texts["8"] == [(0, c), (2, "")]
+    assert (0, "lone words\n\n") in texts["None"] and (1, "\n") in texts["None"]
+    flags = collections.Counter((r.doc_id, r.removed) for r in lines.line_flags(df).collect())
+    assert flags[8, True] == 2 and flags[8, False] == 2 and sum(flags.values()) == 18
+    assert sum(n for (_, removed), n in flags.items() if removed) == sum(n for _, n, _ in out)
+
+
 def test_lines_odd_rows(odd, empty):
     out = lines.without_repeats(odd).collect()
     assert len(out) == odd.count()
@@ -710,6 +725,34 @@ def test_screening_in_many_buckets(spark, monkeypatch):
     assert all(out[a] == out[b] for a, b in combinations(sets, 2) if similar(sets[a], sets[b]))
 
 
+@pytest.mark.parametrize("most,buckets", [(3, 1), (3, 4), (1, 2), (1 << 16, 1), (1 << 16, 50)])
+def test_screening_counts_every_token(monkeypatch, most, buckets):
+    """What each unit of several pieces shares with others, counted in buckets and in entries of few tokens."""
+    monkeypatch.setattr(setjoin, "MOST", most)
+    rng = random.Random(4)
+    pool = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randint(0, 40))) for _ in range(25)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([rng.choice(pool) if rng.random() < 0.7 else None for _ in range(9)], pa.string())], ["text"]) for _ in range(4)]
+    rule = setjoin.Rule()
+    rows = [r for b in setjoin._post(iter(batches), setjoin.whole, rule, buckets) for r in b.to_pylist()]
+    got = collections.Counter()
+    for bucket in {r["bucket"] for r in rows}:
+        found = setjoin._match(setjoin.pd.DataFrame([r for r in rows if r["bucket"] == bucket]))
+        for k, n in zip(found["k1"], found["shared"]):
+            got[k] += n
+    holders, prefix = collections.Counter(), collections.defaultdict(list)
+    for i, b in enumerate(batches):
+        of = arrays.words(*setjoin.whole(b.column(0)), arrays.NOT_SPACE)
+        k1, _ = arrays.keys(of)
+        values, bounds = arrays.shingles(of, rule.size)
+        for u in {int(k): u for u, k in reversed(list(enumerate(k1)))}.values():  # copies in a piece are one unit
+            n = int(bounds[u + 1] - bounds[u])
+            own = values[bounds[u] : bounds[u + 1]][: n - rule.least(n) + rule.levels(n)].tolist() if n else []
+            prefix[int(k1[u])].append(own)
+            holders.update(own)
+    want = {k: sum(holders[t] > 1 for own in lists for t in own) for k, lists in prefix.items()}
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n} and sum(want.values()) > 50
+
+
 @pytest.mark.parametrize("step", [1, 2, 3, 7, 100])
 def test_runs_join_sets_over_batches(step):
     """Sets of one row, of several batches and of exactly a batch come out whole, in order, once."""
