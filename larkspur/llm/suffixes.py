@@ -30,14 +30,55 @@ MATCH = "array<struct<item_id:string,doc_start:int,item_start:int,length:int>>"
 MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())]))
 
 
-class Items(NamedTuple):
-    """Test items of one block: ids, word hashes one after another, bounds."""
-
-    ids: list[str]
-    words: np.ndarray
+class Windows(NamedTuple):
+    """The windows of one width: codes of their items' words or word pairs, one after another, and where windows start among them."""
+
+    width: int
+    gram: int  # words that a code stands for
+    grams: np.ndarray  # the known pairs, sorted
+    codes: np.ndarray
+    starts: np.ndarray
+    numbers: np.ndarray  # items whose words these are
     bounds: np.ndarray
 
 
+class Items:
+    """Test items of one block: ids, word hashes one after another, bounds. What searching needs of them is worked out once a worker."""
+
+    def __init__(self, ids: list[str], words: np.ndarray, bounds: np.ndarray):
+        self.ids, self.words, self.bounds = ids, words, bounds
+        self._known: dict[int, tuple[np.ndarray, list[Windows]]] = {}
+
+    def __getstate__(self):
+        return self.ids, self.words, self.bounds
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def windows(self, window: int) -> tuple[np.ndarray, list[Windows]]:
+        """The items' vocabulary, and their windows by width."""
+        if window not in self._known:
+            vocabulary, lengths, out = np.unique(self.words), np.diff(self.bounds), []
+            for width in sorted({min(int(n), window) for n in lengths if n}):
+                numbers = np.flatnonzero(lengths == width if width < window else lengths >= window)
+                size = lengths[numbers]
+                own = coded(vocabulary, self.words[np.repeat(self.bounds[numbers], size) + arrays.within(size)])
+                bounds = np.append(0, np.cumsum(size))
+                many = size - width + 1
+                starts = np.repeat(bounds[:-1], many) + arrays.within(many)
+                # in a match of two words or more every pair of neighbours is one of the items'
+                gram, grams, codes = 1, vocabulary[:0], own
+                if width > 1:
+                    gram, pair = 2, own[:-1] * (len(vocabulary) + 1) + own[1:]
+                    inside = np.ones(len(pair), dtype=bool)
+                    inside[bounds[1:-1] - 1] = False
+                    grams = np.unique(pair[inside])
+                    codes = np.append(np.where(inside, coded(grams, pair), 0), 0)
+                out.append(Windows(width, gram, grams, codes.astype(np.int32), starts, numbers, bounds))
+            self._known[window] = vocabulary, out
+        return self._known[window]
+
+
 def read_items(rows: list, ids: list[str]) -> Items:
     of = arrays.words(*arrays.utf8(pa.array(rows, pa.string())), arrays.ALNUM)
     return Items(ids, of.hashes, of.bounds)
@@ -90,23 +131,14 @@ def search(codes: np.ndarray, order: np.ndarray, queries: np.ndarray, right: boo
 
 def occurrences(words: np.ndarray, doc_of: np.ndarray, items: Items, window: int) -> Iterator[tuple]:
     """(width, places, item numbers, item offsets): where the items' windows stand among ``words``."""
-    lengths = np.diff(items.bounds)
-    vocabulary = np.unique(items.words)
-    own, theirs = coded(vocabulary, items.words), coded(vocabulary, words)
-    for width in sorted({min(int(n), window) for n in lengths if n}):
-        numbers = np.flatnonzero(lengths == width if width < window else lengths >= window)
-        starts = np.concatenate([np.arange(items.bounds[i], items.bounds[i + 1] - width + 1) for i in numbers])
-        # in a match of two words or more every pair of neighbours is one of the items'
-        gram = 2 if width > 1 else 1
+    vocabulary, known = items.windows(window)
+    theirs = coded(vocabulary, words)
+    for width, gram, grams, mine, starts, numbers, bounds in known:
         if gram == 2:
-            pair = own[:-1] * (len(vocabulary) + 1) + own[1:]
-            inside = (starts[:, None] + np.arange(width - 1)).ravel()
-            grams = np.unique(pair[inside])
-            mine = np.append(coded(grams, pair), 0)
             follows = (doc_of[1:] == doc_of[:-1]) & (theirs[1:] > 0) & (theirs[:-1] > 0)
             codes = np.append(np.where(follows, coded(grams, theirs[:-1] * (len(vocabulary) + 1) + theirs[1:]), 0), 0)[: len(words)]
         else:
-            mine, codes = own, theirs
+            codes = theirs
         depth = width - gram + 1
         # stretches of known grams that are long enough for a window
         live = np.flatnonzero(codes)
@@ -127,14 +159,16 @@ def occurrences(words: np.ndarray, doc_of: np.ndarray, items: Items, window: int
         back[slot] = live
         gaps = np.append(np.flatnonzero(text == 0), len(text))
         order = suffix_array(text, gaps[np.searchsorted(gaps, np.arange(len(text)))], depth)
-        # equal windows are searched once
+        # only windows all of whose codes the shard has, equal ones once
         present = np.zeros(int(max(mine.max(), text.max())) + 1, dtype=bool)
         present[text] = True
         present[0] = False
-        table = mine[starts[:, None] + np.arange(depth)]
-        starts_, table = starts[ok := present[table].all(axis=1)], table[ok]
-        if len(table) == 0:
+        starts_ = starts
+        for i in range(depth):
+            starts_ = starts_[present[mine[starts_ + i]]]
+        if len(starts_) == 0:
             continue
+        table = mine[starts_[:, None] + np.arange(depth)].astype(np.int64)
         unique, which = np.unique(table, axis=0, return_inverse=True)
         low, high = search(text, order, unique, False), search(text, order, unique, True)
         count = high - low
@@ -145,8 +179,8 @@ def occurrences(words: np.ndarray, doc_of: np.ndarray, items: Items, window: int
         edge = np.searchsorted(which[by], np.arange(len(unique) + 1))
         many = np.diff(edge)[window_at]
         source = starts_[by[np.repeat(edge[window_at], many) + arrays.within(many)]]
-        number = np.searchsorted(items.bounds, source, "right") - 1
-        yield width, np.repeat(place, many), number, source - items.bounds[number]
+        at = np.searchsorted(bounds, source, "right") - 1
+        yield width, np.repeat(place, many), numbers[at], source - bounds[at]
 
 
 def matches(of: arrays.Words, items: Items, window: int) -> tuple[np.ndarray, ...]:
@@ -201,7 +235,7 @@ def find_matches(
     Words are runs of digits, a-z (A-Z read as such) and characters outside ASCII. A window is ``window`` consecutive
     words of an item, or a whole item of fewer. ``matches`` lists the maximal verbatim matches (item_id as text,
     word places, length in words), n_hit counts the words inside them. Null and empty texts have no words; an
-    item without words has no window. An item without id is left out, or with ``unnamed`` found under a null item_id; repeated items and ids are found like any other.
+    item without words has no window. An item without id is left out, or with ``unnamed`` found under a null item_id; equal items are one, and items may share an id.
     Repeated rows are rows like any other, other columns are not read, and an empty table gives an empty one.
 
     The items are worked off in blocks of about ``block_bytes``, each a pass over the documents whose memory the
@@ -209,7 +243,7 @@ def find_matches(
     """
     spark = df.sparkSession
     items = items.select(F.col(f"`{item_id}`").cast("string").alias("item_id"), F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("text"))
-    items = items if unnamed else items.where("item_id IS NOT NULL")
+    items = (items if unnamed else items.where("item_id IS NOT NULL")).distinct()
     size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 16).alias("x")).first()["x"] or 0
     blocks = max(1, -(-size // block_bytes))
     kind = df.schema[id].dataType.simpleString()

@@ -234,6 +234,21 @@ def brute_matches(docs, items, window):
     return out
 
 
+def test_items_are_prepared_once(monkeypatch):
+    """A full block of items costs a shard little beyond its own text."""
+    import time
+
+    rng = np.random.default_rng(1)
+    items = suffixes.read_items([" ".join(f"w{x}" for x in rng.integers(0, 50_000, 200)) for _ in range(4_000)], list(map(str, range(4_000))))
+    shard = arrays.words(*arrays.utf8(pa.array([" ".join(f"w{x}" for x in rng.integers(0, 50_000, 2_000)) for _ in range(100)] + ["a b"], pa.string())), arrays.ALNUM)
+    suffixes.matches(shard, items, 10)
+    sorted_, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, *more, **kw: sorted_.append(len(x)) or unique(x, *more, **kw))
+    start = time.process_time()
+    suffixes.matches(shard, items, 10)
+    assert all(n < 10_000 for n in sorted_) and time.process_time() - start < 2
+
+
 @pytest.mark.parametrize("block_bytes", [16 << 20, 60])
 def test_decontamination_against_brute_force(spark, block_bytes):
     rng = random.Random(3)
