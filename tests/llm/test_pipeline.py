@@ -41,6 +41,17 @@ def test_stages_with_odd_rows(spark, tmp_path):
     assert corpus_pipeline.drop_toxic(spark, cut(docs.limit(0)), SMALL).count() == 0
 
 
+def test_stages_keep_other_columns(spark):
+    """Names the stages use themselves, and a column that can't be hashed."""
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "h i j k l m n"), (4, None)], "doc_id long, text string")
+    docs = docs.withColumns({n: F.col("doc_id") for n in ("_row", "_sha", "_kept_id", "_kept_sha", "_n", "_each", "row", "n", "v")} | {"tags": F.create_map(F.lit("k"), F.col("doc_id"))})
+    docs = cut(docs)
+    for stage, kept in ((corpus_pipeline.drop_toxic, [1, 2, 3, 4]), (corpus_pipeline.drop_copies, [2, 3, 4]), (corpus_pipeline.drop_near_copies, [1, 3, 4]), (corpus_pipeline.drop_contaminated, [1, 2, 3, 4])):
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert sorted((r.doc_id, r._row, r._n, r.tags["k"]) for r in out.collect()) == [(i, i, i, i) for i in kept]
+
+
 def with_columns(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     return docs.withColumns({"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.lit(1).cast("long")})
