@@ -58,15 +58,11 @@ def _bounds(size: np.ndarray, owner: np.ndarray, run: int, least_words: int, lon
     return np.concatenate([here[forward], start[backward], alone]), np.concatenate([end[forward], here[backward] + 1, alone + 1])
 
 
-def _worded(texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The sentences of each text; of those with words the two keys, the number of words and whose they are."""
+def _parted(texts: list[str]) -> tuple[list[list[str]], np.ndarray, arrays.Words]:
+    """The sentences of each text, the text that each sentence is of, and the words of all sentences."""
     parts = [sentences(x) for x in texts]
-    flat = [s for p in parts for s in p]
-    of = arrays.words(*arrays.utf8(pa.array(flat, pa.string())), arrays.ALNUM)
-    k1, k2 = arrays.keys(of)
-    size, owner = np.diff(of.bounds), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    some = size > 0
-    return parts, k1[some].view(np.uint64), k2[some].view(np.uint64), size[some], owner[some]
+    of = arrays.words(*arrays.utf8(pa.array([s for p in parts for s in p], pa.string())), arrays.ALNUM)
+    return parts, np.repeat(np.arange(len(parts)), [len(p) for p in parts]), of
 
 
 def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_words: int | None) -> Iterator[pa.RecordBatch]:
@@ -76,7 +72,11 @@ def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_w
     """
     for batch in batches:
         for piece in arrays.pieces(batch, 2):
-            parts, k1, k2, size, owner = _worded(piece.column(2).to_pylist())
+            parts, owner, of = _parted(piece.column(2).to_pylist())
+            k1, k2 = arrays.keys(of)
+            size = np.diff(of.bounds)
+            some = size > 0
+            k1, k2, size, owner = k1[some].view(np.uint64), k2[some].view(np.uint64), size[some], owner[some]
             start, end = _bounds(size, owner, run, least_words, long_words)
             if len(start) == 0:
                 continue
@@ -97,17 +97,27 @@ def _spans(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_w
 def _strip(batches: Iterable[pa.RecordBatch], run: int, least_words: int, long_words: int | None) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, found) without the sentences of the spans ``found``; null stands for all spans of the text."""
     for batch in batches:
-        n, gone, out = [], [], []
-        for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts, _, _, size, owner = _worded([text])
-            parts = parts[0]
-            worded = np.flatnonzero(np.diff(arrays.words(*arrays.utf8(pa.array(parts, pa.string())), arrays.ALNUM).bounds) > 0) if parts else np.zeros(0, int)
-            ends = zip(*_bounds(size, owner, run, least_words, long_words)) if found is None else ((s["at"], s["at"] + s["n"]) for s in found)
-            n.append(len(worded))
-            covered = {int(x) for a, b in ends for x in worded[a:b]}
-            gone.append(len(covered))
-            out.append("".join(p for i, p in enumerate(parts) if i not in covered) if covered else text)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(out, pa.string())], ["doc_id", "n_sentences", "n_removed", "text"])
+        for piece in arrays.pieces(batch, 1):
+            texts = piece.column(1).to_pylist()
+            parts, owner, of = _parted(texts)
+            size = np.diff(of.bounds)
+            some = size > 0
+            n = np.bincount(owner[some], minlength=len(parts))
+            # places of a text's sentences with words, among its sentences
+            first, at = np.append(0, np.cumsum(n)), arrays.within(np.array([len(p) for p in parts]))[some]
+            gone, out = [], []
+            for i, found in enumerate(piece.column(2).to_pylist()):
+                worded = at[first[i] : first[i + 1]]
+                if found is None:
+                    ends = zip(*_bounds(size[some][first[i] : first[i + 1]], np.zeros(len(worded), int), run, least_words, long_words))
+                else:
+                    ends = ((s["at"], s["at"] + s["n"]) for s in found)
+                covered = {int(x) for a, b in ends for x in worded[a:b]}
+                gone.append(len(covered))
+                out.append("".join(p for k, p in enumerate(parts[i]) if k not in covered) if covered else texts[i])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(out, pa.string())], ["doc_id", "n_sentences", "n_removed", "text"]
+            )
 
 
 def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", run: int = 2, least_words: int = 20, long_words: int | None = None) -> DataFrame:
