@@ -191,7 +191,7 @@ PROFILE = [
 
 def current_customers(t):
     """Profiles of the versions that are valid now."""
-    return history.dimension(customer_history(t)).filter("_is_current").select(*PROFILE)
+    return history.current(customer_history(t)).select(*PROFILE)
 
 
 HISTORY = f"""

@@ -48,7 +48,7 @@ def weekly_sales(orders: DataFrame) -> DataFrame:
 
 def training_features(orders: DataFrame, performance: DataFrame, daily: DataFrame, copies: int = 1) -> DataFrame:
     """One row per product and week with the units of the next week that had sales; the last week drops out."""
-    weeks = neighbour(weekly_sales(orders), ["product_id"], ["week_start"], "units_sold", -1, TARGET)
+    weeks = neighbour(cut(weekly_sales(orders)), ["product_id"], ["week_start"], "units_sold", -1, TARGET)
     weeks = weeks.filter(F.col(TARGET).isNotNull()).select(
         "product_id", "week_start", TARGET, *[F.col(a).alias(b) for a, b in WEEK_FEATURES.items()]
     )

@@ -80,6 +80,11 @@ def dimension(history: DataFrame, key: str = "customer_id") -> DataFrame:
     )
 
 
+def current(history: DataFrame) -> DataFrame:
+    """The versions that are valid now, as the dimension has them but for their numbers."""
+    return history.filter(F.col("valid_to").isNull()).withColumn("age_bucket", age_bucket())
+
+
 def dimension_increment(history: DataFrame, stored: DataFrame, key: str = "customer_id") -> DataFrame:
     """Versions of the keys touched since the stored dimension was built, numbered over their whole history."""
     newest = stored.agg(F.coalesce(F.max("_updated_at"), F.lit("2000-01-01").cast("timestamp"))).scalar()

@@ -128,6 +128,8 @@ def test_dimension_and_increment(spark):
     assert merged.select(whole.columns).exceptAll(whole).count() == 0 and merged.count() == whole.count()
     assert [r.customer_id for r in history.multi_version(merged).collect()] == [1, 1]
     assert {r.age_bucket for r in whole.collect()} == {"18-25", "56+"}
+    now = history.current(second)
+    assert sorted(map(tuple, now.select("customer_id", "email", "age_bucket").collect())) == sorted(map(tuple, whole.filter("_is_current").select("customer_id", "email", "age_bucket").collect()))
 
 
 def test_stored_history_is_made_from_itself(spark, tmp_path, monkeypatch):
