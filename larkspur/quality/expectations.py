@@ -18,6 +18,9 @@ from larkspur.operators.sets import date_spine
 from larkspur.quality.checks import condition, duplicated, only, within
 from larkspur.session import cut
 
+# Names of result columns that readers of the checks go by, here and below: value_field, value_count, metric_period,
+# agg_metric_value, prior_agg_metric_value, metric_test_value, metric_test_rolling_average, metric_test_rolling_stddev, metric_test_delta, metric_test_sigma.
+
 # --- expressions ------------------------------------------------------------
 
 
