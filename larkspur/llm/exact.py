@@ -229,7 +229,8 @@ def deduplicate(df: DataFrame, id: str = "doc_id", text: str = "text", limit: in
 
     Texts are equal when identical after A-Z is lower-cased; null counts as empty. Of equal texts the row with the
     largest id stays, and of repeated rows one; null ids are smaller than all others. An empty table gives an empty
-    one, and other columns are not read. ``limit`` is the memory of a task's table in bytes; the result does not depend on it.
+    one, and other columns are not read. ``limit`` is the memory of a task's table in bytes, besides one text, which may be very long, and what is
+    about to be given out; the result does not depend on it.
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     local = cut(

@@ -146,8 +146,8 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", run: i
     covered whole, and a sentence of ``long_words`` words or more is a span too. Words are compared with
     A-Z as a-z and without punctuation. The first place of a span stays, by id (null first), then by the hash of the text, then by position; sentences covered by any
     other place go, in the same document too. Null reads as empty and comes back as empty text. Texts with fewer
-    sentences are not changed. Texts that share an id lose their own repeats only; of equal rows one keeps what stands first in it. Other columns are not read; an empty
-    table gives an empty one.
+    sentences are not changed. Texts that share an id lose their own repeats only; of equal rows one keeps what stands first in it. A task
+    works on a few MB of texts at a time, or on one very long text. Other columns are not read; an empty table gives an empty one.
     """
     how = {"run": run, "least_words": least_words, "long_words": long_words}
     kind = df.schema[id].dataType.simpleString()

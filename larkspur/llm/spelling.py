@@ -83,7 +83,7 @@ def word_counts(df: DataFrame, id: str = "doc_id", text: str = "text", least: in
     """(word, n): maximal runs of Latin letters in the whole texts, A-Z as a-z, with ``least`` characters and ``times`` occurrences or more.
 
     ``slips`` leaves a character out of one in so many pairs of row id and run, by their hash, before words are measured and
-    counted: misspellings that are known, for trials. Null text has no words, a null id reads as empty; repeated rows and ids count like any
+    counted: misspellings that are known, for trials. A task works on a few MB of texts at a time, or on one very long text. Null text has no words, a null id reads as empty; repeated rows and ids count like any
     other; other columns are not read; an empty table gives an empty one.
     """
     docs = df.select(F.coalesce(F.col(f"`{id}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{text}`").cast("string").alias("text"))

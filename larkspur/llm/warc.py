@@ -254,7 +254,7 @@ def archive(df: DataFrame, id: str = "page_id", url: str = "url", html: str = "h
     the one with the largest id is the response and the others revisit it; rows that share that id are all
     responses, and a null id never is one where others are. Smaller payloads are always responses. Payload digests are SHA-1 of the full payload, hex.
     Ids are integers; other columns are not read; an empty table gives an empty one. ``folder`` is where archives and
-    indexes go, by default the session's shared folder.
+    indexes go, by default the session's shared folder. A task holds an Arrow batch of pages and one record, which may be very long.
     """
     folder = folder or f"{shared_dir(df.sparkSession)}/warc/{uuid.uuid4()}"
     pages = df.select(F.col(f"`{id}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), F.col(f"`{html}`").cast("string").alias("html"))
