@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -792,3 +793,24 @@ def test_key_filter_loses_no_key(spark, monkeypatch):
         assert kept.where("id < 500").count() == 500
     assert kept.count() < 600
     assert setjoin.may_be_in(rows, keys.where("k1 IS NULL")).count() == 0
+
+
+def test_match_holds_little_beside_its_bucket(monkeypatch):
+    """Sorting a bucket's tokens takes a few bytes a token beside them, not arrays of 64 bits over all of them."""
+    monkeypatch.setattr(setjoin, "SLICE_TOKENS", 1 << 14, raising=False)
+    units, tokens = 100, 1 << 14
+    chooser = np.random.default_rng(3)
+    pieces = [chooser.choice(1 << 22, tokens, replace=False).astype(np.uint32) for _ in range(16)]
+    rows = [
+        {"units": np.arange(1 + units * p, 1 + units * (p + 1)).tobytes(), "counts": np.full(units, tokens // units, np.uint16).tobytes(),
+         "tokens": t[: tokens // units * units].tobytes(), "anonymous": 0, "bucket": 0}
+        for p, t in enumerate(pieces)
+    ]
+    frame = setjoin.pd.DataFrame(rows)
+    tracemalloc.start()
+    found = setjoin._match(frame)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = collections.Counter(t for r in rows for t in np.frombuffer(r["tokens"], np.uint32).tolist())
+    assert found["shared"].sum() == sum(n for n in held.values() if n > 1)
+    assert most < 24 * sum(held.values())
