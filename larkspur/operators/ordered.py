@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from larkspur.session import cut
 
 ROWS_PER_TASK = 2_000_000
+#: Bytes of rows that a window should hold in one task, by the row's width; several windows in a row hold as much each.
+BYTES_PER_TASK = 128 << 20
 #: Keys that a percentile may bracket; the others take the general way.
 MAX_HOT_KEYS = 1_000
 TRACKED_KEYS = 20_000
@@ -47,10 +49,18 @@ def plain_window(keys, order):
     return window.orderBy(*sort_columns(order)) if order else window
 
 
+def row_width(schema: T.StructType) -> int:
+    """About how many bytes a sorted row takes: a word for each column, three more for text and four more for nested ones, and two for its place."""
+    more = {T.StringType: 3, T.BinaryType: 3, T.DecimalType: 2, T.ArrayType: 4, T.MapType: 4, T.StructType: 4}
+    return 8 * (2 + sum(1 + more.get(type(f.dataType), 0) for f in schema))
+
+
 def rows_per_task(df: DataFrame, max_rows: int | None) -> int:
+    """Rows that a task should hold: as many as asked for, or else as settings say, and fewer if they are wide."""
     if max_rows is not None:
         return max_rows
-    return int(df.sparkSession.conf.get("spark.larkspur.rowsPerTask", str(ROWS_PER_TASK)))
+    rows = int(df.sparkSession.conf.get("spark.larkspur.rowsPerTask", str(ROWS_PER_TASK)))
+    return max(1, min(rows, BYTES_PER_TASK // row_width(df.schema)))
 
 
 def _same(left: DataFrame, right: DataFrame, names) -> Column:
@@ -159,14 +169,14 @@ def row_number(df: DataFrame, keys, order, alias="row_number", max_rows=None, me
     )
 
 
-def _by_value(df: DataFrame, keys, order, extra, sums, finish, max_rows) -> DataFrame:
+def _by_value(df: DataFrame, keys, order, extra, sums, finish, max_rows, stored=None) -> DataFrame:
     """Work on distinct (key, order value) rows, then join the answer back.
 
     Ties collapse before the shuffle, so even one value held by a third of the
     table is a single row here.
     """
     by = list(dict.fromkeys([*keys, *_names(order)]))
-    values = df.groupBy(*by).agg(*extra)
+    values = (df if stored is None else stored).groupBy(*by).agg(*extra)
     numbered = finish(prefix_sums(values, keys, order, sums, max_rows))
     return attach(df, numbered, by)
 
@@ -175,14 +185,14 @@ def _large(df: DataFrame, keys, max_rows, measured=None) -> bool:
     return (measured or measure(df, keys, max_rows))[0] > rows_per_task(df, max_rows)
 
 
-def rank(df: DataFrame, keys, order, alias="rank", max_rows=None, measured=None) -> DataFrame:
-    """Rank with gaps; ties share a rank."""
+def rank(df: DataFrame, keys, order, alias="rank", max_rows=None, measured=None, stored=None) -> DataFrame:
+    """Rank with gaps; ties share a rank. ``stored`` has the same rows as ``df``, which may be made from it, and is read for their values."""
     keys = list(keys)
     if not _large(df, keys, max_rows, measured):
         return df.withColumn(alias, F.rank().over(plain_window(keys, order)).cast("long"))
     return _by_value(
         df, keys, order, [F.count(F.lit(1)).alias("_n")], {"_upto": F.col("_n")},
-        lambda v: v.withColumn(alias, F.col("_upto") - F.col("_n") + 1).drop("_n", "_upto"), max_rows,
+        lambda v: v.withColumn(alias, F.col("_upto") - F.col("_n") + 1).drop("_n", "_upto"), max_rows, stored,
     )
 
 

@@ -151,12 +151,13 @@ def product_performance(products: DataFrame, orders: DataFrame) -> DataFrame:
             }
         )
     )
-    ranked = cut(enriched)
-    measured = ordered.measure(ranked, ["category"])
-    ranked = ordered.rank(ranked, ["category"], ["-revenue"], "rank_in_category", measured=measured)
-    ranked = ordered.rank(ranked, ["category"], ["-units_sold"], "units_rank_in_category", measured=measured)
-    ranked = ordered.rank(ranked, [], ["-revenue"], "overall_revenue_rank", measured=(measured[1], measured[1]))
-    ranked = ordered.with_totals(ranked, ["category"], {"_total": exact_sum("revenue")})
+    stored = cut(enriched)
+    measured = ordered.measure(stored, ["category"])
+    ranked = ordered.rank(stored, ["category"], ["-revenue"], "rank_in_category", measured=measured, stored=stored)
+    ranked = ordered.rank(ranked, ["category"], ["-units_sold"], "units_rank_in_category", measured=measured, stored=stored)
+    ranked = ordered.rank(ranked, [], ["-revenue"], "overall_revenue_rank", measured=(measured[1], measured[1]), stored=stored)
+    totals = stored.groupBy("category").agg(exact_sum("revenue").alias("_total"))
+    ranked = ordered.attach(ranked, totals, ["category"])
     return ranked.withColumn("pct_of_category_revenue", percent("revenue", "_total")).drop("_total")
 
 

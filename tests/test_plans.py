@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import joins, layout, routing
+from larkspur.operators import joins, layout, ordered, routing
 from larkspur.plans import facilities, forecast, history, lineage, marts, orders, staging
 from larkspur.session import cut
 from larkspur.sources import readers, tables, writers
@@ -477,3 +477,42 @@ def test_split_is_repeatable(spark):
         forecast.require_trainable(
             df.select(F.col("id").alias("product_id"), F.current_date().alias("week_start"), F.lit("c").alias("category"), F.lit(None).cast("long").alias(forecast.TARGET))
         )
+
+
+# --- marts in several tasks ------------------------------------------------------
+
+
+def sold_rows(spark):
+    rng = random.Random(8)
+    rows = [
+        (i, rng.randrange(25), rng.choice([None, *range(30)]), f"c{rng.randrange(3)}", 5.0 + i % 7, 1 + i % 4, 10.0 * rng.randrange(1, 9),
+         rng.choice(["shipped", "cancelled"]), rng.choice(["upi", "cod", None]), dt.date(2024, 1, 1 + rng.randrange(20)))
+        for i in range(150)
+    ]
+    return spark.createDataFrame(rows, "order_id long, product_id long, customer_id long, product_category string, unit_price double, quantity long, total_amount double, "
+        "order_status string, payment_method string, order_date date")
+
+
+def in_one_task_and_in_several(make):
+    """The rows of ``make`` as a rule, and with tasks that hold few bytes; whether windows ran in segments then."""
+    seen, plain = [], sorted(map(repr, make().collect()))
+    segments = ordered.segments
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ordered, "BYTES_PER_TASK", 300, raising=False)
+        patch.setattr(ordered, "segments", lambda *a, **k: seen.append(segments(*a, **k)) or seen[-1])
+        spread = sorted(map(repr, make().collect()))
+    return plain, spread, any(df is not None for df in seen)
+
+
+def test_windows_hold_fewer_wide_rows(spark):
+    narrow, wide = spark.range(1), spark.range(1).select(*[F.lit("x").alias(f"c{i}") for i in range(60)])
+    assert ordered.rows_per_task(narrow, None) == ordered.ROWS_PER_TASK
+    assert ordered.rows_per_task(wide, None) < ordered.ROWS_PER_TASK / 10 and ordered.rows_per_task(wide, 7) == 7
+
+
+def test_product_ranks_in_several_tasks(spark):
+    rows = [(i, f"s{i}", f"p{i}", None if i % 9 == 4 else f"c{i % 3}", "C", 5.0, 2.5, 2.5, 50.0, i, "low", True, "b", 0.1 * i, i) for i in range(40)]
+    products = spark.createDataFrame(rows, "product_id long, product_sk string, product_name string, category string, category_display string, price double, cost_price double, margin double, "
+        "margin_pct double, stock_quantity long, stock_status string, is_available boolean, supplier string, rating double, review_count long")
+    plain, spread, several = in_one_task_and_in_several(lambda: marts.product_performance(products, sold_rows(spark)))
+    assert len(plain) == 40 and plain == spread and several
