@@ -516,3 +516,9 @@ def test_product_ranks_in_several_tasks(spark):
         "margin_pct double, stock_quantity long, stock_status string, is_available boolean, supplier string, rating double, review_count long")
     plain, spread, several = in_one_task_and_in_several(lambda: marts.product_performance(products, sold_rows(spark)))
     assert len(plain) == 40 and plain == spread and several
+
+
+def test_customer_quintiles_in_several_tasks(spark):
+    customers = spark.range(40).select(F.col("id").alias("customer_id"), F.concat(F.lit("n"), "id").alias("full_name"))
+    plain, spread, several = in_one_task_and_in_several(lambda: marts.customer_ltv(customers, sold_rows(spark), "2024-03-01"))
+    assert len(plain) == 40 and plain == spread and several
