@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import joins, layout, ordered, routing
 from larkspur.plans import facilities, forecast, history, lineage, marts, orders, staging
-from larkspur.session import cut
+from larkspur.session import TASK_BYTES, cut, tune
 from larkspur.sources import readers, tables, writers
 
 
@@ -522,3 +522,14 @@ def test_customer_quintiles_in_several_tasks(spark):
     customers = spark.range(40).select(F.col("id").alias("customer_id"), F.concat(F.lit("n"), "id").alias("full_name"))
     plain, spread, several = in_one_task_and_in_several(lambda: marts.customer_ltv(customers, sold_rows(spark), "2024-03-01"))
     assert len(plain) == 40 and plain == spread and several
+
+
+@pytest.mark.parametrize("asked, left", [("64MB", str(TASK_BYTES)), ("67108864b", str(TASK_BYTES)), ("1g", str(TASK_BYTES)), ("8m", "8m"), ("1000", "1000")])
+def test_tasks_of_a_shuffle_are_bounded(spark, asked, left):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, asked)
+        assert tune(spark).conf.get(name) == left
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
