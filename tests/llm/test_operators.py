@@ -814,3 +814,21 @@ def test_match_holds_little_beside_its_bucket(monkeypatch):
     held = collections.Counter(t for r in rows for t in np.frombuffer(r["tokens"], np.uint32).tolist())
     assert found["shared"].sum() == sum(n for n in held.values() if n > 1)
     assert most < 24 * sum(held.values())
+
+
+def test_rarity_moves_each_token_once(spark):
+    rows = [(1, 3, [5, 6, 7]), (2, 2, [6, 7]), (3, 1, [7]), (4, 1, [9]), (5, 0, [])]
+    found = setjoin.rarity(spark.createDataFrame(rows, "v long, n long, tokens array<long>"))
+    assert sorted(map(tuple, found.collect())) == [(1, 3, 2, 6), (1, 3, 3, 7), (2, 2, 2, 6), (2, 2, 3, 7), (3, 1, 3, 7)]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning(t#") == 1
+
+
+def test_only_named_sets_are_moved(spark, monkeypatch):
+    """Sets that no pair names stay where they are; a wrong bit lets some pass, which the join drops."""
+    sets = spark.range(5000).select(F.col("id").alias("v"), F.lit(4).cast("long").alias("n"), F.sequence(F.col("id") * 0, F.lit(3)).alias("tokens"))
+    pairs = spark.createDataFrame([(7, 3), (8, 3), (4999, 0)], "v long, w long")
+    moved, sieve = [], setjoin.sieve
+    monkeypatch.setattr(setjoin, "sieve", lambda *a: moved.append(sieve(*a)) or moved[-1])
+    assert sorted(map(tuple, setjoin.linked(pairs, sets, setjoin.Rule()).collect())) == [(7, 3), (8, 3), (4999, 0)]
+    assert [3 <= m.where("_asked").count() + (i == 1) < 50 for i, m in enumerate(moved)] == [True, True]
