@@ -36,13 +36,24 @@ SPANS = "array<struct<start:int,end:int,score:double>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
-def features(of: arrays.Words) -> np.ndarray:
-    """64-bit numbers of each word's features, one row a word; 0 is no feature."""
-    columns = [of.hashes]
+def _columns(of: arrays.Words) -> Iterator[np.ndarray]:
+    yield of.hashes
     for k in HEADS:
         head = of.heads(k)
-        columns.append(np.where(head > 0, arrays.mix(head ^ np.uint64(k << 56)), 0))
-    return np.stack(columns, axis=1)
+        yield np.where(head > 0, arrays.mix(head ^ np.uint64(k << 56)), 0)
+
+
+def features(of: arrays.Words) -> np.ndarray:
+    """64-bit numbers of each word's features, one row a word; 0 is no feature."""
+    return np.stack(list(_columns(of)), axis=1)
+
+
+def numbered(of: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
+    """All features, ascending, 0 among them, and each word's as places in that list; made once for each distinct word."""
+    _, first, word = np.unique(of.hashes, return_index=True, return_inverse=True)
+    each = features(arrays.Words(of.hashes[first], of.bounds[:0], of.starts[first], of.ends[first], of.raw))
+    known, place = np.unique(np.append(each.ravel(), np.uint64(0)), return_inverse=True)
+    return known, place[:-1].reshape(each.shape).astype(np.int32)[word]
 
 
 @dataclass
@@ -56,8 +67,8 @@ class Chains:
 def chains(column: pa.Array) -> Chains:
     data, offsets = arrays.utf8(column)
     of = arrays.words(data, offsets, arrays.ALNUM)
-    stops = np.cumsum(np.frombuffer(of.raw.translate(_STOP), dtype=np.uint8), dtype=np.int64)
-    sentence = stops[of.starts] if len(of.starts) else np.zeros(0, dtype=np.int64)
+    stops = np.flatnonzero(np.frombuffer(of.raw.translate(_STOP), dtype=bool))
+    sentence = np.searchsorted(stops, of.starts, "right")
     new = np.zeros(len(sentence), dtype=bool)
     new[1:] = sentence[1:] != sentence[:-1]
     new[of.bounds[:-1][of.bounds[:-1] < len(new)]] = True
@@ -84,8 +95,7 @@ class Model:
         seen = np.zeros(1 << 20, dtype=bool)  # most words have no weight; a small table tells them apart
         low = np.uint64(len(seen) - 1)
         seen[self.features & low] = True
-        numbers = features(of)
-        for column in numbers.T:
+        for column in _columns(of):
             maybe = np.flatnonzero(seen[column & low])
             at = np.minimum(np.searchsorted(self.features, column[maybe]), len(self.features) - 1)
             hit = self.features[at] == column[maybe]
@@ -230,7 +240,7 @@ def token_labels(numbers: np.ndarray, features: int, bounds: np.ndarray, toxic:
     it are toxic, far too many of them for chance.
     """
     owner = np.repeat(np.arange(len(toxic)), np.diff(bounds))
-    pairs = np.unique(numbers.ravel() * np.int64(len(toxic)) + np.repeat(owner, numbers.shape[1]))
+    pairs = np.unique(np.concatenate([np.unique(column * np.int64(len(toxic)) + owner) for column in numbers.T]))
     feature, doc = pairs // max(len(toxic), 1), pairs % max(len(toxic), 1)
     total = np.bincount(feature, minlength=features)
     bad = np.bincount(feature, weights=toxic[doc], minlength=features)
@@ -246,9 +256,7 @@ def token_labels(numbers: np.ndarray, features: int, bounds: np.ndarray, toxic:
 def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     """A model of labelled texts: states of words, then the chain, then the score of documents."""
     of = chains(texts)
-    numbers = features(of.words)
-    known, place = np.unique(np.append(numbers.ravel(), np.uint64(0)), return_inverse=True)
-    numbers = place[:-1].reshape(numbers.shape)
+    known, numbers = numbered(of.words)
     labels = token_labels(numbers, len(known), of.words.bounds, toxic)
     model = fit_chain(known, numbers, labels, of.bounds)
     x = summary(marginals(model.emission(of.words), of.bounds, model), of.words.bounds)

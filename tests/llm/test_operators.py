@@ -832,3 +832,28 @@ def test_only_named_sets_are_moved(spark, monkeypatch):
     monkeypatch.setattr(setjoin, "sieve", lambda *a: moved.append(sieve(*a)) or moved[-1])
     assert sorted(map(tuple, setjoin.linked(pairs, sets, setjoin.Rule()).collect())) == [(7, 3), (8, 3), (4999, 0)]
     assert [3 <= m.where("_asked").count() + (i == 1) < 50 for i, m in enumerate(moved)] == [True, True]
+
+
+def test_toxicity_features_are_made_once_a_word():
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 12))) for _ in range(3000)]
+    texts = pa.array([" ".join(rng.choices(vocabulary, k=400)) + "." for _ in range(500)] + [None, ""], pa.string())
+    of = toxicity.chains(texts).words
+    known, numbers = toxicity.numbered(of)
+    assert (known[numbers] == toxicity.features(of)).all() and known[0] == 0 and (np.diff(known.astype(object)) > 0).all()
+    toxic = np.arange(len(texts)) % 7 == 0
+    tracemalloc.start()
+    toxicity.fit(texts, toxic.astype(float))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / len(of.hashes) < 220, peak / len(of.hashes)
+
+
+def test_bpe_worker_gives_back_what_arrow_has_freed(monkeypatch):
+    released = []
+    monkeypatch.setattr(bpe.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: released.append(1)})())
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        shared = type("Shared", (), {"value": file.read()})
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some text", None]})
+    assert [r["decoded"] for b in bpe._there_and_back(iter([batch]), shared) for r in b.to_pylist()] == ["some text", ""]
+    assert released == [1]
