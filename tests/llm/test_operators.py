@@ -824,6 +824,28 @@ def test_rarity_moves_each_token_once(spark):
     assert plan.count("Exchange hashpartitioning(t#") == 1
 
 
+@pytest.mark.parametrize("frequent", [False, True])
+def test_rarity_by_blocks(spark, monkeypatch, frequent):
+    """Line dedup gets the tokens, counts and order that rows give, from any number of parts, and moves no row a token; a token of too many sets is dealt by set."""
+    monkeypatch.setattr(setjoin, "PART_TOKENS", 50)
+    if frequent:
+        monkeypatch.setattr(setjoin, "MOST_HELD", 30)
+        monkeypatch.setattr(setjoin, "SAMPLED_SETS", 1)
+    rng = random.Random(4)
+    rows = [(i << 33, sorted({rng.randrange(-200, 200) for _ in range(rng.randrange(9))} | ({77} if i % 2 else set()))) for i in range(120)]
+    sets = spark.createDataFrame([(v, len(t), t) for v, t in rows], "v long, n long, tokens array<long>").repartition(3)
+    held = collections.Counter(x for _, t in rows for x in t)
+    want = [(v, len(t), held[x], x) for v, t in rows for x in sorted(t, key=lambda x: (held[x], x)) if held[x] > 1]
+    found = setjoin.by_rarity(sets, lambda batches: batches, "v long, n long, df long, t long")
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got, key=lambda r: r[0]) == want and held[77] > 50  # a set's tokens stay in their order
+    empty = setjoin.by_rarity(sets.where("n < 0"), lambda batches: batches, "v long, n long, df long, t long")
+    assert empty.count() == 0
+    asked = []
+    monkeypatch.setattr(setjoin, "by_rarity", lambda *a, by=setjoin.by_rarity: asked.append(1) or by(*a))
+    assert lines._later(sets, setjoin.Rule()).count() >= 0 and asked == [1]
+
+
 def test_only_named_sets_are_moved(spark, monkeypatch):
     """Sets that no pair names stay where they are; a wrong bit lets some pass, which the join drops."""
     sets = spark.range(5000).select(F.col("id").alias("v"), F.lit(4).cast("long").alias("n"), F.sequence(F.col("id") * 0, F.lit(3)).alias("tokens"))
