@@ -879,3 +879,41 @@ def test_bpe_worker_gives_back_what_arrow_has_freed(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some text", None]})
     assert [r["decoded"] for b in bpe._there_and_back(iter([batch]), shared) for r in b.to_pylist()] == ["some text", ""]
     assert released == [1]
+
+
+@pytest.mark.parametrize("k", range(8))
+def test_shingles_of_a_few_words(k):
+    """A piece of three words in all."""
+    of = arrays.words(*arrays.utf8(pa.array([" ".join("abcdefgh"[:k]), None], pa.string())), arrays.NOT_SPACE)
+    values, bounds = arrays.shingles(of, 5)
+    assert bounds.tolist() == [0, *[min(k, 1) + max(k - 5, 0)] * 2] and len(set(values.tolist())) == len(values) == bounds[-1]
+
+
+def test_shingles_with_equal_first_bits(monkeypatch):
+    """Values that differ in their last bits only are in order, and equal ones are one."""
+    last = np.array([5, 3, 5, 1, 4, 3], dtype=np.uint64)
+    monkeypatch.setattr(arrays, "mix", lambda x: last[: len(x)])
+    of = arrays.Words(np.arange(6, dtype=np.uint64), np.array([0, 4, 6, *[6] * 30]), np.arange(6), np.arange(6) + 1, b"")
+    values, bounds = arrays.shingles(of, 1)
+    assert values.tolist() == [1, 3, 5, 3, 4] and bounds.tolist() == [0, 3, 5, *[5] * 30]
+
+
+def test_line_sets_come_from_the_first_lines(spark, monkeypatch):
+    """Texts are not cut into words again to find the lines that are compared, nor read to find equal rows."""
+    monkeypatch.setattr(setjoin, "token_sets", lambda *a: pytest.fail("texts are hashed again"))
+    known = []
+    monkeypatch.setattr(lines, "apart", lambda docs, rows, by=lines.apart: known.append(rows.count()) or by(docs, rows))
+    words = [f"w{i}" for i in range(40)]
+    first, near = " ".join(words), " ".join([*words[:39], "other"])
+    rows = [(None, f"{first}\n\n"), (1, f"x y\n{near}"), (1, f"x y\n{near}"), (2, f"\n{first}\nz"), (2, "x y"), (3, None)]
+    got = collections.Counter(map(tuple, lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == collections.Counter([(None, 3, 0, f"{first}\n\n"), (1, 2, 1, "x y"), (1, 2, 2, ""), (2, 3, 1, "\nz"), (2, 1, 1, ""), (3, 1, 0, "")])
+    assert known == [6]
+
+
+def test_lines_are_taken_out_of_a_batch_at_once():
+    rows = [("a\nb\nc", [1]), ("", []), ("a\n\n b", None), ("a\n", [0, 1]), ("ż\nó\n", [2, 0]), ("\n", None)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["q", *[t for t, _ in rows], "q"], pa.string()), pa.array([[0], *[g for _, g in rows], None], pa.list_(pa.int32()))], ["doc_id", "text", "gone"])
+    got = [tuple(r.values()) for b in lines._strip([batch, batch.slice(1, 6), batch.slice(0, 0)]) for r in b.to_pylist()]
+    middle = [(1, 3, 1, "a\nc"), (2, 1, 0, ""), (3, 3, 2, ""), (4, 2, 2, ""), (5, 3, 2, "ó"), (6, 2, 0, "\n")]
+    assert got == [(0, 1, 1, ""), *middle, (7, 1, 1, ""), *middle]
