@@ -32,6 +32,8 @@ HEADS = (4, 5, 6, 7)
 _STOP = bytes(b in b".!?\n" for b in range(256))
 #: Log-likelihood ratio from which a feature marks toxic documents; e^16 is far above the number of features tried.
 SURPRISE = 16
+#: Words whose features are looked at at a time in the fit.
+FIT_SLICE = 1 << 17
 SPANS = "array<struct<start:int,end:int,score:double>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
@@ -79,6 +81,38 @@ def chains(column: pa.Array) -> Chains:
     return Chains(of, np.append(first, len(new)))
 
 
+@dataclass
+class Lexicon:
+    """Chains of the texts of a fit, each word named by its place in the list of distinct ones."""
+
+    known: np.ndarray  # all features, ascending, 0 among them
+    features: np.ndarray  # each distinct word's as places in that list
+    word: np.ndarray
+    texts: np.ndarray  # text i has words texts[i] to texts[i + 1]
+    bounds: np.ndarray  # chain i has words bounds[i] to bounds[i + 1]
+
+
+def lexicon(texts: pa.Array) -> Lexicon:
+    """What the fit needs of its texts, taken a piece of them at a time; a text's bytes are not needed after that."""
+    seen, new, each, words, sizes, lengths = np.zeros(0, np.uint64), [], [], [], [], []
+    for piece in arrays.pieces(pa.RecordBatch.from_arrays([texts], ["text"]), 0, size=arrays.CUT_BYTES):
+        of = chains(piece.column(0))
+        own, first, word = np.unique(of.words.hashes, return_index=True, return_inverse=True)
+        first = first[~np.isin(own, seen)]
+        new.append(of.words.hashes[first])
+        each.append(features(arrays.Words(new[-1], of.words.bounds[:0], of.words.starts[first], of.words.ends[first], of.words.raw)))
+        seen = np.union1d(seen, new[-1])
+        words.append((own, word.astype(np.int32)))
+        sizes.append(np.diff(of.words.bounds))
+        lengths.append(np.diff(of.bounds))
+    ends = lambda parts: np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *parts])))
+    word = np.concatenate([np.zeros(0, np.int32), *(np.searchsorted(seen, own).astype(np.int32)[w] for own, w in words)])
+    order = np.argsort(np.concatenate([np.zeros(0, np.uint64), *new]))
+    of_each = np.concatenate([np.zeros((0, 1 + len(HEADS)), np.uint64), *each])[order]
+    known, number = np.unique(np.append(of_each.ravel(), np.uint64(0)), return_inverse=True)
+    return Lexicon(known, number[:-1].reshape(of_each.shape).astype(np.int32), word, ends(sizes), ends(lengths))
+
+
 @dataclass
 class Model:
     features: np.ndarray  # those with a weight, ascending
@@ -182,10 +216,11 @@ def fit_chain(known: np.ndarray, numbers: np.ndarray, labels: np.ndarray, bounds
     used = np.flatnonzero(active)
     model = Model(known[used], np.zeros(len(used)), -4.0, 0.0, np.zeros((2, 2)), np.zeros(3))
     sizes = np.diff(bounds)
-    busy = arrays.segment_sums(active[numbers].any(axis=1).astype(np.int64), bounds) > 0
+    busy = arrays.segment_sums(_any(active, numbers).astype(np.int64), bounds) > 0
     plain, times = np.unique(sizes[~busy & (sizes > 0)], return_counts=True)
     own = np.repeat(busy, sizes)
-    numbers = np.where(active[numbers[own]], numbers[own], 0)
+    numbers = numbers[own]
+    numbers[~active[numbers]] = 0
     numbers = np.concatenate([numbers, np.zeros((plain.sum(), numbers.shape[1]), dtype=numbers.dtype)])
     labels = np.concatenate([labels[own], np.zeros(plain.sum(), dtype=labels.dtype)])
     bounds = np.append(0, np.cumsum(np.concatenate([sizes[busy], plain])))
@@ -233,33 +268,59 @@ def fit_chain(known: np.ndarray, numbers: np.ndarray, labels: np.ndarray, bounds
     return model
 
 
+def _any(marks: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether one of a word's features is marked."""
+    out = np.zeros(len(numbers), dtype=bool)
+    for column in numbers.T:
+        out |= marks[column]
+    return out
+
+
 def token_labels(numbers: np.ndarray, features: int, bounds: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """States of the words, from labels of their documents.
 
     A word is toxic if its document is and one of its features marks toxic documents: nearly all documents that have
     it are toxic, far too many of them for chance.
     """
-    owner = np.repeat(np.arange(len(toxic)), np.diff(bounds))
-    pairs = np.unique(np.concatenate([np.unique(column * np.int64(len(toxic)) + owner) for column in numbers.T]))
-    feature, doc = pairs // max(len(toxic), 1), pairs % max(len(toxic), 1)
-    total = np.bincount(feature, minlength=features)
-    bad = np.bincount(feature, weights=toxic[doc], minlength=features)
+    total, bad = np.zeros(features, dtype=np.int64), np.zeros(features)
+    at = 0
+    while at < len(toxic):  # some texts at a time; a feature counts once in each
+        end = max(int(np.searchsorted(bounds, bounds[at] + FIT_SLICE, "right")) - 1, at + 1)
+        owner = np.repeat(np.arange(end - at), np.diff(bounds[at : end + 1]))
+        pairs = np.unique(np.concatenate([np.unique(column * np.int64(end - at) + owner) for column in numbers[bounds[at] : bounds[end]].T]))
+        feature, doc = pairs // (end - at), pairs % (end - at)
+        total += np.bincount(feature, minlength=features)
+        bad += np.bincount(feature, weights=toxic[at:end][doc], minlength=features)
+        at = end
     share = min(max(float(toxic.mean()) if len(toxic) else 0.5, 1e-3), 0.999)
     rate = bad / np.maximum(total, 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         surprise = bad * np.log(rate / share) + np.where(rate < 1, (total - bad) * np.log((1 - rate) / (1 - share)), 0)
     marks = (rate >= 0.9) & (surprise > SURPRISE)
     marks[0] = False
-    return (marks[numbers].any(axis=1) & (toxic[owner] > 0)).astype(np.int64)
+    return (_any(marks, numbers) & np.repeat(toxic > 0, np.diff(bounds))).astype(np.int64)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     """A model of labelled texts: states of words, then the chain, then the score of documents."""
-    of = chains(texts)
-    known, numbers = numbered(of.words)
-    labels = token_labels(numbers, len(known), of.words.bounds, toxic)
-    model = fit_chain(known, numbers, labels, of.bounds)
-    x = summary(marginals(model.emission(of.words), of.bounds, model), of.words.bounds)
+    of = lexicon(texts)
+    numbers = of.features[of.word]
+    labels = token_labels(numbers, len(of.known), of.texts, toxic)
+    model = fit_chain(of.known, numbers, labels, of.bounds)
+    del numbers, labels
+    weights = np.zeros(len(of.known))
+    weights[np.searchsorted(of.known, model.features)] = model.weights
+    emission = np.full(len(of.features), model.bias)
+    for column in of.features.T:
+        emission += weights[column]
+    odds = np.empty(len(of.word))
+    at = 0
+    while at < len(of.bounds) - 1:  # some chains at a time
+        end = max(int(np.searchsorted(of.bounds, of.bounds[at] + FIT_SLICE, "right")) - 1, at + 1)
+        own = slice(of.bounds[at], of.bounds[end])
+        odds[own] = marginals(emission[of.word[own]], of.bounds[at : end + 1] - of.bounds[at], model)
+        at = end
+    x = summary(odds, of.texts)
     prior = np.array([0.0, 0.0, -2.0])  # without labels no text is toxic
     weight = prior
     for _ in range(30):  # Newton's method with a small penalty

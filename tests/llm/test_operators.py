@@ -881,6 +881,23 @@ def test_bpe_worker_gives_back_what_arrow_has_freed(monkeypatch):
     assert released == [1]
 
 
+def test_toxicity_fit_takes_its_texts_a_piece_at_a_time():
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 12))) for _ in range(3000)]
+    texts = pa.array([". ".join(" ".join(rng.choices(vocabulary, k=20)) for _ in range(20)) for _ in range(1500)] + [None, ""], pa.string())
+    of, whole = toxicity.lexicon(texts), toxicity.chains(texts)
+    known, numbers = toxicity.numbered(whole.words)
+    assert (of.known == known).all() and (of.features[of.word] == numbers).all()
+    assert (of.texts == whole.words.bounds).all() and (of.bounds == whole.bounds).all()
+    none = toxicity.lexicon(pa.array([], pa.string()))
+    assert len(none.word) == 0 and none.known.tolist() == [0] and none.texts.tolist() == none.bounds.tolist() == [0]
+    tracemalloc.start()
+    toxicity.fit(texts, (np.arange(len(texts)) % 7 == 0).astype(float))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / len(of.word) < 90, peak / len(of.word)
+
+
 @pytest.mark.parametrize("k", range(8))
 def test_shingles_of_a_few_words(k):
     """A piece of three words in all."""
